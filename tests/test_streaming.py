@@ -1,0 +1,27 @@
+from conftest import SF01, rows
+from tidemark.plans import incremental_merge, initial_load
+from tidemark.plans import workload as w
+from tidemark.sources import read_table
+from tidemark.streaming import start_merge_stream
+from pyspark.sql import functions as F
+
+
+def test_stream_of_deltas_equals_batch_merges(spark, path):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    base = orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    day1 = w.latest_per_key(orders.where("o_orderdate >= '2000-01-01' and o_orderpriority = '1-URGENT'"), w.ORDERS)
+    day2 = w.latest_per_key(orders.where("o_orderdate >= '2001-01-01' and o_orderpriority = '5-LOW'"), w.ORDERS)
+    deltas = path("deltas")
+    day1.coalesce(1).write.parquet(deltas)
+    day2.coalesce(1).write.mode("append").parquet(deltas)
+
+    cur_s, cur_b = path("stream-cur"), path("batch-cur")
+    for cur in (cur_s, cur_b):
+        initial_load(base, w.ORDERS, cur, None, load_ts="2024-01-01 00:00:00")
+    q = start_merge_stream(spark, deltas, day1.schema, w.ORDERS, cur_s, path("stream-ckpt"))
+    q.awaitTermination(300)
+    for day in (day1, day2):
+        incremental_merge(spark, day, w.ORDERS, cur_b, None)
+    schema = w.existing_rows(spark, SF01).schema
+    cols = [c for c in schema.fieldNames() if c != "load_ts"]
+    assert rows(read_table(spark, cur_s, schema), *cols) == rows(read_table(spark, cur_b, schema), *cols)
