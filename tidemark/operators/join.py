@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.versions import next_version
 from tidemark.operators.keys import (
     DEFAULT_HOT_KEY_ROWS,
+    DEFAULT_SKEW_CHECK_BYTES,
     DEFAULT_MAX_HOT_KEYS,
     all_not_null,
-    any_null,
+    estimated_bytes,
     hot_keys,
 )
 
@@ -34,21 +35,22 @@ def version_join(
     right_keys: Sequence[str] | str,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
 ) -> DataFrame:
     """``left LEFT OUTER JOIN right ON left_keys = right_keys``, every match kept.
 
     Column names of the two sides must differ (rename first).  Plan:
 
-    * ``right`` is first cut to keys that occur in ``left`` (semi join; a small
-      ``left`` is broadcast by adaptive execution, so the large side is only
-      filtered, never shuffled whole).
-    * left rows with a null key match nothing and are null-extended directly.
+    * a large ``right`` (estimated at or above ``skew_check_bytes``) is first
+      cut to keys that occur in ``left`` by a semi join; a small ``left`` is
+      broadcast by adaptive execution, so the large side is only filtered,
+      never shuffled whole.
     * right keys with more than ``hot_key_rows`` rows are salted: their right
       rows spread over ``ceil(n / hot_key_rows)`` salts by a row hash, the left
       rows of those keys are copied once per salt, and the two meet in an inner
-      join (every hot key has a match, so outer == inner there).  All other keys
-      take an ordinary left outer join; skew on the left side is split by
-      adaptive skew-join handling.
+      join (every hot key has a match, so outer == inner there).  All other keys,
+      null keys included, take an ordinary left outer join, where adaptive
+      skew-join handling splits a skewed left (preserved) side.
     """
     lk = [left_keys] if isinstance(left_keys, str) else list(left_keys)
     rk = [right_keys] if isinstance(right_keys, str) else list(right_keys)
@@ -57,31 +59,29 @@ def version_join(
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"both sides carry {sorted(clash)}; rename one side first")
+    out_cols = left.columns + right.columns
+
+    size = estimated_bytes(right)
+    if size is not None and size < skew_check_bytes:
+        return left.join(right, _eq(left, lk, right, rk), "left_outer").select(*out_cols)
 
     left_keys_df = left.select(*[F.col(a).alias(b) for a, b in zip(lk, rk)]).where(all_not_null(rk)).distinct()
     right_m = right.join(left_keys_df, rk, "left_semi")
-    left_nn = left.where(all_not_null(lk))
-    null_ext = left.where(any_null(lk)).select(
-        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    )
-    out_cols = left.columns + right.columns
-
-    found = hot_keys(right_m, rk, hot_key_rows, max_hot_keys, include_null=False)
+    found = hot_keys(right_m, rk, hot_key_rows, max_hot_keys, include_null=False, skew_check_bytes=0)
     if found is None:
-        plain = left_nn.join(right_m, _eq(left_nn, lk, right_m, rk), "left_outer").select(*out_cols)
-        return plain.unionByName(null_ext)
+        return left.join(right_m, _eq(left, lk, right_m, rk), "left_outer").select(*out_cols)
 
     hot, _ = found
     hk = [f"_hot_{c}" for c in rk]
     salts = F.least(F.ceil(F.col("_n") / F.lit(hot_key_rows)), F.lit(MAX_SALTS)).cast("int")
     hot_b = F.broadcast(hot.toDF(*hk, "_n").withColumn("_salts", salts).drop("_n"))
 
-    cold_left = left_nn.join(hot_b, _eq(left_nn, lk, hot_b, hk), "left_anti")
+    cold_left = left.join(hot_b, _eq(left, lk, hot_b, hk), "left_anti")
     cold_right = right_m.join(hot_b, _eq(right_m, rk, hot_b, hk), "left_anti")
     cold = cold_left.join(cold_right, _eq(cold_left, lk, cold_right, rk), "left_outer").select(*out_cols)
 
     hot_left = (
-        left_nn.join(hot_b, _eq(left_nn, lk, hot_b, hk), "inner")
+        left.join(hot_b, _eq(left, lk, hot_b, hk), "inner")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
         .select(*left.columns, "_salt")
     )
@@ -92,7 +92,7 @@ def version_join(
     )
     cond = _eq(hot_left, lk, hot_right, rk) & (hot_left["_salt"] == hot_right["_rsalt"])
     hot_out = hot_left.join(hot_right, cond, "inner").select(*out_cols)
-    return cold.unionByName(hot_out).unionByName(null_ext)
+    return cold.unionByName(hot_out)
 
 
 def version_increment(

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 # Above this many rows a single key is split across tasks (our choice).
 DEFAULT_HOT_KEY_ROWS = 2_000_000
+# Inputs whose estimated size is below this fit one task whole, so no key in
+# them can overload a task and hot-key detection is skipped (our choice).
+DEFAULT_SKEW_CHECK_BYTES = 256 * 1024 * 1024
 # At most this many hot keys are handled by the split path; the rest stay on
 # the exact ordinary path, so the cap never changes a result.
 DEFAULT_MAX_HOT_KEYS = 1000
@@ -32,12 +35,23 @@ def null_safe_match(left: DataFrame, left_cols: Sequence[str], right: DataFrame,
     return cond
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (the statistic behind its broadcast
+    choice: file sizes scaled by the selected columns; filters and joins only
+    raise it).  ``None`` where the session does not expose it."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # e.g. Spark Connect: no plan handle, always check keys
+        return None
+
+
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     include_null: bool = True,
+    skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
 ) -> tuple[DataFrame, list] | None:
     """Keys holding more than ``hot_key_rows`` rows, largest first, at most
     ``max_hot_keys`` of them, as a small DataFrame (``keys + _n``) whose size
@@ -45,8 +59,12 @@ def hot_keys(
     is no hot key.
 
     The count is a partial (map-side) aggregate, so only one row per key and
-    task is shuffled; the collect is bounded by ``max_hot_keys``.
+    task is shuffled; the collect is bounded by ``max_hot_keys``.  An input
+    estimated below ``skew_check_bytes`` is skipped: even all of it fits one task.
     """
+    size = estimated_bytes(df)
+    if size is not None and size < skew_check_bytes:
+        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(hot_key_rows))
     if not include_null:
         counts = counts.where(all_not_null(keys))

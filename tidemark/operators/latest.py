@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.keys import (
     DEFAULT_HOT_KEY_ROWS,
+    DEFAULT_SKEW_CHECK_BYTES,
     DEFAULT_MAX_HOT_KEYS,
     hot_keys,
     null_safe_match,
@@ -42,6 +43,7 @@ def rank_versions(
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     detect_hot_keys: bool = True,
+    skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
 ) -> DataFrame:
     """``row_number()`` per primary key, newest first, for every row.
 
@@ -52,7 +54,7 @@ def rank_versions(
     plain = df.withColumn(name, F.row_number().over(_version_window(spec)))
     if not detect_hot_keys:
         return plain
-    found = hot_keys(df, spec.primary_key, hot_key_rows, max_hot_keys)
+    found = hot_keys(df, spec.primary_key, hot_key_rows, max_hot_keys, skew_check_bytes=skew_check_bytes)
     if found is None:
         return plain
     hot, hot_list = found
