@@ -51,3 +51,27 @@ def test_rebalanced_write_file_count(spark, path):
         if d.startswith("c_mktsegment="):
             files = [f for f in os.listdir(os.path.join(p.replace("file:", ""), d)) if f.endswith(".parquet")]
             assert len(files) <= 2, (d, files)
+
+
+def test_hot_partition_value_is_split_across_files(spark, path):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    shares = {r[0]: r[1] for r in li.groupBy("l_returnflag").count().collect()}
+    hot = max(shares, key=shares.get)
+    assert shares[hot] > li.count() / 3
+    src = path("hotsrc")
+    li.repartition(8).write.parquet(src)  # eight map tasks: skew is split along map-task ranges
+    li = spark.read.parquet(src)
+    p = path("hotwrite")
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set(keys[0], "256k")
+    spark.conf.set(keys[1], "64k")
+    try:
+        write_partitioned(li, p, "l_returnflag")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    d = os.path.join(p.replace("file:", ""), f"l_returnflag={hot}")
+    files = [f for f in os.listdir(d) if f.endswith(".parquet")]
+    assert len(files) > 1, files
+    assert read_table(spark, p, li.schema).count() == li.count()

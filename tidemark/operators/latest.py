@@ -14,6 +14,7 @@ from tidemark.operators.keys import (
     hot_keys,
     null_safe_match,
 )
+from tidemark.session import checkpoint_root
 from tidemark.spec import TableSpec
 
 
@@ -83,6 +84,7 @@ def _split_rank(rows: DataFrame, spec: TableSpec, name: str, splits: int) -> Dat
        ``#hot keys + #splits`` rows, so broadcasting it is safe.
     4. row number = position - first position + 1 + offset.
     """
+    checkpoint_root(rows.sparkSession)  # the shared folder the tags are written to
     pk = list(spec.primary_key)
     order = spec.order_columns()
     key_order = [F.asc_nulls_first(c) for c in pk]
