@@ -84,6 +84,7 @@ FROM customer c LEFT JOIN arc a ON c.c_custkey = a.id""",
     "initial_load": f"SELECT *, TIMESTAMP '2024-01-31 00:00:00' AS load_ts FROM events QUALIFY {_EVENT_NEWEST} = 1",
     "initial_archive": "SELECT *, TIMESTAMP '2024-01-31 00:00:00' AS load_ts FROM events",
     "incremental_merge": _MERGE_CTES + "SELECT * FROM fin",
+    "streaming_merge": _MERGE_CTES + "SELECT * FROM fin",
     "version_job": _ARCHIVE_CTE + """
 SELECT c.c_custkey AS id, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, a.version,
        CAST(coalesce(a.version, 0) + 1 AS INTEGER) AS inc_version

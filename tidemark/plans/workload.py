@@ -154,6 +154,20 @@ def q_archive_append(spark, sf_dir):
     return read_table(spark, arc, _table_schema(spark, sf_dir))
 
 
+def q_streaming_merge(spark, sf_dir):
+    """The merge triggered by Structured Streaming: the delta lands as files."""
+    from tidemark.streaming import start_merge_stream
+
+    cur, arc = _stage_tables(spark, sf_dir, "stream", with_archive=True)
+    landing = scratch_path(spark, "stream-landing")
+    delta = delta_rows(spark, sf_dir)
+    delta.write.parquet(landing)
+    query = start_merge_stream(spark, landing, delta.schema, ORDERS, cur, scratch_path(spark, "stream-ckpt"),
+                               archive_path=arc, files_per_batch=None, load_ts=DELTA_TS)
+    query.awaitTermination()
+    return read_table(spark, cur, _table_schema(spark, sf_dir))
+
+
 def q_initial_load(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     cur = scratch_path(spark, "init-current")
@@ -275,5 +289,6 @@ QUERIES = {
     "initial_load": q_initial_load,
     "initial_archive": q_initial_archive,
     "incremental_merge": q_incremental_merge,
+    "streaming_merge": q_streaming_merge,
     "version_job": q_version_job,
 }

@@ -30,10 +30,13 @@ def start_merge_stream(
     files_per_batch: int | None = 1,
     available_now: bool = True,
     processing_time: str = "1 minute",
+    load_ts=None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present.
 
-    ``files_per_batch=1`` merges every delta file as its own run, in arrival order.
+    ``files_per_batch=1`` merges every delta file as its own run, in arrival order
+    (``None``: everything new in one run).  ``load_ts`` fixes the load time of
+    every batch; by default each batch takes the driver clock once.
     """
     reader = spark.readStream.format(fmt).schema(delta_schema)
     if files_per_batch:
@@ -41,7 +44,7 @@ def start_merge_stream(
     deltas = reader.load(delta_dir)
 
     def merge_batch(batch, batch_id: int) -> None:
-        incremental_merge(batch.sparkSession, batch, spec, current_path, archive_path, fmt=fmt)
+        incremental_merge(batch.sparkSession, batch, spec, current_path, archive_path, load_ts=load_ts, fmt=fmt)
 
     writer = deltas.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
