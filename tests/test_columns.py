@@ -89,3 +89,19 @@ def test_next_version_overflow_raises_under_ansi(spark):
     if spark.conf.get("spark.sql.ansi.enabled") == "true":
         with pytest.raises(ArithmeticException):
             df.select(next_version("version")).collect()
+
+
+def test_title_case_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    alphabet = st.sampled_from(list("abcXYZ éÉßĳǅ中文 '-.3_,/:") + ["İ"[0:0] or "q"])
+    texts = st.lists(st.text(alphabet=alphabet, max_size=12), min_size=1, max_size=40)
+
+    @settings(max_examples=15, deadline=None)
+    @given(texts)
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "s string")
+        got = [r.t for r in df.select(title_case("s").alias("t")).collect()]
+        assert got == [v.title() for v in values]
+
+    check()

@@ -6,14 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Runs of cased letters, or of anything else.
+_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
+
+
 def title_case(col: Column | str) -> Column:
     """Python ``str.title()`` semantics as a JVM expression.
 
-    The value is lower-cased and cut into alternating runs of letters and
-    non-letters; every letter run gets an upper-case first letter.  Unlike
-    ``initcap`` (which only starts words after a space), a letter after an
-    apostrophe, hyphen, dot or digit is capitalised: ``o'fallon`` -> ``O'Fallon``.
+    The value is lower-cased and cut into alternating runs of cased letters
+    (upper, lower and title case) and everything else; every cased run gets a
+    capital first letter.  Unlike ``initcap`` (which only starts words after a
+    space), a letter after an apostrophe, hyphen, dot, digit or uncased letter
+    is capitalised: ``o'fallon`` -> ``O'Fallon``.
     """
     c = F.col(col) if isinstance(col, str) else col
-    runs = F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+|\P{L}+)"), 1)
+    runs = F.regexp_extract_all(F.lower(c), F.lit(_RUNS), 1)
     return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")

@@ -75,7 +75,7 @@ ON c.c_custkey = o.o_custkey""",
     "merge_union": _MERGE_CTES + "SELECT * FROM comb",
     "title_case": r"""
 SELECT n_nationkey, n_name,
-       array_to_string(list_transform(regexp_extract_all(lower(n_name), '(\pL+|\PL+)'),
+       array_to_string(list_transform(regexp_extract_all(lower(n_name), '([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)'),
                                       lambda x: upper(x[1]) || x[2:]), '') AS n_name_title
 FROM nation""",
     "version_increment": _ARCHIVE_CTE + """
