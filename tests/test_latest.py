@@ -50,3 +50,18 @@ def test_rank_versions_hot_null_key_and_duplicates(spark):
                               F.countDistinct("rn").alias("d")).collect()
     for r in per:
         assert r.lo == 1 and r.hi == r.n == r.d
+
+
+def test_sampled_detection_finds_the_hot_key(spark):
+    from tidemark.operators.keys import hot_keys
+
+    big = spark.range(20000).select(F.lit(7).alias("k"), F.col("id").alias("v"))
+    small = spark.range(3000).select((F.col("id") % 300 + 100).alias("k"), F.col("id").alias("v"))
+    df = big.unionByName(small)
+    found = hot_keys(df, ["k"], hot_key_rows=4000, skew_check_bytes=0)  # samples a quarter of the rows
+    assert found is not None
+    _, hot = found
+    assert [r.k for r in hot] == [7] and 15000 < hot[0]["_n"] < 25000
+    spec = TableSpec(("k",), ("v",), "k")
+    split = rank_versions(df, spec, name="rn", hot_key_rows=4000, skew_check_bytes=0)
+    assert rows(split) == rows(rank_versions(df, spec, name="rn", detect_hot_keys=False))

@@ -12,6 +12,10 @@ DEFAULT_HOT_KEY_ROWS = 2_000_000
 # Inputs whose estimated size is below this fit one task whole, so no key in
 # them can overload a task and hot-key detection is skipped (our choice).
 DEFAULT_SKEW_CHECK_BYTES = 256 * 1024 * 1024
+# Detection samples rows so that a key of ``hot_key_rows`` rows is seen about
+# this many times; a hot key is then missed with negligible probability, and
+# a miss or a false hit only changes the plan, never the result.
+SAMPLE_HITS = 1000
 # At most this many hot keys are handled by the split path; the rest stay on
 # the exact ordinary path, so the cap never changes a result.
 DEFAULT_MAX_HOT_KEYS = 1000
@@ -54,18 +58,33 @@ def hot_keys(
     skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
 ) -> tuple[DataFrame, list] | None:
     """Keys holding more than ``hot_key_rows`` rows, largest first, at most
-    ``max_hot_keys`` of them, as a small DataFrame (``keys + _n``) whose size
-    bound is proven by the limit, plus the collected rows; ``None`` when there
-    is no hot key.
+    ``max_hot_keys`` of them, as a small DataFrame (``keys + _n``, ``_n`` the
+    estimated row count) whose size bound is proven by the limit, plus the
+    collected rows; ``None`` when there is no hot key.
 
-    The count is a partial (map-side) aggregate, so only one row per key and
-    task is shuffled; the collect is bounded by ``max_hot_keys``.  An input
-    estimated below ``skew_check_bytes`` is skipped: even all of it fits one task.
+    Only the key columns are read, and a seeded Bernoulli sample of
+    ``SAMPLE_HITS / hot_key_rows`` of the rows is counted (all rows for small
+    thresholds), so the shuffle is a small fraction of the input.  The count is
+    a partial (map-side) aggregate and the collect is bounded by
+    ``max_hot_keys``.  An input estimated below ``skew_check_bytes`` is skipped:
+    even all of it fits one task.
     """
     size = estimated_bytes(df)
     if size is not None and size < skew_check_bytes:
         return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(hot_key_rows))
+    fraction = min(1.0, SAMPLE_HITS / hot_key_rows)
+    sample = df.select(*keys)
+    if fraction < 1.0:
+        sample = sample.sample(fraction=fraction, seed=17)
+    # a key at the threshold is expected SAMPLE_HITS times; flag it from half that
+    floor = hot_key_rows if fraction == 1.0 else fraction * hot_key_rows / 2
+    counts = (
+        sample.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_hits"))
+        .where(F.col("_hits") > F.lit(floor))
+        .withColumn("_n", F.round(F.col("_hits") / F.lit(fraction)).cast("long"))
+        .drop("_hits")
+    )
     if not include_null:
         counts = counts.where(all_not_null(keys))
     rows = counts.orderBy(F.desc("_n")).limit(max_hot_keys).collect()
