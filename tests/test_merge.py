@@ -164,3 +164,19 @@ def test_swap_uses_dynamic_overwrite(spark, path):
     incremental_merge(spark, spark.createDataFrame([(4, "d2", 2, "Ponce")], SCHEMA), SPEC, cur, None, load_ts=T1)
     assert _current(spark, cur).count() == 7
     spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_int_partition_and_composite_key(spark, path):
+    spec = TableSpec(("a", "b"), ("v",), "zone")
+    schema = "a int, b string, v int, zone int"
+    stored = spark.createDataFrame([], schema + ", load_ts timestamp_ntz").schema
+    cur = path("composite")
+    history = [(1, "x", 1, 10), (1, "y", 1, 10), (2, None, 1, 10), (3, "z", 1, 20), (None, "w", 1, 10)]
+    initial_load(spark.createDataFrame(history, schema), spec, cur, None, load_ts=T0)
+    delta = [(1, "x", 2, 10), (2, None, 2, 10), (None, "w", 2, 10), (4, "q", 1, 30)]
+    incremental_merge(spark, spark.createDataFrame(delta, schema), spec, cur, None, load_ts=T1)
+    got = rows(read_table(spark, cur, stored), "a", "b", "v", "zone")
+    # (1,'x') replaced; keys with a null part never match, so old and new both stay
+    assert got == sorted([(1, "x", 2, 10), (1, "y", 1, 10), (2, None, 1, 10), (2, None, 2, 10), (None, "w", 1, 10),
+                          (None, "w", 2, 10), (3, "z", 1, 20), (4, "q", 1, 30)], key=repr)
+    assert dict(read_table(spark, cur, stored).dtypes)["zone"] == "int"
