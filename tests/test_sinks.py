@@ -75,3 +75,35 @@ def test_hot_partition_value_is_split_across_files(spark, path):
     files = [f for f in os.listdir(d) if f.endswith(".parquet")]
     assert len(files) > 1, files
     assert read_table(spark, p, li.schema).count() == li.count()
+
+
+def test_touched_partitions_match_exactly(spark, path):
+    # names key1, key2, keyn, keym; touched key1, key2 -> exactly those two (no substring matching)
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(["key1", "key2", "keyn", "keym", "key10"])],
+                               "id int, part string")
+    p = path("match")
+    write_partitioned(df, p, "part")
+    got = partition_subset_scan(spark, p, df.schema, "part", ["key1", "key2"])
+    assert sorted(r.part for r in got.collect()) == ["key1", "key2"]
+
+
+def test_scan_formats_chosen_at_run_time(spark, path):
+    nation = spark.read.parquet(f"{SF01}/nation.parquet")
+    for fmt in ("json", "csv", "orc"):
+        p = path(fmt)
+        nation.write.format(fmt).option("header", "true").save(p)
+        back = scan(spark, p, fmt, schema=nation.schema, header="true")
+        assert rows(back) == rows(nation), fmt
+
+
+def test_persistent_catalog_table(spark, path):
+    customer = spark.read.parquet(f"{SF01}/customer.parquet")
+    p = path("ext")
+    write_partitioned(customer, p, "c_mktsegment")
+    register_table(spark, "tidemark_test_customer", p, persistent=True, schema=customer.schema,
+                   partition_key="c_mktsegment")
+    got = catalog_scan(spark, "tidemark_test_customer")
+    assert rows(got, *customer.columns) == rows(customer)
+    pruned = got.where("c_mktsegment = 'BUILDING'")
+    assert "PartitionFilters: [" in pruned._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP TABLE tidemark_test_customer")

@@ -50,9 +50,30 @@ def partition_subset_scan(spark: SparkSession, path: str, schema: StructType, ke
     return read_table(spark, path, schema, fmt).where(touched_predicate(F.col(key), values))
 
 
-def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Name a file table in the session catalog (a temporary view)."""
-    spark.read.format(fmt).load(path).createOrReplaceTempView(name)
+def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+                   persistent: bool = False, schema: StructType | None = None,
+                   partition_key: str | None = None) -> None:
+    """Name a file table in the catalog.
+
+    By default a temporary view of this session.  With ``persistent`` an
+    external table in the session's catalog (the metastore, where one is
+    configured) over ``path``; give ``schema`` and, for a partitioned table,
+    ``partition_key``, whose existing directories are then registered.
+    """
+    if not persistent:
+        reader = spark.read.format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        reader.load(path).createOrReplaceTempView(name)
+        return
+    if schema is None:
+        raise ValueError("a persistent table needs an explicit schema")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    partitioned = f" PARTITIONED BY (`{partition_key}`)" if partition_key else ""
+    location = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{partitioned} LOCATION '{location}'")
+    if partition_key:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def catalog_scan(spark: SparkSession, name: str) -> DataFrame:
