@@ -180,3 +180,13 @@ def test_int_partition_and_composite_key(spark, path):
     assert got == sorted([(1, "x", 2, 10), (1, "y", 1, 10), (2, None, 1, 10), (2, None, 2, 10), (None, "w", 1, 10),
                           (None, "w", 2, 10), (3, "z", 1, 20), (4, "q", 1, 30)], key=repr)
     assert dict(read_table(spark, cur, stored).dtypes)["zone"] == "int"
+
+
+def test_merge_without_cache_equals_cached(spark, path):
+    delta = spark.createDataFrame([(2, "b2", 2, "Adjuntas"), (7, "g1", 1, "Mayaguez")], SCHEMA)
+    results = []
+    for cache in (True, False):
+        cur, arc = _load(spark, path, HISTORY)
+        incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1, cache_merged=cache)
+        results.append((rows(_current(spark, cur)), rows(spark.read.schema(STORED).parquet(arc))))
+    assert results[0] == results[1]

@@ -23,22 +23,26 @@ def _stamp(df: DataFrame, spec: TableSpec, load_ts: datetime | str | Column | No
 
 
 def initial_load(history: DataFrame, spec: TableSpec, current_path: str, archive_path: str | None = None,
-                 load_ts: datetime | str | Column | None = None, fmt: str = "parquet") -> None:
+                 load_ts: datetime | str | Column | None = None, fmt: str = "parquet",
+                 rebalance: bool = True) -> None:
     """History feed -> *current* (newest row per key) and *archive* (every row).
 
     Both tables are partitioned by ``spec.partition_key`` and carry the run's
     single load time.  The feed is scanned once per output rather than cached:
     at the target size a cache would not fit and a second scan is cheap.
+    ``rebalance=False`` skips the layout shuffle of the archive write, for a
+    feed whose files are already grouped by partition value.
     """
     stamped = _stamp(history, spec, load_ts)
     write_partitioned(latest_per_key(stamped, spec), current_path, spec.partition_key, "overwrite", fmt)
     if archive_path is not None:
-        write_partitioned(stamped, archive_path, spec.partition_key, "overwrite", fmt)
+        write_partitioned(stamped, archive_path, spec.partition_key, "overwrite", fmt, rebalance=rebalance)
 
 
 def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, current_path: str,
                       archive_path: str | None = None, load_ts: datetime | str | Column | None = None,
-                      fmt: str = "parquet", max_touched: int = DEFAULT_MAX_TOUCHED) -> None:
+                      fmt: str = "parquet", max_touched: int = DEFAULT_MAX_TOUCHED,
+                      cache_merged: bool = True) -> None:
     """Merge a daily delta into *current* and snapshot the result into *archive*.
 
     For every partition value the delta touches, the new content is the delta
@@ -47,11 +51,15 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
     are persisted (memory, then disk) for the two writes: first the archive
     append, then the dynamic-overwrite swap of *current*.  If cached blocks are
     lost they are recomputed from *current*, which stays intact until the swap
-    commits.
+    commits.  ``cache_merged=False`` recomputes the merge for the second write
+    instead (for touched partitions too large for executor disks); the result
+    is the same as long as the delta itself is deterministic.
     """
     stamped = _stamp(delta, spec, load_ts)
     current = read_table(spark, current_path, stamped.schema, fmt)
-    merged = merged_partitions(current, stamped, spec, max_touched).persist(StorageLevel.MEMORY_AND_DISK)
+    merged = merged_partitions(current, stamped, spec, max_touched)
+    if cache_merged and archive_path is not None:
+        merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if archive_path is not None:
             write_partitioned(merged, archive_path, spec.partition_key, "append", fmt)
