@@ -1,0 +1,87 @@
+"""The versioned-table jobs on catalog tables whose partitions the catalog tracks."""
+
+import re
+import uuid
+
+import pytest
+from pyspark.sql.types import _parse_datatype_string
+
+from conftest import plan_text, rows
+from test_merge import HISTORY, SCHEMA, SPEC, STORED, T0, T1, T2, _current, _load
+from tidemark.operators import existing_in_touched
+from tidemark.plans import incremental_merge, incremental_merge_table, initial_load_table
+from tidemark.sinks import insert_partitions
+from tidemark.sources import create_table, overwrite_mode
+from tidemark.functions import with_load_ts
+
+
+def _names():
+    tag = uuid.uuid4().hex[:8]
+    return f"t_cur_{tag}", f"t_arc_{tag}"
+
+
+def _load_tables(spark, path, data):
+    cur_t, arc_t = _names()
+    initial_load_table(spark, spark.createDataFrame(data, SCHEMA), SPEC, cur_t, path("ccur"), arc_t, path("carc"),
+                       load_ts=T0)
+    return cur_t, arc_t
+
+
+DELTAS = [
+    [(2, "b2", 2, "Adjuntas"), (7, "g1", 1, "Mayaguez")],             # one touched, one new partition
+    [(5, "e2", 2, None), (6, "f2", 2, ""), (None, "x", 1, "Aguada")],  # null, blank, null key
+    [(3, "c2", 2, "Ponce"), (4, "d2", 2, "Ponce")],                  # key 3 moves between partitions
+]
+
+
+def test_catalog_merges_equal_path_merges(spark, path):
+    cur_t, arc_t = _load_tables(spark, path, HISTORY)
+    cur, arc = _load(spark, path, HISTORY)
+    for data, ts in zip(DELTAS, (T1, T2, "2024-03-31 00:00:00")):
+        delta = spark.createDataFrame(data, SCHEMA)
+        incremental_merge_table(spark, delta, SPEC, cur_t, arc_t, load_ts=ts)
+        incremental_merge(spark, delta, SPEC, cur, arc, load_ts=ts)
+        cols = _parse_datatype_string(STORED).fieldNames()
+        assert rows(spark.table(cur_t), *cols) == rows(_current(spark, cur), *cols)
+        assert rows(spark.table(arc_t), *cols) == rows(spark.read.schema(STORED).parquet(arc), *cols)
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {cur_t}").collect()}
+    assert "city=Mayaguez" in parts and "city=__HIVE_DEFAULT_PARTITION__" in parts
+
+
+def test_merge_scan_lists_only_touched_partitions(spark, path):
+    cur_t, _ = _load_tables(spark, path, HISTORY)
+    delta = with_load_ts(spark.createDataFrame(DELTAS[0], SCHEMA), "load_ts", T1)
+    touched = existing_in_touched(spark.table(cur_t), delta, "city")
+    locations = re.findall(r"Location: (\w+)\((\d+) paths\)", plan_text(touched))
+    # Mayaguez has no directory yet: only Adjuntas is listed, not the table root
+    assert locations == [("InMemoryFileIndex", "1")]
+    assert "Adjuntas" in plan_text(touched) and "Ponce" not in plan_text(touched)
+
+
+def test_overwrite_refused_without_dynamic_option(spark, path):
+    p = path("static")
+    spark.createDataFrame(HISTORY, SCHEMA).write.partitionBy("city").parquet(p)
+    name = f"t_static_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {name} ({SCHEMA}) USING parquet PARTITIONED BY (city) LOCATION '{p}'")
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    before = rows(spark.table(name))
+    assert overwrite_mode(spark, name) == "static"
+    delta = spark.createDataFrame(DELTAS[0], SCHEMA)
+    with pytest.raises(ValueError, match="dynamically"):
+        insert_partitions(delta, name, "city", overwrite=True)
+    assert rows(spark.table(name)) == before
+
+
+def test_create_table_is_dynamic_and_inserts_by_name(spark, path):
+    p = path("dyn")
+    schema = _parse_datatype_string(SCHEMA)
+    name = f"t_dyn_{uuid.uuid4().hex[:8]}"
+    create_table(spark, name, p, schema, "city")
+    assert overwrite_mode(spark, name) == "dynamic"
+    insert_partitions(spark.createDataFrame(HISTORY, SCHEMA), name, "city")
+    # columns in another order are matched by name; only Ponce is replaced
+    swapped = spark.createDataFrame([("Ponce", 9, 1, "p9")], "city string, id bigint, version int, name string")
+    insert_partitions(swapped, name, "city", overwrite=True)
+    got = rows(spark.table(name), "id", "name", "city")
+    want = [(r[0], r[1], r[3] or None) for r in HISTORY if r[3] != "Ponce"] + [(9, "p9", "Ponce")]
+    assert got == sorted(want, key=repr)

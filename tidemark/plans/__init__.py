@@ -1,5 +1,11 @@
 """Composite jobs (initial load, incremental merge, version increment)."""
 
-from tidemark.plans.jobs import incremental_merge, initial_load, version_job
+from tidemark.plans.jobs import (
+    incremental_merge,
+    incremental_merge_table,
+    initial_load,
+    initial_load_table,
+    version_job,
+)
 
-__all__ = ["incremental_merge", "initial_load", "version_job"]
+__all__ = ["incremental_merge", "incremental_merge_table", "initial_load", "initial_load_table", "version_job"]

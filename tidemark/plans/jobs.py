@@ -12,8 +12,8 @@ from tidemark.functions.columns import load_ts_literal, rename_column
 from tidemark.operators.join import version_increment
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import DEFAULT_MAX_TOUCHED, blank_partition_to_null, merged_partitions
-from tidemark.sinks.files import swap_partitions, write_json, write_partitioned
-from tidemark.sources.files import catalog_scan, read_table
+from tidemark.sinks.files import insert_partitions, swap_partitions, write_json, write_partitioned
+from tidemark.sources.files import catalog_scan, create_table, overwrite_mode, read_table
 from tidemark.spec import TableSpec
 
 
@@ -68,6 +68,55 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
         merged.unpersist()
 
 
+def initial_load_table(spark: SparkSession, history: DataFrame, spec: TableSpec, current_table: str,
+                       current_path: str, archive_table: str | None = None, archive_path: str | None = None,
+                       load_ts: datetime | str | Column | None = None, fmt: str = "parquet",
+                       rebalance: bool = True) -> None:
+    """:func:`initial_load` into catalog tables.
+
+    Both folders are overwritten whole, then (re)defined as external tables
+    whose partitions the catalog tracks and whose overwriting inserts are
+    dynamic, ready for :func:`incremental_merge_table`.
+    """
+    if (archive_table is None) != (archive_path is None):
+        raise ValueError("give both archive_table and archive_path, or neither")
+    ts = load_ts if isinstance(load_ts, Column) else load_ts_literal(load_ts)
+    initial_load(history, spec, current_path, archive_path, ts, fmt, rebalance)
+    stored = _stamp(history, spec, ts).schema
+    create_table(spark, current_table, current_path, stored, spec.partition_key, fmt, replace=True)
+    if archive_table is not None:
+        create_table(spark, archive_table, archive_path, stored, spec.partition_key, fmt, replace=True)
+
+
+def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSpec, current_table: str,
+                            archive_table: str | None = None, load_ts: datetime | str | Column | None = None,
+                            max_touched: int = DEFAULT_MAX_TOUCHED, cache_merged: bool = True) -> None:
+    """:func:`incremental_merge` on catalog tables (see :func:`initial_load_table`).
+
+    The touched values become a predicate on the partition column, which the
+    catalog answers with the matching partitions: only their directories are
+    listed and read, however many partitions *current* has.  The merged rows
+    are inserted into *archive*, then overwrite their partitions of *current*
+    (dynamic overwrite, checked before anything is written); new partition
+    values are registered by the inserts.
+    """
+    current = catalog_scan(spark, current_table)
+    stamped = _stamp(delta, spec, load_ts)
+    if sorted(stamped.columns) != sorted(current.columns):
+        raise ValueError(f"delta columns {stamped.columns} (with {spec.load_ts_col}) differ from {current.columns}")
+    if overwrite_mode(spark, current_table) != "dynamic":
+        raise ValueError(f"{current_table} does not overwrite partitions dynamically; create it with create_table")
+    merged = merged_partitions(current, stamped.select(*current.columns), spec, max_touched)
+    if cache_merged and archive_table is not None:
+        merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if archive_table is not None:
+            insert_partitions(merged, archive_table, spec.partition_key)
+        insert_partitions(merged, current_table, spec.partition_key, overwrite=True)
+    finally:
+        merged.unpersist()
+
+
 def version_job(spark: SparkSession, daily_table: str, archive_table: str, out_path: str,
                 daily_key: str = "id", archive_renames: Mapping[str, str] | None = None,
                 archive_key: str = "s_id", version_col: str = "version",

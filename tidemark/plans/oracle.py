@@ -1,6 +1,6 @@
 """Independent DuckDB statements for every entry of ``workload.QUERIES``.
 
-The tables ``orders customer nation events`` are the shared test tables.
+The tables ``orders customer events`` are the shared test tables.
 They restate each operator in plain SQL (QUALIFY, NOT EXISTS, UNION ALL),
 without the Spark code path, so agreement is a real check.
 """
@@ -49,7 +49,7 @@ SQL: dict[str, str] = {
 SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS load_ts FROM orders
 WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'
 UNION ALL SELECT * FROM comb""",
-    "json_sink": "SELECT * FROM nation",
+    "json_sink": "SELECT * FROM orders",
     "partition_swap": _MERGE_CTES + "SELECT * FROM fin",
     "prefixed_projection": """
 SELECT c_custkey AS daily_data_c_custkey, c_name AS daily_data_c_name, c_nationkey AS daily_data_c_nationkey,
@@ -74,16 +74,18 @@ ON c.c_custkey = o.o_custkey""",
     "latest_per_key": f"SELECT * FROM orders QUALIFY {_ORDER_NEWEST} = 1",
     "merge_union": _MERGE_CTES + "SELECT * FROM comb",
     "title_case": r"""
-SELECT n_nationkey, n_name,
-       array_to_string(list_transform(regexp_extract_all(lower(n_name), '([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)'),
-                                      lambda x: upper(x[1]) || x[2:]), '') AS n_name_title
-FROM nation""",
+SELECT o_orderkey, o_orderpriority,
+       array_to_string(list_transform(
+         regexp_extract_all(lower(o_orderpriority), '([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)'),
+         lambda x: upper(x[1]) || x[2:]), '') AS o_orderpriority_title
+FROM orders""",
     "version_increment": _ARCHIVE_CTE + """
 SELECT c.*, a.version, CAST(coalesce(a.version, 0) + 1 AS INTEGER) AS inc_version
 FROM customer c LEFT JOIN arc a ON c.c_custkey = a.id""",
     "initial_load": f"SELECT *, TIMESTAMP '2024-01-31 00:00:00' AS load_ts FROM events QUALIFY {_EVENT_NEWEST} = 1",
     "initial_archive": "SELECT *, TIMESTAMP '2024-01-31 00:00:00' AS load_ts FROM events",
     "incremental_merge": _MERGE_CTES + "SELECT * FROM fin",
+    "catalog_merge": _MERGE_CTES + "SELECT * FROM fin",
     "streaming_merge": _MERGE_CTES + "SELECT * FROM fin",
     "version_job": _ARCHIVE_CTE + """
 SELECT c.c_custkey AS id, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, a.version,

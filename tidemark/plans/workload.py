@@ -13,6 +13,8 @@ loaded 2024-01-31.  ``events`` is a second feed (key ``user_id``, newest by
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,7 +40,13 @@ from tidemark.operators import (
     version_join,
 )
 from tidemark.operators.merge import collect_touched
-from tidemark.plans.jobs import incremental_merge, initial_load, version_job
+from tidemark.plans.jobs import (
+    incremental_merge,
+    incremental_merge_table,
+    initial_load,
+    initial_load_table,
+    version_job,
+)
 from tidemark.session import scratch_path
 from tidemark.sinks import swap_partitions, write_json, write_partitioned
 from tidemark.sources import catalog_scan, partition_subset_scan, read_table, register_table, scan
@@ -129,10 +137,10 @@ def q_overwrite_partitioned(spark, sf_dir):
 
 
 def q_json_sink(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
+    orders = table(spark, sf_dir, "orders")
     path = scratch_path(spark, "json")
-    write_json(nation, path)
-    return spark.read.schema(nation.schema).json(path)
+    write_json(orders, path)
+    return spark.read.schema(orders.schema).json(path)
 
 
 def q_partition_swap(spark, sf_dir):
@@ -154,6 +162,16 @@ def q_archive_append(spark, sf_dir):
     return read_table(spark, arc, _table_schema(spark, sf_dir))
 
 
+def q_catalog_merge(spark, sf_dir):
+    """The merge on catalog tables: only the touched partitions are listed."""
+    tag = uuid.uuid4().hex[:12]
+    cur_t, arc_t = f"tidemark_current_{tag}", f"tidemark_archive_{tag}"
+    initial_load_table(spark, existing_feed(spark, sf_dir), ORDERS, cur_t, scratch_path(spark, "cat-current"),
+                       arc_t, scratch_path(spark, "cat-archive"), load_ts=EXISTING_TS)
+    incremental_merge_table(spark, delta_rows(spark, sf_dir), ORDERS, cur_t, arc_t, load_ts=DELTA_TS)
+    return catalog_scan(spark, cur_t).select(*_table_schema(spark, sf_dir).fieldNames())
+
+
 def q_streaming_merge(spark, sf_dir):
     """The merge triggered by Structured Streaming: the delta lands as files."""
     from tidemark.streaming import start_merge_stream
@@ -221,8 +239,9 @@ def q_drop_columns(spark, sf_dir):
 
 
 def q_title_case(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
-    return nation.select("n_nationkey", "n_name", title_case("n_name").alias("n_name_title"))
+    """Title-cased partition values, as the workflow spells partition folders."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", "o_orderpriority", title_case("o_orderpriority").alias("o_orderpriority_title"))
 
 
 # ---------------------------------------------------------------- merge pieces
@@ -289,6 +308,7 @@ QUERIES = {
     "initial_load": q_initial_load,
     "initial_archive": q_initial_archive,
     "incremental_merge": q_incremental_merge,
+    "catalog_merge": q_catalog_merge,
     "streaming_merge": q_streaming_merge,
     "version_job": q_version_job,
 }

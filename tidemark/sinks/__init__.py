@@ -1,5 +1,5 @@
-"""Writers: partitioned overwrite, archive append, partition swap, JSON."""
+"""Writers: partitioned overwrite, archive append, partition swap, catalog inserts, JSON."""
 
-from tidemark.sinks.files import swap_partitions, write_json, write_partitioned
+from tidemark.sinks.files import insert_partitions, swap_partitions, write_json, write_partitioned
 
-__all__ = ["swap_partitions", "write_json", "write_partitioned"]
+__all__ = ["insert_partitions", "swap_partitions", "write_json", "write_partitioned"]

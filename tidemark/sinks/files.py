@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tidemark.sources.files import overwrite_mode
+
 
 def _layout(df: DataFrame, key: str, rebalance: bool) -> DataFrame:
     """Group rows of one partition value into few tasks before writing.
@@ -47,3 +49,19 @@ def swap_partitions(df: DataFrame, path: str, key: str, fmt: str = "parquet", re
 def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
     """Line-delimited JSON files."""
     df.write.mode(mode).json(path)
+
+
+def insert_partitions(df: DataFrame, table: str, key: str, overwrite: bool = False, rebalance: bool = True) -> None:
+    """Write ``df`` into the partitioned catalog table ``table``.
+
+    Columns are matched by name (``insertInto`` itself is positional).  An
+    append adds files and registers new partitions; ``overwrite`` replaces
+    exactly the partitions ``df`` has rows for and is refused unless the table
+    overwrites dynamically (see :func:`tidemark.sources.create_table`): a
+    static overwrite would delete every other partition.
+    """
+    spark = df.sparkSession
+    if overwrite and overwrite_mode(spark, table) != "dynamic":
+        raise ValueError(f"{table} does not overwrite partitions dynamically; create it with create_table")
+    ordered = df.select(*spark.table(table).columns)
+    _layout(ordered, key, rebalance).write.insertInto(table, overwrite=overwrite)

@@ -1,11 +1,14 @@
-"""Readers: file scans, partitioned table scans, catalog scans."""
+"""Readers: file scans, partitioned table scans, catalog tables."""
 
 from tidemark.sources.files import (
     catalog_scan,
+    create_table,
+    overwrite_mode,
     partition_subset_scan,
     read_table,
     register_table,
     scan,
 )
 
-__all__ = ["catalog_scan", "partition_subset_scan", "read_table", "register_table", "scan"]
+__all__ = ["catalog_scan", "create_table", "overwrite_mode", "partition_subset_scan", "read_table",
+           "register_table", "scan"]

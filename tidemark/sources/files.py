@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -57,8 +58,7 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
 
     By default a temporary view of this session.  With ``persistent`` an
     external table in the session's catalog (the metastore, where one is
-    configured) over ``path``; give ``schema`` and, for a partitioned table,
-    ``partition_key``, whose existing directories are then registered.
+    configured) over ``path``, created by :func:`create_table`.
     """
     if not persistent:
         reader = spark.read.format(fmt)
@@ -68,12 +68,44 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
         return
     if schema is None:
         raise ValueError("a persistent table needs an explicit schema")
+    create_table(spark, name, path, schema, partition_key, fmt)
+
+
+def create_table(spark: SparkSession, name: str, path: str, schema: StructType,
+                 partition_key: str | None = None, fmt: str = "parquet", replace: bool = False) -> None:
+    """An external table over ``path`` whose partitions the catalog tracks.
+
+    Reads of such a table with a predicate on the partition column ask the
+    catalog for the matching partitions and list only their directories.  The
+    table stores ``partitionOverwriteMode=dynamic`` as its own option, so an
+    overwriting insert replaces only the partitions it writes (``insertInto``
+    ignores a writer option; only the table option or the session default
+    count).  Partition directories already under ``path`` are registered.
+    ``replace`` drops an existing definition first (the files stay: the table
+    is external).
+    """
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitioned = f" PARTITIONED BY (`{partition_key}`)" if partition_key else ""
     location = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{partitioned} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} "
+              f"OPTIONS ('partitionOverwriteMode' = 'dynamic'){partitioned} LOCATION '{location}'")
     if partition_key:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        try:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        except Exception as exc:  # a new, still empty table has no folder yet
+            if "FileNotFoundException" not in str(exc):
+                raise
+
+
+def overwrite_mode(spark: SparkSession, name: str) -> str:
+    """``dynamic`` or ``static``: how an overwriting insert into ``name`` treats
+    partitions it does not write (the table option, else the session default)."""
+    props = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Storage Properties'").collect()
+    found = re.search(r"partitionOverwriteMode=(\w+)", props[0][1] if props else "", re.IGNORECASE)
+    mode = found.group(1) if found else spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    return mode.lower()
 
 
 def catalog_scan(spark: SparkSession, name: str) -> DataFrame:
