@@ -190,3 +190,26 @@ def test_merge_without_cache_equals_cached(spark, path):
         incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1, cache_merged=cache)
         results.append((rows(_current(spark, cur)), rows(spark.read.schema(STORED).parquet(arc))))
     assert results[0] == results[1]
+
+
+def test_partition_normalizer_joins_spellings(spark, path):
+    from tidemark.functions import title_case
+
+    spec = TableSpec(("id",), ("version",), "city", partition_normalizer=title_case)
+    cur, arc = path("cur"), path("arc")
+    initial_load(spark.createDataFrame([(1, "a", 1, "SAN JUAN"), (2, "b", 1, "o'fallon")], SCHEMA), spec, cur, arc,
+                 load_ts=T0)
+    delta = spark.createDataFrame([(1, "a2", 2, "San Juan"), (3, "c", 1, "san juan")], SCHEMA)
+    incremental_merge(spark, delta, spec, cur, arc, load_ts=T1)
+    got = rows(_current(spark, cur), "id", "name", "city")
+    assert got == sorted([(1, "a2", "San Juan"), (2, "b", "O'Fallon"), (3, "c", "San Juan")], key=repr)
+
+
+def test_merge_without_delta_cache_equals_cached(spark, path):
+    delta = spark.createDataFrame([(2, "b2", 2, "Adjuntas"), (5, "e2", 2, ""), (7, "g1", 1, "Mayaguez")], SCHEMA)
+    results = []
+    for cache in (True, False):
+        cur, arc = _load(spark, path, HISTORY)
+        incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1, cache_delta=cache)
+        results.append((rows(_current(spark, cur)), rows(spark.read.schema(STORED).parquet(arc))))
+    assert results[0] == results[1]

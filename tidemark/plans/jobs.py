@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.columns import load_ts_literal, rename_column
 from tidemark.operators.join import version_increment
@@ -18,8 +19,12 @@ from tidemark.spec import TableSpec
 
 
 def _stamp(df: DataFrame, spec: TableSpec, load_ts: datetime | str | Column | None) -> DataFrame:
+    """Incoming rows as stored: normalized partition value ('' is null) and the run's load time."""
     value = load_ts if isinstance(load_ts, Column) else load_ts_literal(load_ts)
-    return blank_partition_to_null(df, spec.partition_key).withColumn(spec.load_ts_col, value)
+    key = spec.partition_key
+    if spec.partition_normalizer is not None:
+        df = df.withColumn(key, spec.partition_normalizer(F.col(key)))
+    return blank_partition_to_null(df, key).withColumn(spec.load_ts_col, value)
 
 
 def initial_load(history: DataFrame, spec: TableSpec, current_path: str, archive_path: str | None = None,
@@ -42,30 +47,48 @@ def initial_load(history: DataFrame, spec: TableSpec, current_path: str, archive
 def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, current_path: str,
                       archive_path: str | None = None, load_ts: datetime | str | Column | None = None,
                       fmt: str = "parquet", max_touched: int = DEFAULT_MAX_TOUCHED,
-                      cache_merged: bool = True) -> None:
+                      cache_merged: bool = True, cache_delta: bool = True) -> None:
     """Merge a daily delta into *current* and snapshot the result into *archive*.
 
     For every partition value the delta touches, the new content is the delta
     rows plus the existing rows whose key the delta lacks; untouched partitions
-    are neither read nor rewritten.  The merged rows feed two sinks, so they
-    are persisted (memory, then disk) for the two writes: first the archive
-    append, then the dynamic-overwrite swap of *current*.  If cached blocks are
-    lost they are recomputed from *current*, which stays intact until the swap
+    are neither read nor rewritten.  The stamped delta is used three times
+    (touched values, its keys, its rows), so it is persisted (memory, then
+    disk) unless ``cache_delta=False``; the three uses then also agree for a
+    source that is not repeatable.  The merged rows feed two sinks, so they
+    are persisted too, for the two writes: first the archive append, then the
+    dynamic-overwrite swap of *current*.  If cached blocks are lost they are
+    recomputed from the delta and *current*, which stays intact until the swap
     commits.  ``cache_merged=False`` recomputes the merge for the second write
-    instead (for touched partitions too large for executor disks); the result
-    is the same as long as the delta itself is deterministic.
+    instead (for touched partitions too large for executor disks).
     """
     stamped = _stamp(delta, spec, load_ts)
     current = read_table(spark, current_path, stamped.schema, fmt)
-    merged = merged_partitions(current, stamped, spec, max_touched)
-    if cache_merged and archive_path is not None:
-        merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+
+    def write(merged: DataFrame) -> None:
         if archive_path is not None:
             write_partitioned(merged, archive_path, spec.partition_key, "append", fmt)
         swap_partitions(merged, current_path, spec.partition_key, fmt)
+
+    _merge(current, stamped, spec, max_touched, cache_delta, cache_merged and archive_path is not None, write)
+
+
+def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, max_touched: int, cache_delta: bool,
+           cache_merged: bool, write) -> None:
+    """Build the merged partitions of ``current`` and hand them to ``write``,
+    with the stamped delta and the merged rows persisted as asked."""
+    if cache_delta:
+        stamped = stamped.persist(StorageLevel.MEMORY_AND_DISK)
+    merged = None
+    try:
+        merged = merged_partitions(current, stamped, spec, max_touched)
+        if cache_merged:
+            merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
+        write(merged)
     finally:
-        merged.unpersist()
+        if merged is not None:
+            merged.unpersist()
+        stamped.unpersist()
 
 
 def initial_load_table(spark: SparkSession, history: DataFrame, spec: TableSpec, current_table: str,
@@ -90,7 +113,8 @@ def initial_load_table(spark: SparkSession, history: DataFrame, spec: TableSpec,
 
 def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSpec, current_table: str,
                             archive_table: str | None = None, load_ts: datetime | str | Column | None = None,
-                            max_touched: int = DEFAULT_MAX_TOUCHED, cache_merged: bool = True) -> None:
+                            max_touched: int = DEFAULT_MAX_TOUCHED, cache_merged: bool = True,
+                            cache_delta: bool = True) -> None:
     """:func:`incremental_merge` on catalog tables (see :func:`initial_load_table`).
 
     The touched values become a predicate on the partition column, which the
@@ -106,15 +130,14 @@ def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSp
         raise ValueError(f"delta columns {stamped.columns} (with {spec.load_ts_col}) differ from {current.columns}")
     if overwrite_mode(spark, current_table) != "dynamic":
         raise ValueError(f"{current_table} does not overwrite partitions dynamically; create it with create_table")
-    merged = merged_partitions(current, stamped.select(*current.columns), spec, max_touched)
-    if cache_merged and archive_table is not None:
-        merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+
+    def write(merged: DataFrame) -> None:
         if archive_table is not None:
             insert_partitions(merged, archive_table, spec.partition_key)
         insert_partitions(merged, current_table, spec.partition_key, overwrite=True)
-    finally:
-        merged.unpersist()
+
+    _merge(current, stamped.select(*current.columns), spec, max_touched, cache_delta,
+           cache_merged and archive_table is not None, write)
 
 
 def version_job(spark: SparkSession, daily_table: str, archive_table: str, out_path: str,

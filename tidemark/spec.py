@@ -25,8 +25,10 @@ class TableSpec:
     version_order: tuple[str | Column, ...]
     partition_key: str
     load_ts_col: str = "load_ts"
-    # Optional normalizer applied to the partition column of delta and current
-    # before touched partitions are matched (e.g. title_case); off by default.
+    # Optional Column -> Column function (e.g. functions.title_case) applied to
+    # the partition column of every incoming row, history and delta alike, so
+    # *current* only ever holds normalized values and ``SAN JUAN`` and
+    # ``San Juan`` meet in one partition.  Off by default.
     partition_normalizer: object = field(default=None, compare=False)
 
     def __post_init__(self):
