@@ -43,3 +43,22 @@ def test_salted_with_duplicated_rows_and_left_copies(spark):
     got = version_join(left, right, "k", "rk", hot_key_rows=5, skew_check_bytes=0)
     expect = [(1, t, 1, v) for t in ("x", "y") for v in [5] * 40 + [6] * 3] + [(2, "z", 2, 1), (None, "n", None, None)]
     assert rows(got) == sorted(expect, key=repr)
+
+
+def test_archive_prefilter_broadcasts_small_key_set(spark, path):
+    from conftest import plan_text
+
+    p = path("daily")
+    spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "id bigint, v string").write.parquet(p)
+    left = spark.read.parquet(p)
+    right = spark.createDataFrame([(1, 10), (1, 11), (3, 30)], "s_id bigint, version int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # skew_check_bytes=0 takes the large-archive path: semi-join pre-filter, then hot-key check
+        out = version_join(left, right, "id", "s_id", hot_key_rows=10, skew_check_bytes=0)
+        assert "BroadcastHashJoin" in plan_text(out) and "LeftSemi" in plan_text(out)
+        assert rows(out) == sorted([(1, "a", 1, 10), (1, "a", 1, 11), (2, "b", None, None), (None, "n", None, None)],
+                                   key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

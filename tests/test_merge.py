@@ -213,3 +213,20 @@ def test_merge_without_delta_cache_equals_cached(spark, path):
         incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1, cache_delta=cache)
         results.append((rows(_current(spark, cur)), rows(spark.read.schema(STORED).parquet(arc))))
     assert results[0] == results[1]
+
+
+def test_small_key_set_is_broadcast_behind_size_check(spark, path):
+    existing = spark.createDataFrame(HISTORY, SCHEMA)
+    p = path("delta")
+    spark.createDataFrame([(2, "b2", 2, "Adjuntas")], SCHEMA).write.parquet(p)
+    delta = spark.read.parquet(p)  # file statistics give a size estimate (in-memory rows have none)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our explicit choice can broadcast
+    try:
+        hinted = survivors(existing, delta, ["id"])
+        shuffled = survivors(existing, delta, ["id"], broadcast_bytes=0)
+        assert "BroadcastHashJoin" in plan_text(hinted) and "LeftAnti" in plan_text(hinted)
+        assert "SortMergeJoin" in plan_text(shuffled) and "BroadcastHashJoin" not in plan_text(shuffled)
+        assert rows(hinted) == rows(shuffled)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.versions import next_version
 from tidemark.operators.keys import (
+    DEFAULT_BROADCAST_KEYS_BYTES,
     DEFAULT_HOT_KEY_ROWS,
     DEFAULT_SKEW_CHECK_BYTES,
     DEFAULT_MAX_HOT_KEYS,
     all_not_null,
+    broadcast_if_small,
     estimated_bytes,
     hot_keys,
 )
@@ -36,15 +38,16 @@ def version_join(
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
+    broadcast_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES,
 ) -> DataFrame:
     """``left LEFT OUTER JOIN right ON left_keys = right_keys``, every match kept.
 
     Column names of the two sides must differ (rename first).  Plan:
 
     * a large ``right`` (estimated at or above ``skew_check_bytes``) is first
-      cut to keys that occur in ``left`` by a semi join; a small ``left`` is
-      broadcast by adaptive execution, so the large side is only filtered,
-      never shuffled whole.
+      cut to keys that occur in ``left`` by a semi join; the distinct left keys
+      are broadcast when estimated at most ``broadcast_bytes``, so the large
+      side is only filtered, never shuffled whole.
     * right keys with more than ``hot_key_rows`` rows are salted: their right
       rows spread over ``ceil(n / hot_key_rows)`` salts by a row hash, the left
       rows of those keys are copied once per salt, and the two meet in an inner
@@ -66,7 +69,7 @@ def version_join(
         return left.join(right, _eq(left, lk, right, rk), "left_outer").select(*out_cols)
 
     left_keys_df = left.select(*[F.col(a).alias(b) for a, b in zip(lk, rk)]).where(all_not_null(rk)).distinct()
-    right_m = right.join(left_keys_df, rk, "left_semi")
+    right_m = right.join(broadcast_if_small(left_keys_df, broadcast_bytes), rk, "left_semi")
     found = hot_keys(right_m, rk, hot_key_rows, max_hot_keys, include_null=False, skew_check_bytes=0)
     if found is None:
         return left.join(right_m, _eq(left, lk, right_m, rk), "left_outer").select(*out_cols)

@@ -19,6 +19,11 @@ SAMPLE_HITS = 1000
 # At most this many hot keys are handled by the split path; the rest stay on
 # the exact ordinary path, so the cap never changes a result.
 DEFAULT_MAX_HOT_KEYS = 1000
+# A key set (distinct join keys) whose estimated size is at most this is
+# broadcast explicitly, so the large side of its join is never shuffled; above
+# it the join shuffles both sides (our choice: the estimate counts file bytes,
+# which may be several times smaller than the rows in memory).
+DEFAULT_BROADCAST_KEYS_BYTES = 64 * 1024 * 1024
 
 
 def all_not_null(cols: Sequence[str]) -> Column:
@@ -49,6 +54,14 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES) -> DataFrame:
+    """``df`` marked for broadcast when its size estimate is known and at most
+    ``max_bytes``; otherwise unchanged (the planner and adaptive execution
+    decide, normally a shuffle join)."""
+    size = estimated_bytes(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df
+
+
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidemark.operators.keys import all_not_null, any_null
+from tidemark.operators.keys import DEFAULT_BROADCAST_KEYS_BYTES, all_not_null, any_null, broadcast_if_small
 from tidemark.spec import TableSpec
 
 # Up to this many touched partition values are collected and become a static
@@ -61,16 +61,20 @@ def existing_in_touched(
     return current.join(touched, current[key].eqNullSafe(touched["_touched"]), "left_semi")
 
 
-def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str]) -> DataFrame:
+def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str],
+              broadcast_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES) -> DataFrame:
     """Existing rows whose key the delta does not carry.
 
-    A left anti join against the distinct non-null delta keys.  Existing rows
-    with a null key can never match, so they bypass the join (all of them
-    would otherwise hash into one task).  When the delta's key set is small,
-    adaptive execution broadcasts it and ``existing`` is not shuffled at all.
+    A left anti join against the distinct non-null delta keys.  A key set
+    estimated at most ``broadcast_bytes`` is broadcast, so ``existing`` (the
+    touched partitions, possibly most of the table) is not shuffled at all;
+    a larger one makes a shuffled anti join, whose skewed ``existing`` side
+    adaptive execution splits.  Existing rows with a null key can never
+    match, so they bypass the join (all of them would otherwise hash into one
+    task).
     """
     pk = list(primary_key)
-    keys = delta.select(*pk).where(all_not_null(pk)).distinct()
+    keys = broadcast_if_small(delta.select(*pk).where(all_not_null(pk)).distinct(), broadcast_bytes)
     matched = existing.where(all_not_null(pk)).join(keys, pk, "left_anti")
     return matched.unionByName(existing.where(any_null(pk)))
 
