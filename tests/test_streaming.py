@@ -25,3 +25,33 @@ def test_stream_of_deltas_equals_batch_merges(spark, path):
     schema = w.existing_rows(spark, SF01).schema
     cols = [c for c in schema.fieldNames() if c != "load_ts"]
     assert rows(read_table(spark, cur_s, schema), *cols) == rows(read_table(spark, cur_b, schema), *cols)
+
+
+def test_stream_into_catalog_tables_equals_path_stream(spark, path):
+    import uuid
+
+    from tidemark.plans import initial_load_table
+    from tidemark.streaming import start_merge_stream_table
+
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    base = orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    day1 = w.latest_per_key(orders.where("o_orderdate >= '2000-01-01' and o_orderpriority = '2-HIGH'"), w.ORDERS)
+    day2 = w.latest_per_key(orders.where("o_orderdate >= '2000-06-01' and o_orderpriority = '3-MEDIUM'"), w.ORDERS)
+    deltas = path("deltas")
+    day1.coalesce(1).write.parquet(deltas)
+    day2.coalesce(1).write.mode("append").parquet(deltas)
+    ts = "2024-02-01 00:00:00"
+
+    cur_p, arc_p = path("p-cur"), path("p-arc")
+    initial_load(base, w.ORDERS, cur_p, arc_p, load_ts="2024-01-01 00:00:00")
+    start_merge_stream(spark, deltas, day1.schema, w.ORDERS, cur_p, path("p-ckpt"), arc_p,
+                       load_ts=ts).awaitTermination(300)
+    tag = uuid.uuid4().hex[:8]
+    cur_t, arc_t = f"s_cur_{tag}", f"s_arc_{tag}"
+    initial_load_table(spark, base, w.ORDERS, cur_t, path("t-cur"), arc_t, path("t-arc"), load_ts="2024-01-01 00:00:00")
+    start_merge_stream_table(spark, deltas, day1.schema, w.ORDERS, cur_t, path("t-ckpt"), arc_t,
+                             load_ts=ts).awaitTermination(300)
+    schema = w.existing_rows(spark, SF01).schema
+    cols = schema.fieldNames()
+    assert rows(spark.table(cur_t), *cols) == rows(read_table(spark, cur_p, schema), *cols)
+    assert rows(spark.table(arc_t), *cols) == rows(read_table(spark, arc_p, schema), *cols)

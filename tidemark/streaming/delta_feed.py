@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.plans.jobs import incremental_merge
+from tidemark.plans.jobs import incremental_merge, incremental_merge_table
 from tidemark.spec import TableSpec
 
 
@@ -38,14 +38,43 @@ def start_merge_stream(
     (``None``: everything new in one run).  ``load_ts`` fixes the load time of
     every batch; by default each batch takes the driver clock once.
     """
+    def merge_batch(batch, batch_id: int) -> None:
+        incremental_merge(batch.sparkSession, batch, spec, current_path, archive_path, load_ts=load_ts, fmt=fmt)
+
+    return _start(spark, delta_dir, delta_schema, fmt, checkpoint_location, files_per_batch, available_now,
+                  processing_time, merge_batch)
+
+
+def start_merge_stream_table(
+    spark: SparkSession,
+    delta_dir: str,
+    delta_schema: StructType,
+    spec: TableSpec,
+    current_table: str,
+    checkpoint_location: str,
+    archive_table: str | None = None,
+    fmt: str = "parquet",
+    files_per_batch: int | None = 1,
+    available_now: bool = True,
+    processing_time: str = "1 minute",
+    load_ts=None,
+) -> StreamingQuery:
+    """:func:`start_merge_stream` into catalog tables (:func:`incremental_merge_table`):
+    each batch lists only the partitions it touches.  ``fmt`` is the format of
+    the delta files."""
+    def merge_batch(batch, batch_id: int) -> None:
+        incremental_merge_table(batch.sparkSession, batch, spec, current_table, archive_table, load_ts=load_ts)
+
+    return _start(spark, delta_dir, delta_schema, fmt, checkpoint_location, files_per_batch, available_now,
+                  processing_time, merge_batch)
+
+
+def _start(spark, delta_dir, delta_schema, fmt, checkpoint_location, files_per_batch, available_now,
+           processing_time, merge_batch) -> StreamingQuery:
     reader = spark.readStream.format(fmt).schema(delta_schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     deltas = reader.load(delta_dir)
-
-    def merge_batch(batch, batch_id: int) -> None:
-        incremental_merge(batch.sparkSession, batch, spec, current_path, archive_path, load_ts=load_ts, fmt=fmt)
-
     writer = deltas.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
