@@ -1,0 +1,45 @@
+"""The command line runs the same jobs as the functions."""
+
+import uuid
+
+from conftest import rows
+from test_merge import HISTORY, SCHEMA, SPEC, STORED, T0, T1, _current, _load
+from tidemark.cli import run
+from tidemark.plans import incremental_merge
+
+KEYS = ["--primary-key", "id", "--version-key", "version", "--partition-key", "city"]
+
+
+def test_cli_path_and_catalog_forms_equal_functions(spark, path):
+    hist, day = path("hist"), path("day")
+    spark.createDataFrame(HISTORY, SCHEMA).write.parquet(hist)
+    delta = spark.createDataFrame([(2, "b2", 2, "Adjuntas"), (7, "g1", 1, "Mayaguez"), (5, "e2", 2, "")], SCHEMA)
+    delta.write.parquet(day)
+
+    cur, arc = _load(spark, path, HISTORY)
+    incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1)
+    want = rows(_current(spark, cur))
+
+    c_cur, c_arc = path("cli-cur"), path("cli-arc")
+    run(spark, ["initial-load", "--history", hist, "--current", c_cur, "--archive", c_arc, "--load-ts", T0, *KEYS])
+    run(spark, ["merge", "--delta", day, "--current", c_cur, "--archive", c_arc, "--load-ts", T1, *KEYS])
+    assert rows(_current(spark, c_cur)) == want
+
+    tag = uuid.uuid4().hex[:8]
+    names = ["--current-table", f"cli_cur_{tag}", "--archive-table", f"cli_arc_{tag}"]
+    run(spark, ["initial-load", "--history", hist, "--current", path("t-cur"), "--archive", path("t-arc"),
+                *names, "--load-ts", T0, *KEYS])
+    run(spark, ["merge", "--delta", day, *names, "--load-ts", T1, *KEYS])
+    cols = [c.split()[0] for c in STORED.split(", ")]
+    assert rows(spark.table(f"cli_cur_{tag}"), *cols) == want
+    assert rows(spark.table(f"cli_arc_{tag}"), *cols) == rows(spark.read.schema(STORED).parquet(arc), *cols)
+
+
+def test_cli_version_increment(spark, path):
+    spark.createDataFrame([(1, "x"), (2, "y")], "id bigint, v string").createOrReplaceTempView("cli_daily")
+    spark.createDataFrame([(1, "2024-01-01", 3)], "id bigint, date string, version int") \
+        .createOrReplaceTempView("cli_archive")
+    out = path("out")
+    run(spark, ["version-increment", "--daily-table", "cli_daily", "--archive-table", "cli_archive", "--out", out])
+    got = rows(spark.read.schema("id bigint, v string, version int, inc_version int").json(out))
+    assert got == [(1, "x", 3, 4), (2, "y", None, 1)]
