@@ -85,3 +85,15 @@ def test_create_table_is_dynamic_and_inserts_by_name(spark, path):
     got = rows(spark.table(name), "id", "name", "city")
     want = [(r[0], r[1], r[3] or None) for r in HISTORY if r[3] != "Ponce"] + [(9, "p9", "Ponce")]
     assert got == sorted(want, key=repr)
+
+
+def test_catalog_merge_semi_join_fallback_equals_predicate(spark, path):
+    results = []
+    for max_touched in (10_000, 1):  # 1: more touched values than allowed -> null-safe semi join
+        cur_t, arc_t = _load_tables(spark, path, HISTORY)
+        incremental_merge_table(spark, spark.createDataFrame(DELTAS[1] + DELTAS[0], SCHEMA), SPEC, cur_t, arc_t,
+                                load_ts=T1, max_touched=max_touched)
+        cols = _parse_datatype_string(STORED).fieldNames()
+        results.append((rows(spark.table(cur_t), *cols), rows(spark.table(arc_t), *cols)))
+    assert results[0] == results[1]
+    assert (5, "e2", 2, None, T1) in [r[:4] + (str(r[4]),) for r in results[0][0]]
