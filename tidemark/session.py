@@ -15,11 +15,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     lost with its executor).  Only a local-mode session without the setting,
     as in tests, gets a fresh temporary folder.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context here; the setting is all there is
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is unset; name a shared folder for this cluster")
+        return conf_dir.rstrip("/")
     root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir and not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is unset; name a shared folder for this cluster")
     sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
