@@ -62,3 +62,16 @@ def test_archive_prefilter_broadcasts_small_key_set(spark, path):
                                    key=repr)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_copies_of_one_archive_row_spread_over_salts(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.join import row_salt
+
+    copies = spark.range(0, 400, 1, 4).select(F.lit(1).alias("s_id"), F.lit(7).alias("version"))
+    salts = copies.select(row_salt(["s_id", "version"], F.lit(10)).alias("s")).distinct().collect()
+    assert len(salts) > 1 and all(0 <= r.s < 10 for r in salts)
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    out = version_join(left, copies, "id", "s_id", hot_key_rows=40, skew_check_bytes=0)
+    assert out.where("id = 1").count() == 400 and out.where("id = 2 and s_id is null").count() == 1

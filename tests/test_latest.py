@@ -65,3 +65,20 @@ def test_sampled_detection_finds_the_hot_key(spark):
     spec = TableSpec(("k",), ("v",), "k")
     split = rank_versions(df, spec, name="rn", hot_key_rows=4000, skew_check_bytes=0)
     assert rows(split) == rows(rank_versions(df, spec, name="rn", detect_hot_keys=False))
+
+
+def test_key_of_exact_copies_spreads_over_splits(spark):
+    from tidemark.operators.latest import _tagged_splits
+
+    # key 1 is 400 copies of one row, read by 4 tasks; key 2 is ordinary
+    copies = spark.range(0, 400, 1, 4).select(F.lit(1).alias("k"), F.lit(5).alias("v"), F.lit("x").alias("t"))
+    df = copies.unionByName(spark.createDataFrame([(2, 1, "y"), (2, 2, "z")], "k int, v int, t string"))
+    spec = TableSpec(("k",), ("v",), "k")
+    tagged = _tagged_splits(copies, spec, 4)
+    assert tagged.select("_split").distinct().count() > 1  # not one task for the whole key
+    got = rank_versions(df, spec, name="rn", hot_key_rows=50, skew_check_bytes=0)
+    per = {r.k: (r.lo, r.hi, r.n, r.d) for r in got.groupBy("k").agg(
+        F.min("rn").alias("lo"), F.max("rn").alias("hi"), F.count("*").alias("n"),
+        F.countDistinct("rn").alias("d")).collect()}
+    assert per == {1: (1, 400, 400, 400), 2: (1, 2, 2, 2)}
+    assert rows(got.where("k = 2"), "t", "rn") == [("y", 2), ("z", 1)]

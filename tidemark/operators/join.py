@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.versions import next_version
@@ -23,6 +23,14 @@ from tidemark.operators.keys import (
 MAX_SALTS = 1024
 
 
+def row_salt(columns: Sequence[str], salts: Column) -> Column:
+    """A salt in ``[0, salts)`` from a hash of the row and of the task that
+    reads it.  Exact copies of one row hash alike, but copies arrive through
+    many input tasks, so they spread too; both parts are fixed for a given
+    input, so a retried task assigns the same salts."""
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), salts.cast("long")).cast("int")
+
+
 def _eq(left: DataFrame, lk: Sequence[str], right: DataFrame, rk: Sequence[str]):
     cond = F.lit(True)
     for a, b in zip(lk, rk):
@@ -49,7 +57,7 @@ def version_join(
       are broadcast when estimated at most ``broadcast_bytes``, so the large
       side is only filtered, never shuffled whole.
     * right keys with more than ``hot_key_rows`` rows are salted: their right
-      rows spread over ``ceil(n / hot_key_rows)`` salts by a row hash, the left
+      rows spread over ``ceil(n / hot_key_rows)`` salts (:func:`row_salt`), the left
       rows of those keys are copied once per salt, and the two meet in an inner
       join (every hot key has a match, so outer == inner there).  All other keys,
       null keys included, take an ordinary left outer join, where adaptive
@@ -90,7 +98,7 @@ def version_join(
     )
     hot_right = (
         right_m.join(hot_b, _eq(right_m, rk, hot_b, hk), "inner")
-        .withColumn("_rsalt", F.pmod(F.xxhash64(*right.columns), F.col("_salts").cast("long")).cast("int"))
+        .withColumn("_rsalt", row_salt(right.columns, F.col("_salts")))
         .select(*right.columns, "_rsalt")
     )
     cond = _eq(hot_left, lk, hot_right, rk) & (hot_left["_salt"] == hot_right["_rsalt"])

@@ -75,7 +75,9 @@ def _split_rank(rows: DataFrame, spec: TableSpec, name: str, splits: int) -> Dat
 
     1. Range-partition by (key, version order) and sort inside each split: a
        large key now spans several consecutive splits, none larger than the
-       sampled range size.
+       sampled range size.  Ties in the version order are ordered further by a
+       row hash and the input task, so even a key made of exact copies of one
+       row spreads over several splits.
     2. Tag each row with its split id and position (``monotonically_increasing_id``
        counts rows in sorted order within a split) and checkpoint, so the tags
        are fixed data in the shared checkpoint folder.
@@ -84,17 +86,8 @@ def _split_rank(rows: DataFrame, spec: TableSpec, name: str, splits: int) -> Dat
        ``#hot keys + #splits`` rows, so broadcasting it is safe.
     4. row number = position - first position + 1 + offset.
     """
-    checkpoint_root(rows.sparkSession)  # the shared folder the tags are written to
     pk = list(spec.primary_key)
-    order = spec.order_columns()
-    key_order = [F.asc_nulls_first(c) for c in pk]
-    tagged = (
-        rows.repartitionByRange(splits, *key_order, *order)
-        .sortWithinPartitions(*key_order, *order)
-        .withColumn("_split", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+    tagged = _tagged_splits(rows, spec, splits)
     firsts = tagged.groupBy(*pk, "_split").agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")
     )
@@ -104,3 +97,19 @@ def _split_rank(rows: DataFrame, spec: TableSpec, name: str, splits: int) -> Dat
     cond = null_safe_match(tagged, pk + ["_split"], offsets, [f"_o_{c}" for c in pk] + ["_o__split"])
     rank = (F.col("_pos") - F.col("_o__first") + F.col("_o__off") + F.lit(1)).cast("int")
     return tagged.join(offsets, cond, "inner").select(*rows.columns, rank.alias(name))
+
+
+def _tagged_splits(rows: DataFrame, spec: TableSpec, splits: int) -> DataFrame:
+    """Rows in ``splits`` sorted ranges with ``_split`` and ``_pos``, checkpointed."""
+    checkpoint_root(rows.sparkSession)  # the shared folder the tags are written to
+    pk = list(spec.primary_key)
+    ties = [F.xxhash64(*rows.columns).alias("_tie_hash"), F.spark_partition_id().alias("_tie_task")]
+    order = [*[F.asc_nulls_first(c) for c in pk], *spec.order_columns(), F.col("_tie_hash"), F.col("_tie_task")]
+    return (
+        rows.select(*rows.columns, *ties)
+        .repartitionByRange(splits, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_split", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
+    )
