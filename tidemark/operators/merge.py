@@ -53,11 +53,16 @@ def touched_predicate(col: Column, values: Sequence) -> Column:
 def existing_in_touched(
     current: DataFrame, delta: DataFrame, key: str, max_values: int = DEFAULT_MAX_TOUCHED
 ) -> DataFrame:
-    """Rows of ``current`` whose partition value the delta touches."""
+    """Rows of ``current`` whose partition value the delta touches.
+
+    Up to ``max_values`` touched values: a static partition predicate.  Above
+    it: a null-safe semi join against the distinct values (broadcast behind the
+    size check), which reads every partition of ``current`` once.
+    """
     values = collect_touched(delta, key, max_values)
     if values is not None:
         return current.where(touched_predicate(F.col(key), values))
-    touched = partition_values(delta, key).withColumnRenamed(key, "_touched")
+    touched = broadcast_if_small(partition_values(delta, key).withColumnRenamed(key, "_touched"))
     return current.join(touched, current[key].eqNullSafe(touched["_touched"]), "left_semi")
 
 
