@@ -43,3 +43,33 @@ def test_cli_version_increment(spark, path):
     run(spark, ["version-increment", "--daily-table", "cli_daily", "--archive-table", "cli_archive", "--out", out])
     got = rows(spark.read.schema("id bigint, v string, version int, inc_version int").json(out))
     assert got == [(1, "x", 3, 4), (2, "y", None, 1)]
+
+
+def test_cli_property_feed_as_headerless_csv(spark, path):
+    """The workflow's own feed: 14 columns (+2 version columns in the history), CSV without header."""
+    from tidemark.property_feed import DAILY_COLUMNS, HISTORY_SCHEMA
+    from tidemark.sources import read_table
+
+    def prop(pid, city, zip_code, price, version=None):
+        row = [pid, f"{pid} Main St", 100.5, 7, "2020-01-02", "2019-05-06", 1, "active", price, "PZ", zip_code, city,
+               "PR", "US"]
+        return row + ([version, f"2020-01-0{version} 00:00:00"] if version else [])
+
+    hist, day = path("hist"), path("day")
+    spark.createDataFrame([prop(1, "Adjuntas", "00601", "10.00", 1), prop(1, "Adjuntas", "00601", "11.00", 2),
+                           prop(2, "Aguada", "00602", "20.00", 1), prop(3, "Ponce", "00716", "30.00", 1),
+                           prop(5, "Aguada", "00604", "50.00", 1)]) \
+        .coalesce(1).write.csv(hist)
+    spark.createDataFrame([prop(2, "Aguada", "00602", "21.00"), prop(4, "Aguada", "00603", "40.00")]) \
+        .coalesce(1).write.csv(day)
+    cur, arc = path("cur"), path("arc")
+    common = ["--format", "csv", "--property-schema", "--current", cur, "--archive", arc]
+    run(spark, ["initial-load", "--history", hist, "--version-key", "version,version_time", *common])
+    run(spark, ["merge", "--delta", day, *common])
+    stored = HISTORY_SCHEMA.add("load_ts", "timestamp_ntz")
+    got = rows(read_table(spark, cur, stored), "property_id", "price", "zip_code", "city", "version")
+    assert [(r[0], str(r[1]), r[2], r[3], r[4]) for r in got] == [
+        (1, "11.00", "00601", "Adjuntas", 2), (2, "21.00", "00602", "Aguada", None),
+        (3, "30.00", "00716", "Ponce", 1), (4, "40.00", "00603", "Aguada", None),
+        (5, "50.00", "00604", "Aguada", 1)]  # a survivor of the touched partition keeps its version
+    assert read_table(spark, cur, stored).columns[:14] == list(DAILY_COLUMNS)

@@ -230,3 +230,30 @@ def test_small_key_set_is_broadcast_behind_size_check(spark, path):
         assert rows(hinted) == rows(shuffled)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_delta_without_history_columns_keeps_them_on_survivors(spark, path):
+    """A daily feed lacks the history feed's version column: survivors keep theirs, delta rows get null."""
+    import uuid
+
+    from tidemark.plans import incremental_merge_table, initial_load_table
+
+    history = spark.createDataFrame([(1, "a", 3, "X"), (2, "b", 4, "X"), (3, "c", 5, "Y")], SCHEMA)
+    delta = spark.createDataFrame([(1, "a2", "X"), (9, "z", "Z")], "id bigint, name string, city string")
+    want = sorted([(1, "a2", None, "X"), (2, "b", 4, "X"), (3, "c", 5, "Y"), (9, "z", None, "Z")], key=repr)
+
+    cur, arc = path("cur"), path("arc")
+    initial_load(history, SPEC, cur, arc, load_ts=T0)
+    incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1)
+    assert rows(_current(spark, cur), "id", "name", "version", "city") == want
+    archived = rows(spark.read.schema(STORED).parquet(arc), "id", "version", "load_ts")
+    # the snapshot of X repeats survivor 2 with its version and its own load time, and adds delta row 1
+    assert archived.count((2, 4, datetime(2024, 1, 1))) == 2 and (1, None, datetime(2024, 1, 31)) in archived
+
+    tag = uuid.uuid4().hex[:8]
+    initial_load_table(spark, history, SPEC, f"h_cur_{tag}", path("tcur"), f"h_arc_{tag}", path("tarc"), load_ts=T0)
+    incremental_merge_table(spark, delta, SPEC, f"h_cur_{tag}", f"h_arc_{tag}", load_ts=T1)
+    assert rows(spark.table(f"h_cur_{tag}"), "id", "name", "version", "city") == want
+
+    with pytest.raises(ValueError, match="no columns"):  # a catalog table cannot take an undeclared column
+        incremental_merge_table(spark, delta.withColumn("extra", F.lit(1)), SPEC, f"h_cur_{tag}", None, load_ts=T2)

@@ -1,15 +1,14 @@
 """Command line for the three jobs, for use with ``spark-submit``.
 
     spark-submit --py-files tidemark.zip tidemark/cli.py initial-load --history s3a://.../feed/ \\
-        --current s3a://.../current/ --archive s3a://.../archive/ \\
-        --primary-key property_id --version-key version,version_time --partition-key city
+        --current s3a://.../current/ --archive s3a://.../archive/ --version-key version,version_time
     spark-submit --py-files tidemark.zip tidemark/cli.py merge --delta s3a://.../daily/ --current ... [same keys]
     spark-submit --py-files tidemark.zip tidemark/cli.py version-increment \\
         --daily-table db.daily --archive-table db.archive --out s3a://.../out/
 
-``--current-table`` / ``--archive-table`` select the catalog form (tables whose partitions the catalog
-tracks).  The session comes from ``spark-submit``; recommended SQL settings are applied only where the
-submitter set nothing.
+Keys default to the property feed's (``property_id``, ``city``, ``version``).  ``--current-table`` /
+``--archive-table`` select the catalog form (tables whose partitions the catalog tracks).  The session
+comes from ``spark-submit``; recommended SQL settings are applied only where the submitter set nothing.
 """
 
 from __future__ import annotations
@@ -26,6 +25,13 @@ from tidemark.plans import (
     initial_load_table,
     version_job,
 )
+from tidemark.property_feed import (
+    DAILY_SCHEMA,
+    DEFAULT_PARTITION_KEY,
+    DEFAULT_PRIMARY_KEY,
+    DEFAULT_VERSION_KEY,
+    HISTORY_SCHEMA,
+)
 from tidemark.session import RECOMMENDED_CONF
 from tidemark.sources import scan
 from tidemark.spec import TableSpec
@@ -50,10 +56,13 @@ def _table_args(p: argparse.ArgumentParser, feed: str) -> None:
     p.add_argument("--archive", help="folder of the archive table")
     p.add_argument("--current-table", help="catalog name of the current table (catalog form)")
     p.add_argument("--archive-table", help="catalog name of the archive table (catalog form)")
-    p.add_argument("--primary-key", required=True, help="key column(s), comma separated")
-    p.add_argument("--version-key", default="version",
+    p.add_argument("--property-schema", action="store_true",
+                   help="read the feed with the property feed's columns and types, in file order (CSV, JSON)")
+    p.add_argument("--header", action="store_true", help="CSV feed files start with a header line")
+    p.add_argument("--primary-key", default=DEFAULT_PRIMARY_KEY, help="key column(s), comma separated")
+    p.add_argument("--version-key", default=DEFAULT_VERSION_KEY,
                    help="newest-first order column(s), comma separated; add tie-breaks")
-    p.add_argument("--partition-key", required=True, help="partition column")
+    p.add_argument("--partition-key", default=DEFAULT_PARTITION_KEY, help="partition column")
     p.add_argument("--load-ts-col", default="load_ts", help="column storing the load time")
     p.add_argument("--load-ts", help="load time of this run (default: now, once)")
     p.add_argument("--title-case-partitions", action="store_true",
@@ -90,11 +99,14 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
                     version_col=args.version_col)
         return
     spec = _spec(args)
-    feed = scan(spark, args.history if args.job == "initial-load" else args.delta, args.format)
+    initial = args.job == "initial-load"
+    schema = (HISTORY_SCHEMA if initial else DAILY_SCHEMA) if args.property_schema else None
+    options = {"header": "true"} if args.header else {}
+    feed = scan(spark, args.history if initial else args.delta, args.format, schema=schema, **options)
     catalog = args.current_table is not None
     if not catalog and args.current is None:
         raise SystemExit("give --current (folder) or --current-table (catalog name)")
-    if args.job == "initial-load":
+    if initial:
         if catalog:
             if args.current is None:
                 raise SystemExit("the catalog form of initial-load needs --current (the table folder) too")

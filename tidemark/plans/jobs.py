@@ -8,13 +8,14 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import load_ts_literal, rename_column
 from tidemark.operators.join import version_increment
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import DEFAULT_MAX_TOUCHED, blank_partition_to_null, merged_partitions
 from tidemark.sinks.files import insert_partitions, swap_partitions, write_json, write_partitioned
-from tidemark.sources.files import catalog_scan, create_table, overwrite_mode, read_table
+from tidemark.sources.files import catalog_scan, create_table, overwrite_mode, read_table, stored_schema
 from tidemark.spec import TableSpec
 
 
@@ -27,6 +28,20 @@ def _stamp(df: DataFrame, spec: TableSpec, load_ts: datetime | str | Column | No
     return blank_partition_to_null(df, key).withColumn(spec.load_ts_col, value)
 
 
+def _align(rows: DataFrame, schema: StructType) -> DataFrame:
+    """``rows`` in the columns, order and types of ``schema``; a column it lacks
+    (e.g. a version column only the history feed has) is a typed null.  A
+    column the table cannot store is an error."""
+    names = {c.lower() for c in rows.columns}
+    extra = sorted(set(names) - {f.name.lower() for f in schema.fields})
+    if extra:
+        raise ValueError(f"the table has no columns {extra}")
+    return rows.select(*[
+        (F.col(f.name) if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
+
+
 def initial_load(history: DataFrame, spec: TableSpec, current_path: str, archive_path: str | None = None,
                  load_ts: datetime | str | Column | None = None, fmt: str = "parquet",
                  rebalance: bool = True) -> None:
@@ -52,7 +67,9 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
 
     For every partition value the delta touches, the new content is the delta
     rows plus the existing rows whose key the delta lacks; untouched partitions
-    are neither read nor rewritten.  The stamped delta is used three times
+    are neither read nor rewritten.  Columns *current* stores beyond the
+    delta's (e.g. the history feed's version columns) keep their values on
+    surviving rows and are null on delta rows.  The stamped delta is used three times
     (touched values, its keys, its rows), so it is persisted (memory, then
     disk) unless ``cache_delta=False``; the three uses then also agree for a
     source that is not repeatable.  The merged rows feed two sinks, so they
@@ -63,14 +80,16 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
     instead (for touched partitions too large for executor disks).
     """
     stamped = _stamp(delta, spec, load_ts)
-    current = read_table(spark, current_path, stamped.schema, fmt)
+    stored = stored_schema(spark, current_path, stamped.schema, fmt)
+    current = read_table(spark, current_path, stored, fmt)
 
     def write(merged: DataFrame) -> None:
         if archive_path is not None:
             write_partitioned(merged, archive_path, spec.partition_key, "append", fmt)
         swap_partitions(merged, current_path, spec.partition_key, fmt)
 
-    _merge(current, stamped, spec, max_touched, cache_delta, cache_merged and archive_path is not None, write)
+    _merge(current, _align(stamped, stored), spec, max_touched, cache_delta, cache_merged and archive_path is not None,
+           write)
 
 
 def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, max_touched: int, cache_delta: bool,
@@ -125,9 +144,7 @@ def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSp
     values are registered by the inserts.
     """
     current = catalog_scan(spark, current_table)
-    stamped = _stamp(delta, spec, load_ts)
-    if sorted(stamped.columns) != sorted(current.columns):
-        raise ValueError(f"delta columns {stamped.columns} (with {spec.load_ts_col}) differ from {current.columns}")
+    stamped = _align(_stamp(delta, spec, load_ts), current.schema)
     if overwrite_mode(spark, current_table) != "dynamic":
         raise ValueError(f"{current_table} does not overwrite partitions dynamically; create it with create_table")
 
@@ -136,8 +153,7 @@ def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSp
             insert_partitions(merged, archive_table, spec.partition_key)
         insert_partitions(merged, current_table, spec.partition_key, overwrite=True)
 
-    _merge(current, stamped.select(*current.columns), spec, max_touched, cache_delta,
-           cache_merged and archive_table is not None, write)
+    _merge(current, stamped, spec, max_touched, cache_delta, cache_merged and archive_table is not None, write)
 
 
 def version_job(spark: SparkSession, daily_table: str, archive_table: str, out_path: str,

@@ -8,7 +8,8 @@ from tidemark.sources.files import (
     read_table,
     register_table,
     scan,
+    stored_schema,
 )
 
 __all__ = ["catalog_scan", "create_table", "overwrite_mode", "partition_subset_scan", "read_table",
-           "register_table", "scan"]
+           "register_table", "scan", "stored_schema"]

@@ -33,12 +33,36 @@ def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "p
     try:
         df = spark.read.format(fmt).schema(schema).load(path)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in (exc.getCondition() or "") and "Path does not exist" not in str(exc):
+        if not _missing_path(exc):
             raise
         return spark.createDataFrame([], schema)
     return df.select(*schema.fieldNames())
 
 
+def stored_schema(spark: SparkSession, path: str, incoming: StructType, fmt: str = "parquet") -> StructType:
+    """Schema of the partitioned table at ``path`` as seen by rows arriving with ``incoming``.
+
+    The ``incoming`` fields keep their types (the partition column's among
+    them, so ``00601`` stays a string), followed by every column the stored
+    files have beyond them, typed from the file footers.  Those columns must
+    survive a rewrite of the rows that carry them.  A table that does not
+    exist yet has just ``incoming``.  The second listing of ``path`` by the
+    read that follows is served from Spark's file status cache.
+    """
+    try:
+        found = spark.read.format(fmt).load(path).schema
+    except AnalysisException as exc:
+        if not _missing_path(exc):
+            raise
+        return incoming
+    have = {f.name.lower() for f in incoming.fields}
+    return StructType(incoming.fields + [f for f in found.fields if f.name.lower() not in have])
+
+
+def _missing_path(exc: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in (exc.getCondition() or "") or "Path does not exist" in str(exc)
+
+
 def partition_subset_scan(spark: SparkSession, path: str, schema: StructType, key: str,
                           values: Sequence, fmt: str = "parquet") -> DataFrame:
     """Only the partitions whose ``key`` value is in ``values`` (null-safe).
