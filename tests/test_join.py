@@ -75,3 +75,26 @@ def test_copies_of_one_archive_row_spread_over_salts(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
     out = version_join(left, copies, "id", "s_id", hot_key_rows=40, skew_check_bytes=0)
     assert out.where("id = 1").count() == 400 and out.where("id = 2 and s_id is null").count() == 1
+
+
+def test_broadcast_needs_estimate_and_counted_rows(spark, path):
+    from conftest import plan_text
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.keys import broadcast_if_small, estimated_bytes
+
+    p = path("keys")
+    spark.range(100).write.parquet(p)
+    keys = spark.read.parquet(p)
+    assert 0 < estimated_bytes(keys) < 1 << 20
+    assert estimated_bytes(spark.createDataFrame([(1,)], "id long")) >= 1 << 60  # rows in memory: unknown
+    big = spark.range(10**6).select((F.col("id") % 7).alias("id"))
+    joined = lambda k: big.join(k, "id", "left_semi")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_text(joined(broadcast_if_small(keys)))
+        assert "BroadcastHashJoin" not in plan_text(joined(broadcast_if_small(keys, max_rows=99)))  # 100 rows
+        assert "BroadcastHashJoin" not in plan_text(joined(broadcast_if_small(keys, max_bytes=10)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +27,9 @@ DEFAULT_MAX_HOT_KEYS = 1000
 # it the join shuffles both sides (our choice: the estimate counts file bytes,
 # which may be several times smaller than the rows in memory).
 DEFAULT_BROADCAST_KEYS_BYTES = 64 * 1024 * 1024
+# ... and it must hold at most this many rows, counted (our choice: a few tens
+# of MB as a hashed relation for numeric keys).
+DEFAULT_BROADCAST_KEY_ROWS = 2_000_000
 
 
 def all_not_null(cols: Sequence[str]) -> Column:
@@ -44,22 +50,42 @@ def null_safe_match(left: DataFrame, left_cols: Sequence[str], right: DataFrame,
     return cond
 
 
+# Units of the sizes ``explain(mode="cost")`` prints.
+_SIZE_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (the statistic behind its broadcast
     choice: file sizes scaled by the selected columns; filters and joins only
-    raise it).  ``None`` where the session does not expose it."""
+    raise it), read from ``explain(mode="cost")``.  ``None`` where no estimate
+    is printed.  Rows held in memory show 8 EiB (unknown), i.e. "large"."""
+    buf = io.StringIO()
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # e.g. Spark Connect: no plan handle, always check keys
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="cost")
+    except Exception:
+        return None
+    found = re.search(r"Statistics\(sizeInBytes=([0-9.]+)\s*([A-Za-z]+)", buf.getvalue())
+    if not found or found.group(2) not in _SIZE_UNITS:
         return None
+    return int(float(found.group(1)) * _SIZE_UNITS[found.group(2)])
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES) -> DataFrame:
-    """``df`` marked for broadcast when its size estimate is known and at most
-    ``max_bytes``; otherwise unchanged (the planner and adaptive execution
-    decide, normally a shuffle join)."""
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES,
+                       max_rows: int = DEFAULT_BROADCAST_KEY_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when its size is proven small, else unchanged
+    (the planner and adaptive execution decide, normally a shuffle join).
+
+    Catalyst's estimate (no job) must be known and at most ``max_bytes``; it
+    counts file bytes, so it is only a pre-check.  The proof is a count that
+    stops at ``max_rows + 1``: at most ``max_rows`` rows are broadcast.
+    """
     size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= max_bytes else df
+    if size is None or size > max_bytes:
+        return df
+    if df.limit(max_rows + 1).count() > max_rows:
+        return df
+    return F.broadcast(df)
 
 
 def hot_keys(
