@@ -77,7 +77,7 @@ def version_join(
         return left.join(right, _eq(left, lk, right, rk), "left_outer").select(*out_cols)
 
     left_keys_df = left.select(*[F.col(a).alias(b) for a, b in zip(lk, rk)]).where(all_not_null(rk)).distinct()
-    right_m = right.join(broadcast_if_small(left_keys_df, broadcast_bytes), rk, "left_semi")
+    right_m = right.join(broadcast_if_small(left_keys_df, broadcast_bytes, rows_of=left), rk, "left_semi")
     found = hot_keys(right_m, rk, hot_key_rows, max_hot_keys, include_null=False, skew_check_bytes=0)
     if found is None:
         return left.join(right_m, _eq(left, lk, right_m, rk), "left_outer").select(*out_cols)

@@ -72,18 +72,21 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES,
-                       max_rows: int = DEFAULT_BROADCAST_KEY_ROWS) -> DataFrame:
+                       max_rows: int = DEFAULT_BROADCAST_KEY_ROWS, rows_of: DataFrame | None = None) -> DataFrame:
     """``df`` marked for broadcast when its size is proven small, else unchanged
     (the planner and adaptive execution decide, normally a shuffle join).
 
     Catalyst's estimate (no job) must be known and at most ``max_bytes``; it
     counts file bytes, so it is only a pre-check.  The proof is a count that
-    stops at ``max_rows + 1``: at most ``max_rows`` rows are broadcast.
+    stops at ``max_rows + 1``: at most ``max_rows`` rows are broadcast.  It
+    counts ``rows_of`` when given, a frame with at least as many rows as
+    ``df`` (the frame whose distinct keys ``df`` holds): that count needs no
+    shuffle, and is cheap when ``rows_of`` is cached.
     """
     size = estimated_bytes(df)
     if size is None or size > max_bytes:
         return df
-    if df.limit(max_rows + 1).count() > max_rows:
+    if (df if rows_of is None else rows_of).limit(max_rows + 1).count() > max_rows:
         return df
     return F.broadcast(df)
 

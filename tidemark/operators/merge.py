@@ -62,7 +62,7 @@ def existing_in_touched(
     values = collect_touched(delta, key, max_values)
     if values is not None:
         return current.where(touched_predicate(F.col(key), values))
-    touched = broadcast_if_small(partition_values(delta, key).withColumnRenamed(key, "_touched"))
+    touched = broadcast_if_small(partition_values(delta, key).withColumnRenamed(key, "_touched"), rows_of=delta)
     return current.join(touched, current[key].eqNullSafe(touched["_touched"]), "left_semi")
 
 
@@ -71,7 +71,8 @@ def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str],
     """Existing rows whose key the delta does not carry.
 
     A left anti join against the distinct non-null delta keys.  A key set
-    estimated at most ``broadcast_bytes`` is broadcast, so ``existing`` (the
+    proven small (estimate at most ``broadcast_bytes``, and a delta of at most
+    2,000,000 rows, counted) is broadcast, so ``existing`` (the
     touched partitions, possibly most of the table) is not shuffled at all;
     a larger one makes a shuffled anti join, whose skewed ``existing`` side
     adaptive execution splits.  Existing rows with a null key can never
@@ -79,7 +80,7 @@ def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str],
     task).
     """
     pk = list(primary_key)
-    keys = broadcast_if_small(delta.select(*pk).where(all_not_null(pk)).distinct(), broadcast_bytes)
+    keys = broadcast_if_small(delta.select(*pk).where(all_not_null(pk)).distinct(), broadcast_bytes, rows_of=delta)
     matched = existing.where(all_not_null(pk)).join(keys, pk, "left_anti")
     return matched.unionByName(existing.where(any_null(pk)))
 
