@@ -98,3 +98,21 @@ def test_broadcast_needs_estimate_and_counted_rows(spark, path):
         assert "BroadcastHashJoin" not in plan_text(joined(broadcast_if_small(keys, max_bytes=10)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_cached_rows_bound_from_a_materialized_cache(spark, path):
+    from pyspark import StorageLevel
+
+    from tidemark.operators.keys import cached_rows
+
+    p = path("rows")
+    spark.range(12345).write.parquet(p)
+    df = spark.read.parquet(p).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        assert cached_rows(df) is None  # not materialized yet
+        df.count()
+        assert 12345 <= cached_rows(df) <= 12345 * 1.01
+        assert 12345 <= cached_rows(spark.read.parquet(p))  # the same plan is answered from the cache
+        assert cached_rows(spark.read.parquet(p).where("id > 5")) is None  # a filter over it: no count held
+    finally:
+        df.unpersist()

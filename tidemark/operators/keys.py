@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import math
 import re
 from collections.abc import Sequence
 
@@ -54,23 +55,41 @@ def null_safe_match(left: DataFrame, left_cols: Sequence[str], right: DataFrame,
 _SIZE_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (the statistic behind its broadcast
-    choice: file sizes scaled by the selected columns; filters and joins only
-    raise it), read from ``explain(mode="cost")``.  ``None`` where no estimate
-    is printed.  Rows held in memory show 8 EiB (unknown), i.e. "large"."""
+def _cost_text(df: DataFrame) -> str | None:
+    """The optimized logical plan with statistics, as ``explain(mode="cost")`` prints it."""
     buf = io.StringIO()
     try:
         with contextlib.redirect_stdout(buf):
             df.explain(mode="cost")
     except Exception:
         return None
-    found = re.search(r"Statistics\(sizeInBytes=([0-9.]+)\s*([A-Za-z]+)", buf.getvalue())
+    return buf.getvalue().split("== Physical Plan ==")[0]
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (the statistic behind its broadcast
+    choice: file sizes scaled by the selected columns; filters and joins only
+    raise it), read from ``explain(mode="cost")``.  ``None`` where no estimate
+    is printed.  Rows held in memory show 8 EiB (unknown), i.e. "large"."""
+    found = re.search(r"Statistics\(sizeInBytes=([0-9.]+)\s*([A-Za-z]+)", _cost_text(df) or "")
     if not found or found.group(2) not in _SIZE_UNITS:
         return None
     return int(float(found.group(1)) * _SIZE_UNITS[found.group(2)])
 
 
+def cached_rows(df: DataFrame) -> int | None:
+    """An upper bound of the rows of ``df`` when it is a fully materialized cache
+    (Spark counts the rows while caching; a re-run task can only add), else
+    ``None``.  Spark prints the count to three significant digits, rounded
+    half up, hence the 0.5 % margin."""
+    text = _cost_text(df.select("*")) or ""  # a new plan: a Dataset keeps its own first statistics
+    lines = text.split("== Optimized Logical Plan ==")[-1].strip().splitlines()
+    if not lines or not lines[0].startswith("InMemoryRelation"):
+        return None
+    found = re.search(r"rowCount=([0-9.E+]+)", lines[0])
+    return math.ceil(float(found.group(1)) * 1.005) if found else None
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES,
                        max_rows: int = DEFAULT_BROADCAST_KEY_ROWS, rows_of: DataFrame | None = None) -> DataFrame:
     """``df`` marked for broadcast when its size is proven small, else unchanged
@@ -81,14 +100,17 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BY
     stops at ``max_rows + 1``: at most ``max_rows`` rows are broadcast.  It
     counts ``rows_of`` when given, a frame with at least as many rows as
     ``df`` (the frame whose distinct keys ``df`` holds): that count needs no
-    shuffle, and is cheap when ``rows_of`` is cached.
+    shuffle, and none runs at all when ``rows_of`` is a materialized cache,
+    whose row count Spark already holds (:func:`cached_rows`).
     """
     size = estimated_bytes(df)
     if size is None or size > max_bytes:
         return df
-    if (df if rows_of is None else rows_of).limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)
+    source = df if rows_of is None else rows_of
+    rows = cached_rows(source)
+    if rows is None:
+        rows = source.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df
 
 
 def hot_keys(
