@@ -257,3 +257,17 @@ def test_delta_without_history_columns_keeps_them_on_survivors(spark, path):
 
     with pytest.raises(ValueError, match="no columns"):  # a catalog table cannot take an undeclared column
         incremental_merge_table(spark, delta.withColumn("extra", F.lit(1)), SPEC, f"h_cur_{tag}", None, load_ts=T2)
+
+
+def test_given_current_schema_equals_inferred(spark, path):
+    from pyspark.sql.types import _parse_datatype_string
+
+    history = spark.createDataFrame([(1, "a", 3, "X"), (2, "b", 4, "X"), (3, "c", 5, "Y")], SCHEMA)
+    delta = spark.createDataFrame([(1, "a2", "X"), (9, "z", None)], "id bigint, name string, city string")
+    results = []
+    for given in (None, _parse_datatype_string(STORED)):
+        cur, arc = path("cur"), path("arc")
+        initial_load(history, SPEC, cur, arc, load_ts=T0)
+        incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1, current_schema=given)
+        results.append((rows(_current(spark, cur)), rows(spark.read.schema(STORED).parquet(arc))))
+    assert results[0] == results[1]

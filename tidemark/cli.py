@@ -32,6 +32,7 @@ from tidemark.property_feed import (
     DEFAULT_VERSION_KEY,
     HISTORY_SCHEMA,
 )
+from tidemark.property_feed import stored_schema as property_stored_schema
 from tidemark.session import RECOMMENDED_CONF
 from tidemark.sources import scan
 from tidemark.spec import TableSpec
@@ -117,7 +118,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     elif catalog:
         incremental_merge_table(spark, feed, spec, args.current_table, args.archive_table, load_ts=args.load_ts)
     else:
-        incremental_merge(spark, feed, spec, args.current, args.archive, load_ts=args.load_ts)
+        stored = property_stored_schema(spec.load_ts_col) if args.property_schema else None
+        incremental_merge(spark, feed, spec, args.current, args.archive, load_ts=args.load_ts, current_schema=stored)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -62,7 +62,8 @@ def initial_load(history: DataFrame, spec: TableSpec, current_path: str, archive
 def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, current_path: str,
                       archive_path: str | None = None, load_ts: datetime | str | Column | None = None,
                       fmt: str = "parquet", max_touched: int = DEFAULT_MAX_TOUCHED,
-                      cache_merged: bool = True, cache_delta: bool = True) -> None:
+                      cache_merged: bool = True, cache_delta: bool = True,
+                      current_schema: StructType | None = None) -> None:
     """Merge a daily delta into *current* and snapshot the result into *archive*.
 
     For every partition value the delta touches, the new content is the delta
@@ -78,9 +79,12 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
     recomputed from the delta and *current*, which stays intact until the swap
     commits.  ``cache_merged=False`` recomputes the merge for the second write
     instead (for touched partitions too large for executor disks).
+    ``current_schema``, the schema *current* is stored with (load-time column
+    included), saves the listing that otherwise finds its columns
+    (:func:`tidemark.sources.stored_schema`).
     """
     stamped = _stamp(delta, spec, load_ts)
-    stored = stored_schema(spark, current_path, stamped.schema, fmt)
+    stored = current_schema or stored_schema(spark, current_path, stamped.schema, fmt)
     current = read_table(spark, current_path, stored, fmt)
 
     def write(merged: DataFrame) -> None:

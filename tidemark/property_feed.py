@@ -49,3 +49,8 @@ HISTORY_SCHEMA = StructType([StructField(c, _TYPES[c]) for c in HISTORY_COLUMNS]
 
 # Newest first by version, then by version time.
 PROPERTY_SPEC = TableSpec((DEFAULT_PRIMARY_KEY,), VERSION_COLUMNS, DEFAULT_PARTITION_KEY)
+
+
+def stored_schema(load_ts_col: str = "load_ts") -> StructType:
+    """Schema of *current* and *archive* loaded from the history feed: its columns plus the load time."""
+    return StructType(HISTORY_SCHEMA.fields + [StructField(load_ts_col, TimestampNTZType())])

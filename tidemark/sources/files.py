@@ -46,8 +46,9 @@ def stored_schema(spark: SparkSession, path: str, incoming: StructType, fmt: str
     them, so ``00601`` stays a string), followed by every column the stored
     files have beyond them, typed from the file footers.  Those columns must
     survive a rewrite of the rows that carry them.  A table that does not
-    exist yet has just ``incoming``.  The second listing of ``path`` by the
-    read that follows is served from Spark's file status cache.
+    exist yet has just ``incoming``.  This lists the table once (measured: a
+    second read of the same folder lists it again), so callers that know the
+    stored schema pass it instead.
     """
     try:
         found = spark.read.format(fmt).load(path).schema

@@ -31,15 +31,18 @@ def start_merge_stream(
     available_now: bool = True,
     processing_time: str = "1 minute",
     load_ts=None,
+    current_schema: StructType | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present.
 
     ``files_per_batch=1`` merges every delta file as its own run, in arrival order
     (``None``: everything new in one run).  ``load_ts`` fixes the load time of
     every batch; by default each batch takes the driver clock once.
+    ``current_schema`` is passed to every merge (it saves a listing per batch).
     """
     def merge_batch(batch, batch_id: int) -> None:
-        incremental_merge(batch.sparkSession, batch, spec, current_path, archive_path, load_ts=load_ts, fmt=fmt)
+        incremental_merge(batch.sparkSession, batch, spec, current_path, archive_path, load_ts=load_ts, fmt=fmt,
+                          current_schema=current_schema)
 
     return _start(spark, delta_dir, delta_schema, fmt, checkpoint_location, files_per_batch, available_now,
                   processing_time, merge_batch)
