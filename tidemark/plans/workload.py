@@ -152,14 +152,16 @@ def q_partition_swap(spark, sf_dir):
 
 def q_incremental_merge(spark, sf_dir):
     cur, arc = _stage_tables(spark, sf_dir, "merge", with_archive=True)
-    incremental_merge(spark, delta_rows(spark, sf_dir), ORDERS, cur, arc, load_ts=DELTA_TS)
-    return read_table(spark, cur, _table_schema(spark, sf_dir))
+    stored = _table_schema(spark, sf_dir)  # known here, so the merge need not list current to find it
+    incremental_merge(spark, delta_rows(spark, sf_dir), ORDERS, cur, arc, load_ts=DELTA_TS, current_schema=stored)
+    return read_table(spark, cur, stored)
 
 
 def q_archive_append(spark, sf_dir):
     cur, arc = _stage_tables(spark, sf_dir, "archive", with_archive=True)
-    incremental_merge(spark, delta_rows(spark, sf_dir), ORDERS, cur, arc, load_ts=DELTA_TS)
-    return read_table(spark, arc, _table_schema(spark, sf_dir))
+    stored = _table_schema(spark, sf_dir)
+    incremental_merge(spark, delta_rows(spark, sf_dir), ORDERS, cur, arc, load_ts=DELTA_TS, current_schema=stored)
+    return read_table(spark, arc, stored)
 
 
 def q_catalog_merge(spark, sf_dir):
