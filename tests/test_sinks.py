@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from conftest import SF01, rows
 from tidemark.sinks import swap_partitions, write_json, write_partitioned
 from tidemark.sources import catalog_scan, partition_subset_scan, read_table, register_table, scan
@@ -107,3 +109,40 @@ def test_persistent_catalog_table(spark, path):
     pruned = got.where("c_mktsegment = 'BUILDING'")
     assert "PartitionFilters: [" in pruned._jdf.queryExecution().executedPlan().toString()
     spark.sql("DROP TABLE tidemark_test_customer")
+
+
+@pytest.mark.parametrize("adaptive_cache", ["true", "false"])
+def test_merge_splits_hot_partition_value(spark, path, adaptive_cache):
+    """Laid out once inside the cache (adaptive cached plans) or by each write: a hot value is split either way."""
+    from pyspark.sql import functions as F
+
+    from tidemark.plans import incremental_merge, initial_load
+    from tidemark.spec import TableSpec
+
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    shares = {r[0]: r[1] for r in li.groupBy("l_returnflag").count().collect()}
+    hot = max(shares, key=shares.get)
+    src = path("hotsrc")
+    li.repartition(8).write.parquet(src)
+    li = spark.read.parquet(src)
+    spec = TableSpec(("l_orderkey", "l_linenumber"), ("l_shipdate", "l_partkey", "l_suppkey"), "l_returnflag")
+    cur, arc = path("hotcur"), path("hotarc")
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize",
+            "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set(keys[0], "256k")
+    spark.conf.set(keys[1], "64k")
+    spark.conf.set(keys[2], adaptive_cache)
+    try:
+        initial_load(li, spec, cur, arc, load_ts="2024-01-01 00:00:00")
+        delta = li.where(F.col("l_returnflag") == hot).withColumn("l_quantity", F.col("l_quantity") + 1)
+        incremental_merge(spark, delta, spec, cur, arc, load_ts="2024-01-31 00:00:00")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for root in (cur, arc):
+        d = os.path.join(root.replace("file:", ""), f"l_returnflag={hot}")
+        assert len([f for f in os.listdir(d) if f.endswith(".parquet")]) > 2, root
+    stored = li.schema.add("load_ts", "timestamp_ntz")
+    assert read_table(spark, cur, stored).where(F.col("l_returnflag") == hot).count() == shares[hot]
+    assert read_table(spark, arc, stored).count() == li.count() + shares[hot]

@@ -74,8 +74,9 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
     (touched values, its keys, its rows), so it is persisted (memory, then
     disk) unless ``cache_delta=False``; the three uses then also agree for a
     source that is not repeatable.  The merged rows feed two sinks, so they
-    are persisted too, for the two writes: first the archive append, then the
-    dynamic-overwrite swap of *current*.  If cached blocks are lost they are
+    are persisted too (laid out by partition value once for both writes where
+    the session allows, see :func:`_merge`): first the archive append, then
+    the dynamic-overwrite swap of *current*.  If cached blocks are lost they are
     recomputed from the delta and *current*, which stays intact until the swap
     commits.  ``cache_merged=False`` recomputes the merge for the second write
     instead (for touched partitions too large for executor disks).
@@ -87,10 +88,10 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
     stored = current_schema or stored_schema(spark, current_path, stamped.schema, fmt)
     current = read_table(spark, current_path, stored, fmt)
 
-    def write(merged: DataFrame) -> None:
+    def write(merged: DataFrame, rebalance: bool) -> None:
         if archive_path is not None:
-            write_partitioned(merged, archive_path, spec.partition_key, "append", fmt)
-        swap_partitions(merged, current_path, spec.partition_key, fmt)
+            write_partitioned(merged, archive_path, spec.partition_key, "append", fmt, rebalance=rebalance)
+        swap_partitions(merged, current_path, spec.partition_key, fmt, rebalance=rebalance)
 
     _merge(current, _align(stamped, stored), spec, max_touched, cache_delta, cache_merged and archive_path is not None,
            write)
@@ -99,21 +100,38 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
 def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, max_touched: int, cache_delta: bool,
            cache_merged: bool, write) -> None:
     """Build the merged partitions of ``current`` and hand them to ``write``,
-    with the stamped delta and the merged rows persisted as asked."""
+    with the stamped delta and the merged rows persisted as asked.
+
+    Where the session lets adaptive execution reshape cached plans
+    (``spark.sql.optimizer.canChangeCachedPlanOutputPartitioning``, among the
+    recommended settings), persisted merged rows are laid out for the
+    partitioned writes first (``REBALANCE`` by the partition column, hot
+    values split): both writes read the same shuffled blocks and neither
+    shuffles again.  Otherwise a layout inside the cache could not split a hot
+    partition value, so each write lays the rows out itself.
+    """
     if cache_delta:
         stamped = stamped.persist(StorageLevel.MEMORY_AND_DISK)
     merged = None
+    layout_in_cache = cache_merged and _adaptive_cached_plans(current.sparkSession)
     try:
         merged = merged_partitions(current, stamped, spec, max_touched)
+        if layout_in_cache:
+            merged = merged.hint("rebalance", spec.partition_key)
         if cache_merged:
             merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-        write(merged)
+        write(merged, not layout_in_cache)
     finally:
         if merged is not None:
             merged.unpersist()
         stamped.unpersist()
 
 
+def _adaptive_cached_plans(spark: SparkSession) -> bool:
+    conf = spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "false")
+    return str(conf).lower() == "true"
+
+
 def initial_load_table(spark: SparkSession, history: DataFrame, spec: TableSpec, current_table: str,
                        current_path: str, archive_table: str | None = None, archive_path: str | None = None,
                        load_ts: datetime | str | Column | None = None, fmt: str = "parquet",
@@ -152,10 +170,10 @@ def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSp
     if overwrite_mode(spark, current_table) != "dynamic":
         raise ValueError(f"{current_table} does not overwrite partitions dynamically; create it with create_table")
 
-    def write(merged: DataFrame) -> None:
+    def write(merged: DataFrame, rebalance: bool) -> None:
         if archive_table is not None:
-            insert_partitions(merged, archive_table, spec.partition_key)
-        insert_partitions(merged, current_table, spec.partition_key, overwrite=True)
+            insert_partitions(merged, archive_table, spec.partition_key, rebalance=rebalance)
+        insert_partitions(merged, current_table, spec.partition_key, overwrite=True, rebalance=rebalance)
 
     _merge(current, stamped, spec, max_touched, cache_delta, cache_merged and archive_table is not None, write)
 

@@ -49,6 +49,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Let AQE split and coalesce inside cached plans too, so merged rows can be
+    # laid out (hot partition values split) once, inside their cache, for both
+    # of their writes.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
 }
