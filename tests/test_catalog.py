@@ -97,3 +97,18 @@ def test_catalog_merge_semi_join_fallback_equals_predicate(spark, path):
         results.append((rows(spark.table(cur_t), *cols), rows(spark.table(arc_t), *cols)))
     assert results[0] == results[1]
     assert (5, "e2", 2, None, T1) in [r[:4] + (str(r[4]),) for r in results[0][0]]
+
+
+def test_catalog_merge_leaves_untouched_partition_files_alone(spark, path):
+    from test_merge import _files
+
+    cur_t, arc_t = _names()
+    cur_p = path("ucur")
+    initial_load_table(spark, spark.createDataFrame(HISTORY, SCHEMA), SPEC, cur_t, cur_p, arc_t, path("uarc"),
+                       load_ts=T0)
+    before = _files(cur_p)
+    incremental_merge_table(spark, spark.createDataFrame(DELTAS[0], SCHEMA), SPEC, cur_t, arc_t, load_ts=T1)
+    after = _files(cur_p)
+    untouched = {f: t for f, t in before.items() if "city=Adjuntas" not in f}
+    assert untouched and all(after.get(f) == t for f, t in untouched.items())
+    assert not any("city=Adjuntas" in f for f in set(before) & set(after))  # the touched partition was rewritten
