@@ -112,3 +112,12 @@ def test_catalog_merge_leaves_untouched_partition_files_alone(spark, path):
     untouched = {f: t for f, t in before.items() if "city=Adjuntas" not in f}
     assert untouched and all(after.get(f) == t for f, t in untouched.items())
     assert not any("city=Adjuntas" in f for f in set(before) & set(after))  # the touched partition was rewritten
+
+
+def test_insert_fills_table_columns_the_rows_lack(spark, path):
+    name = f"t_wide_{uuid.uuid4().hex[:8]}"
+    create_table(spark, name, path("wide"), _parse_datatype_string(SCHEMA + ", note string"), "city")
+    insert_partitions(spark.createDataFrame(HISTORY[:2], SCHEMA), name, "city")
+    assert rows(spark.table(name), "id", "note") == [(1, None), (1, None)]
+    with pytest.raises(ValueError, match="no columns"):
+        insert_partitions(spark.createDataFrame([(1, 2)], "id bigint, other int"), name, "city")

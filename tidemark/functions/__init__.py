@@ -1,6 +1,7 @@
 """Column-level helpers: projections, title-casing, load time, version increment."""
 
 from tidemark.functions.columns import (
+    align_to_schema,
     drop_columns,
     load_ts_literal,
     prefixed_projection,
@@ -14,6 +15,7 @@ from tidemark.functions.text import title_case
 from tidemark.functions.versions import next_version
 
 __all__ = [
+    "align_to_schema",
     "drop_columns",
     "load_ts_literal",
     "next_version",

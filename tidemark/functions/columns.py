@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def prefixed_projection(df: DataFrame, prefix: str, columns: Iterable[str] | None = None) -> DataFrame:
@@ -71,3 +72,17 @@ def rename_column(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.drop(*columns)
+
+
+def align_to_schema(rows: DataFrame, schema: StructType) -> DataFrame:
+    """``rows`` in the columns, order and types of ``schema``, matched by name;
+    a column it lacks (e.g. a version column only the history feed has) is a
+    typed null.  A column ``schema`` has no place for is an error."""
+    names = {c.lower() for c in rows.columns}
+    extra = sorted(names - {f.name.lower() for f in schema.fields})
+    if extra:
+        raise ValueError(f"the table has no columns {extra}")
+    return rows.select(*[
+        (F.col(f.name) if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions.columns import load_ts_literal, rename_column
+from tidemark.functions.columns import align_to_schema, load_ts_literal, rename_column
 from tidemark.operators.join import version_increment
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import DEFAULT_MAX_TOUCHED, blank_partition_to_null, merged_partitions
@@ -28,20 +28,6 @@ def _stamp(df: DataFrame, spec: TableSpec, load_ts: datetime | str | Column | No
     return blank_partition_to_null(df, key).withColumn(spec.load_ts_col, value)
 
 
-def _align(rows: DataFrame, schema: StructType) -> DataFrame:
-    """``rows`` in the columns, order and types of ``schema``; a column it lacks
-    (e.g. a version column only the history feed has) is a typed null.  A
-    column the table cannot store is an error."""
-    names = {c.lower() for c in rows.columns}
-    extra = sorted(set(names) - {f.name.lower() for f in schema.fields})
-    if extra:
-        raise ValueError(f"the table has no columns {extra}")
-    return rows.select(*[
-        (F.col(f.name) if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
-
-
 def initial_load(history: DataFrame, spec: TableSpec, current_path: str, archive_path: str | None = None,
                  load_ts: datetime | str | Column | None = None, fmt: str = "parquet",
                  rebalance: bool = True) -> None:
@@ -93,8 +79,8 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
             write_partitioned(merged, archive_path, spec.partition_key, "append", fmt, rebalance=rebalance)
         swap_partitions(merged, current_path, spec.partition_key, fmt, rebalance=rebalance)
 
-    _merge(current, _align(stamped, stored), spec, max_touched, cache_delta, cache_merged and archive_path is not None,
-           write)
+    _merge(current, align_to_schema(stamped, stored), spec, max_touched, cache_delta,
+           cache_merged and archive_path is not None, write)
 
 
 def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, max_touched: int, cache_delta: bool,
@@ -166,7 +152,7 @@ def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSp
     values are registered by the inserts.
     """
     current = catalog_scan(spark, current_table)
-    stamped = _align(_stamp(delta, spec, load_ts), current.schema)
+    stamped = align_to_schema(_stamp(delta, spec, load_ts), current.schema)
     if overwrite_mode(spark, current_table) != "dynamic":
         raise ValueError(f"{current_table} does not overwrite partitions dynamically; create it with create_table")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tidemark.functions.columns import align_to_schema
 from tidemark.sources.files import overwrite_mode
 
 
@@ -54,7 +55,8 @@ def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
 def insert_partitions(df: DataFrame, table: str, key: str, overwrite: bool = False, rebalance: bool = True) -> None:
     """Write ``df`` into the partitioned catalog table ``table``.
 
-    Columns are matched by name (``insertInto`` itself is positional).  An
+    Columns are matched by name (``insertInto`` itself is positional); a
+    table column ``df`` lacks is written as null.  An
     append adds files and registers new partitions; ``overwrite`` replaces
     exactly the partitions ``df`` has rows for and is refused unless the table
     overwrites dynamically (see :func:`tidemark.sources.create_table`): a
@@ -63,5 +65,5 @@ def insert_partitions(df: DataFrame, table: str, key: str, overwrite: bool = Fal
     spark = df.sparkSession
     if overwrite and overwrite_mode(spark, table) != "dynamic":
         raise ValueError(f"{table} does not overwrite partitions dynamically; create it with create_table")
-    ordered = df.select(*spark.table(table).columns)
+    ordered = align_to_schema(df, spark.table(table).schema)
     _layout(ordered, key, rebalance).write.insertInto(table, overwrite=overwrite)
