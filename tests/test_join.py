@@ -116,3 +116,20 @@ def test_cached_rows_bound_from_a_materialized_cache(spark, path):
         assert cached_rows(spark.read.parquet(p).where("id > 5")) is None  # a filter over it: no count held
     finally:
         df.unpersist()
+
+
+def test_size_checks_leave_caches_in_place(spark, path):
+    from pyspark import StorageLevel
+
+    from tidemark.operators.keys import broadcast_if_small, cached_rows, estimated_bytes
+
+    p = path("kept")
+    spark.range(500).write.parquet(p)
+    df = spark.read.parquet(p).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        df.count()
+        for _ in range(2):
+            estimated_bytes(df), cached_rows(df), broadcast_if_small(df.select("id").distinct(), rows_of=df)
+        assert df.storageLevel.useMemory and cached_rows(df) is not None  # still cached and materialized
+    finally:
+        df.unpersist()

@@ -6,6 +6,7 @@ import contextlib
 import io
 import math
 import re
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -51,15 +52,22 @@ def null_safe_match(left: DataFrame, left_cols: Sequence[str], right: DataFrame,
     return cond
 
 
+# Serializes the capture of printed plans (see _cost_text).
+_EXPLAIN_LOCK = threading.Lock()
 # Units of the sizes ``explain(mode="cost")`` prints.
 _SIZE_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
 
 
 def _cost_text(df: DataFrame) -> str | None:
-    """The optimized logical plan with statistics, as ``explain(mode="cost")`` prints it."""
+    """The optimized logical plan with statistics, as ``explain(mode="cost")``
+    prints it (planning only, no job).  The printed text is captured under a
+    lock, so concurrent callers in one driver (e.g. two streams) do not mix
+    their plans.  (A temporary view with ``EXPLAIN COST`` would return the
+    text as data, but dropping the view uncaches data cached for the same
+    plan.)"""
     buf = io.StringIO()
     try:
-        with contextlib.redirect_stdout(buf):
+        with _EXPLAIN_LOCK, contextlib.redirect_stdout(buf):
             df.explain(mode="cost")
     except Exception:
         return None
