@@ -107,8 +107,8 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BY
     counts file bytes, so it is only a pre-check.  The proof is a count that
     stops at ``max_rows + 1``: at most ``max_rows`` rows are broadcast.  It
     counts ``rows_of`` when given, a frame with at least as many rows as
-    ``df`` (the frame whose distinct keys ``df`` holds): that count needs no
-    shuffle, and none runs at all when ``rows_of`` is a materialized cache,
+    ``df`` (the frame whose distinct keys ``df`` holds): that count adds no
+    shuffle of its own, and none runs at all when ``rows_of`` is a materialized cache,
     whose row count Spark already holds (:func:`cached_rows`).
     """
     size = estimated_bytes(df)
