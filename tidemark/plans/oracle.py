@@ -1,6 +1,6 @@
 """Independent DuckDB statements for every entry of ``workload.QUERIES``.
 
-The tables ``orders customer events`` are the shared test tables.
+The tables ``orders customer events lineitem`` are the shared test tables.
 They restate each operator in plain SQL (QUALIFY, NOT EXISTS, UNION ALL),
 without the Spark code path, so agreement is a real check.
 """
@@ -72,6 +72,12 @@ SELECT c.*, o.* FROM customer c LEFT JOIN (
 ON c.c_custkey = o.o_custkey""",
     "row_number_rank": f"SELECT *, CAST({_EVENT_NEWEST} AS INTEGER) AS row_num FROM events",
     "latest_per_key": f"SELECT * FROM orders QUALIFY {_ORDER_NEWEST} = 1",
+    "latest_per_composite_key": """
+SELECT * FROM lineitem QUALIFY row_number() OVER (
+  PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST, l_quantity DESC NULLS LAST,
+           l_extendedprice DESC NULLS LAST, l_discount DESC NULLS LAST, l_tax DESC NULLS LAST,
+           l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) = 1""",
     "merge_union": _MERGE_CTES + "SELECT * FROM comb",
     "title_case": r"""
 SELECT o_orderkey, o_orderpriority,

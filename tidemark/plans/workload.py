@@ -61,6 +61,10 @@ ARCHIVE_PRIORITY = "1-URGENT"
 
 ORDERS = TableSpec(("o_custkey",), ("o_orderdate", "o_orderkey"), "o_orderpriority")
 EVENTS = TableSpec(("user_id",), ("ts", "event_id"), "event_type")
+# A composite key that repeats; every other column breaks ties, so the newest row is well defined.
+LINEITEM = TableSpec(("l_orderkey", "l_linenumber"),
+                     ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                      "l_returnflag", "l_linestatus"), "l_returnflag")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -270,6 +274,10 @@ def q_latest_per_key(spark, sf_dir):
     return latest_per_key(table(spark, sf_dir, "orders"), ORDERS)
 
 
+def q_latest_per_composite_key(spark, sf_dir):
+    return latest_per_key(table(spark, sf_dir, "lineitem"), LINEITEM)
+
+
 def q_version_join(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     orders = table(spark, sf_dir, "orders").where(
@@ -304,6 +312,7 @@ QUERIES = {
     "version_join": q_version_join,
     "row_number_rank": q_row_number_rank,
     "latest_per_key": q_latest_per_key,
+    "latest_per_composite_key": q_latest_per_composite_key,
     "merge_union": q_merge_union,
     "title_case": q_title_case,
     "version_increment": q_version_increment,
