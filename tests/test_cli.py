@@ -74,3 +74,13 @@ def test_cli_property_feed_as_headerless_csv(spark, path):
         (3, "30.00", "00716", "Ponce", 1), (4, "40.00", "00603", "Aguada", None),
         (5, "50.00", "00604", "Aguada", 1)]  # a survivor of the touched partition keeps its version
     assert read_table(spark, cur, stored).columns[:14] == list(DAILY_COLUMNS)
+
+
+def test_recommended_settings_apply_at_run_time(spark):
+    from tidemark.cli import apply_recommended
+    from tidemark.session import RECOMMENDED_CONF
+
+    apply_recommended(spark)
+    for key, value in RECOMMENDED_CONF.items():  # what apply_recommended does for keys spark-submit left unset
+        spark.conf.set(key, value)
+        assert spark.conf.get(key) == value
