@@ -8,9 +8,15 @@ column; an *archive* table holds every version.  The three jobs are
   current rewritten (delta wins), merged partitions appended to archive
 * :func:`tidemark.plans.jobs.version_job`       daily LEFT JOIN archive -> inc_version
 
+``initial_load_table`` / ``incremental_merge_table`` run the first two on catalog
+tables whose partitions the catalog tracks (a merge lists only the partitions it
+touches); :mod:`tidemark.streaming` triggers the merge per arriving delta file and
+:mod:`tidemark.cli` runs the jobs from ``spark-submit``.
+
 Every building block is a ``DataFrame -> DataFrame`` function so Catalyst and
 adaptive execution plan the work; the only actions are inside sinks, the
-bounded collect of touched partition values and the bounded hot-key lists.
+bounded collect of touched partition values, the bounded hot-key lists and the
+bounded row counts that prove a broadcast small.
 """
 
 from tidemark.spec import TableSpec
