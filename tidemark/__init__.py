@@ -15,8 +15,9 @@ touches); :mod:`tidemark.streaming` triggers the merge per arriving delta file a
 
 Every building block is a ``DataFrame -> DataFrame`` function so Catalyst and
 adaptive execution plan the work; the only actions are inside sinks, the
-bounded collect of touched partition values, the bounded hot-key lists and the
-bounded row counts that prove a broadcast small.
+bounded collect of touched partition values, the bounded hot-key lists, the
+bounded row counts that prove a broadcast small, the checkpoint of split ranks
+and the footer read that finds the stored columns of a path table.
 """
 
 from tidemark.spec import TableSpec
