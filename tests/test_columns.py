@@ -2,7 +2,6 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import ArithmeticException
-from pyspark.sql import functions as F
 
 from tidemark.functions import (
     drop_columns,

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 from conftest import SF01, rows
-from tidemark.operators import merged_partitions
 from tidemark.plans import incremental_merge, initial_load
 from tidemark.plans import workload as w
 from tidemark.sources import read_table
