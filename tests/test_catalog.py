@@ -121,3 +121,13 @@ def test_insert_fills_table_columns_the_rows_lack(spark, path):
     assert rows(spark.table(name), "id", "note") == [(1, None), (1, None)]
     with pytest.raises(ValueError, match="no columns"):
         insert_partitions(spark.createDataFrame([(1, 2)], "id bigint, other int"), name, "city")
+
+
+def test_overwrite_refused_on_table_not_partitioned_by_the_key(spark, path):
+    name = f"t_flat_{uuid.uuid4().hex[:8]}"
+    create_table(spark, name, path("flat"), _parse_datatype_string(SCHEMA))  # dynamic, but no partition column
+    insert_partitions(spark.createDataFrame(HISTORY, SCHEMA), name, "city")
+    before = rows(spark.table(name))
+    with pytest.raises(ValueError, match="partitioned by"):
+        insert_partitions(spark.createDataFrame(DELTAS[0], SCHEMA), name, "city", overwrite=True)
+    assert rows(spark.table(name)) == before

@@ -59,11 +59,16 @@ def insert_partitions(df: DataFrame, table: str, key: str, overwrite: bool = Fal
     table column ``df`` lacks is written as null.  An
     append adds files and registers new partitions; ``overwrite`` replaces
     exactly the partitions ``df`` has rows for and is refused unless the table
-    overwrites dynamically (see :func:`tidemark.sources.create_table`): a
-    static overwrite would delete every other partition.
+    overwrites dynamically (see :func:`tidemark.sources.create_table`) and is
+    partitioned by ``key``: otherwise it would delete every other partition,
+    or the whole table.
     """
     spark = df.sparkSession
-    if overwrite and overwrite_mode(spark, table) != "dynamic":
-        raise ValueError(f"{table} does not overwrite partitions dynamically; create it with create_table")
+    if overwrite:
+        if overwrite_mode(spark, table) != "dynamic":
+            raise ValueError(f"{table} does not overwrite partitions dynamically; create it with create_table")
+        partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        if key not in partitions:  # unpartitioned, an overwrite would replace the whole table
+            raise ValueError(f"{table} is partitioned by {partitions}, not by {key}")
     ordered = align_to_schema(df, spark.table(table).schema)
     _layout(ordered, key, rebalance).write.insertInto(table, overwrite=overwrite)
