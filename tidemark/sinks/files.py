@@ -56,9 +56,9 @@ def insert_partitions(df: DataFrame, table: str, key: str, overwrite: bool = Fal
     """Write ``df`` into the partitioned catalog table ``table``.
 
     Columns are matched by name (``insertInto`` itself is positional); a
-    table column ``df`` lacks is written as null.  An
-    append adds files and registers new partitions; ``overwrite`` replaces
-    exactly the partitions ``df`` has rows for and is refused unless the table
+    table column ``df`` lacks is written as null.  An append adds files and
+    registers new partitions; ``overwrite`` replaces exactly the partitions
+    ``df`` has rows for and is refused unless the table
     overwrites dynamically (see :func:`tidemark.sources.create_table`) and is
     partitioned by ``key``: otherwise it would delete every other partition,
     or the whole table.
