@@ -84,3 +84,21 @@ def test_recommended_settings_apply_at_run_time(spark):
     for key, value in RECOMMENDED_CONF.items():  # what apply_recommended does for keys spark-submit left unset
         spark.conf.set(key, value)
         assert spark.conf.get(key) == value
+
+
+def test_property_feed_fixed_values():
+    from tidemark.property_feed import (
+        DAILY_COLUMNS,
+        DAILY_SCHEMA,
+        HISTORY_COLUMNS,
+        HISTORY_SCHEMA,
+        PROPERTY_SPEC,
+        stored_schema,
+    )
+
+    assert len(DAILY_COLUMNS) == 14 and DAILY_COLUMNS[0] == "property_id" and DAILY_COLUMNS[-1] == "country"
+    assert HISTORY_COLUMNS == DAILY_COLUMNS + ("version", "version_time")
+    assert DAILY_SCHEMA.fieldNames() == list(DAILY_COLUMNS) and HISTORY_SCHEMA.fieldNames() == list(HISTORY_COLUMNS)
+    assert dict((f.name, f.dataType.simpleString()) for f in HISTORY_SCHEMA.fields)["zip_code"] == "string"
+    assert PROPERTY_SPEC.primary_key == ("property_id",) and PROPERTY_SPEC.partition_key == "city"
+    assert stored_schema().fieldNames()[-1] == "load_ts" and len(HISTORY_SCHEMA.fields) == 16
