@@ -2,6 +2,8 @@
 
 import uuid
 
+import pytest
+
 from conftest import rows
 from test_merge import HISTORY, SCHEMA, SPEC, STORED, T0, T1, _current, _load
 from tidemark.cli import run
@@ -102,3 +104,12 @@ def test_property_feed_fixed_values():
     assert dict((f.name, f.dataType.simpleString()) for f in HISTORY_SCHEMA.fields)["zip_code"] == "string"
     assert PROPERTY_SPEC.primary_key == ("property_id",) and PROPERTY_SPEC.partition_key == "city"
     assert stored_schema().fieldNames()[-1] == "load_ts" and len(HISTORY_SCHEMA.fields) == 16
+
+
+def test_cli_refuses_missing_targets(spark, path):
+    day = path("day")
+    spark.createDataFrame(HISTORY[:1], SCHEMA).write.parquet(day)
+    with pytest.raises(SystemExit, match="--current"):
+        run(spark, ["merge", "--delta", day, *KEYS])
+    with pytest.raises(SystemExit, match="needs --current"):
+        run(spark, ["initial-load", "--history", day, "--current-table", "t_never", *KEYS])
