@@ -41,7 +41,8 @@ def touched_predicate(col: Column, values: Sequence) -> Column:
     """Exact, null-safe membership: ``col IN (...) [OR col IS NULL]``.
 
     On a partition column this is a static ``PartitionFilters`` entry, so only
-    the touched directories are listed and read.
+    the touched directories are read (and, for a catalog table whose
+    partitions the catalog tracks, the only ones listed).
     """
     non_null = [v for v in values if v is not None]
     pred = col.isin(non_null) if non_null else F.lit(False)

@@ -68,8 +68,9 @@ def partition_subset_scan(spark: SparkSession, path: str, schema: StructType, ke
                           values: Sequence, fmt: str = "parquet") -> DataFrame:
     """Only the partitions whose ``key`` value is in ``values`` (null-safe).
 
-    The predicate lands in the scan's ``PartitionFilters``: untouched
-    directories are neither listed nor read.
+    The predicate lands in the scan's ``PartitionFilters``: files of untouched
+    directories are not read.  A folder read this way is still listed whole;
+    a catalog table (:func:`create_table`) lists only the matching partitions.
     """
     from pyspark.sql import functions as F
 
