@@ -131,3 +131,14 @@ def test_overwrite_refused_on_table_not_partitioned_by_the_key(spark, path):
     with pytest.raises(ValueError, match="partitioned by"):
         insert_partitions(spark.createDataFrame(DELTAS[0], SCHEMA), name, "city", overwrite=True)
     assert rows(spark.table(name)) == before
+
+
+def test_catalog_archive_once_on_rerun(spark, path):
+    cur_t, arc_t = _load_tables(spark, path, HISTORY)
+    delta = spark.createDataFrame(DELTAS[0], SCHEMA)
+    incremental_merge_table(spark, delta, SPEC, cur_t, arc_t, load_ts=T1, archive_once=True)
+    first = rows(spark.table(arc_t))
+    incremental_merge_table(spark, delta, SPEC, cur_t, arc_t, load_ts=T1, archive_once=True)
+    assert rows(spark.table(arc_t)) == first and len(first) == len(HISTORY) + 3
+    incremental_merge_table(spark, delta, SPEC, cur_t, arc_t, load_ts=T2, archive_once=True)
+    assert spark.table(arc_t).count() == len(HISTORY) + 6

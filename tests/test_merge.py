@@ -271,3 +271,38 @@ def test_given_current_schema_equals_inferred(spark, path):
         incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1, current_schema=given)
         results.append((rows(_current(spark, cur)), rows(spark.read.schema(STORED).parquet(arc))))
     assert results[0] == results[1]
+
+
+def test_archive_once_on_rerun(spark, path):
+    cur, arc = _load(spark, path, HISTORY)
+    delta = spark.createDataFrame([(2, "b2", 2, "Adjuntas"), (7, "g1", 1, "Mayaguez")], SCHEMA)
+    archive = lambda: spark.read.schema(STORED).parquet(arc)
+    incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1, archive_once=True)
+    after_first = rows(archive())
+    after_current = rows(_current(spark, cur))
+    # the same run again (as after a failure past the archive append): no second snapshot
+    incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1, archive_once=True)
+    assert rows(archive()) == after_first and len(after_first) == len(HISTORY) + 3
+    assert rows(_current(spark, cur)) == after_current
+    # another run (new load time) appends its snapshot
+    incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T2, archive_once=True)
+    assert archive().count() == len(HISTORY) + 6
+    # without the option a re-run appends again
+    incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T2)
+    assert archive().count() == len(HISTORY) + 9
+    with pytest.raises(ValueError, match="archive_once"):
+        incremental_merge(spark, delta, SPEC, cur, arc, archive_once=True)
+
+
+def test_archive_once_check_reads_touched_partitions_by_load_time(spark, path):
+    from tidemark.functions import load_ts_literal
+    from tidemark.operators import existing_in_touched
+
+    cur, arc = _load(spark, path, HISTORY)
+    delta = spark.createDataFrame([(2, "b2", 2, "Adjuntas")], SCHEMA).withColumn("load_ts", load_ts_literal(T1))
+    archive = _current(spark, arc)
+    check = existing_in_touched(archive, delta, "city").where(F.col("load_ts") == load_ts_literal(T1))
+    plan = plan_text(check)
+    assert re.search(r"PartitionFilters: \[.*city", plan), plan
+    assert re.search(r"PushedFilters: \[.*EqualTo\(load_ts", plan), plan
+    assert check.isEmpty()

@@ -13,7 +13,12 @@ from pyspark.sql.types import StructType
 from tidemark.functions.columns import align_to_schema, load_ts_literal, rename_column
 from tidemark.operators.join import version_increment
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.merge import DEFAULT_MAX_TOUCHED, blank_partition_to_null, merged_partitions
+from tidemark.operators.merge import (
+    DEFAULT_MAX_TOUCHED,
+    blank_partition_to_null,
+    existing_in_touched,
+    merged_partitions,
+)
 from tidemark.sinks.files import insert_partitions, swap_partitions, write_json, write_partitioned
 from tidemark.sources.files import catalog_scan, create_table, overwrite_mode, read_table, stored_schema
 from tidemark.spec import TableSpec
@@ -49,7 +54,7 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
                       archive_path: str | None = None, load_ts: datetime | str | Column | None = None,
                       fmt: str = "parquet", max_touched: int = DEFAULT_MAX_TOUCHED,
                       cache_merged: bool = True, cache_delta: bool = True,
-                      current_schema: StructType | None = None) -> None:
+                      current_schema: StructType | None = None, archive_once: bool = False) -> None:
     """Merge a daily delta into *current* and snapshot the result into *archive*.
 
     For every partition value the delta touches, the new content is the delta
@@ -69,14 +74,24 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
     ``current_schema``, the schema *current* is stored with (load-time column
     included), saves the listing that otherwise finds its columns
     (:func:`tidemark.sources.stored_schema`).
+
+    The archive append is not undone if the job fails later, so a plain
+    re-run appends the snapshot again.  With ``archive_once`` (which needs an
+    explicit ``load_ts``: the load time then names the run) the append is
+    skipped when *archive* already holds rows of this load time in a touched
+    partition, so re-running a failed job with the same load time archives
+    its snapshot once.  Two different deltas must then not share a load time.
     """
+    _check_archive_once(archive_once, load_ts)
     stamped = _stamp(delta, spec, load_ts)
     stored = current_schema or stored_schema(spark, current_path, stamped.schema, fmt)
     current = read_table(spark, current_path, stored, fmt)
 
-    def write(merged: DataFrame, rebalance: bool) -> None:
+    def write(merged: DataFrame, rebalance: bool, stamped: DataFrame) -> None:
         if archive_path is not None:
-            write_partitioned(merged, archive_path, spec.partition_key, "append", fmt, rebalance=rebalance)
+            archive = read_table(spark, archive_path, stored, fmt)
+            if not (archive_once and _holds_run(archive, stamped, spec, max_touched, load_ts)):
+                write_partitioned(merged, archive_path, spec.partition_key, "append", fmt, rebalance=rebalance)
         swap_partitions(merged, current_path, spec.partition_key, fmt, rebalance=rebalance)
 
     _merge(current, align_to_schema(stamped, stored), spec, max_touched, cache_delta,
@@ -106,13 +121,29 @@ def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, max_touched:
             merged = merged.hint("rebalance", spec.partition_key)
         if cache_merged:
             merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-        write(merged, not layout_in_cache)
+        write(merged, not layout_in_cache, stamped)
     finally:
         if merged is not None:
             merged.unpersist()
         stamped.unpersist()
 
 
+def _check_archive_once(archive_once: bool, load_ts) -> None:
+    if archive_once and (load_ts is None or isinstance(load_ts, Column)):
+        raise ValueError("archive_once needs the run's load time as a value (load_ts)")
+
+
+def _holds_run(archive: DataFrame, stamped: DataFrame, spec: TableSpec, max_touched: int, load_ts) -> bool:
+    """Whether ``archive`` has a row of load time ``load_ts`` in a partition the stamped delta touches.
+
+    The touched values prune the archive's partitions as in the merge, and the
+    load-time equality reaches the Parquet scan: files of other runs are
+    skipped by their footer statistics, so this reads footers, not rows.
+    """
+    run = existing_in_touched(archive, stamped, spec.partition_key, max_touched)
+    return not run.where(F.col(spec.load_ts_col) == load_ts_literal(load_ts)).isEmpty()
+
+
 def _adaptive_cached_plans(spark: SparkSession) -> bool:
     conf = spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "false")
     return str(conf).lower() == "true"
@@ -141,7 +172,7 @@ def initial_load_table(spark: SparkSession, history: DataFrame, spec: TableSpec,
 def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSpec, current_table: str,
                             archive_table: str | None = None, load_ts: datetime | str | Column | None = None,
                             max_touched: int = DEFAULT_MAX_TOUCHED, cache_merged: bool = True,
-                            cache_delta: bool = True) -> None:
+                            cache_delta: bool = True, archive_once: bool = False) -> None:
     """:func:`incremental_merge` on catalog tables (see :func:`initial_load_table`).
 
     The touched values become a predicate on the partition column, which the
@@ -149,16 +180,20 @@ def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSp
     listed and read, however many partitions *current* has.  The merged rows
     are inserted into *archive*, then overwrite their partitions of *current*
     (dynamic overwrite, checked before anything is written); new partition
-    values are registered by the inserts.
+    values are registered by the inserts.  ``archive_once`` as in
+    :func:`incremental_merge`.
     """
+    _check_archive_once(archive_once, load_ts)
     current = catalog_scan(spark, current_table)
     stamped = align_to_schema(_stamp(delta, spec, load_ts), current.schema)
     if overwrite_mode(spark, current_table) != "dynamic":
         raise ValueError(f"{current_table} does not overwrite partitions dynamically; create it with create_table")
 
-    def write(merged: DataFrame, rebalance: bool) -> None:
+    def write(merged: DataFrame, rebalance: bool, stamped: DataFrame) -> None:
         if archive_table is not None:
-            insert_partitions(merged, archive_table, spec.partition_key, rebalance=rebalance)
+            archive = catalog_scan(spark, archive_table)
+            if not (archive_once and _holds_run(archive, stamped, spec, max_touched, load_ts)):
+                insert_partitions(merged, archive_table, spec.partition_key, rebalance=rebalance)
         insert_partitions(merged, current_table, spec.partition_key, overwrite=True, rebalance=rebalance)
 
     _merge(current, stamped, spec, max_touched, cache_delta, cache_merged and archive_table is not None, write)
