@@ -113,3 +113,15 @@ def test_cli_refuses_missing_targets(spark, path):
         run(spark, ["merge", "--delta", day, *KEYS])
     with pytest.raises(SystemExit, match="needs --current"):
         run(spark, ["initial-load", "--history", day, "--current-table", "t_never", *KEYS])
+
+
+def test_cli_archive_once(spark, path):
+    day = path("day")
+    spark.createDataFrame([(2, "b2", 2, "Adjuntas")], SCHEMA).write.parquet(day)
+    cur, arc = _load(spark, path, HISTORY)
+    args = ["merge", "--delta", day, "--current", cur, "--archive", arc, "--load-ts", T1, "--archive-once", *KEYS]
+    run(spark, args)
+    run(spark, args)  # the re-run archives nothing more
+    assert spark.read.schema(STORED).parquet(arc).count() == len(HISTORY) + 2
+    with pytest.raises(SystemExit, match="--archive-once needs --load-ts"):
+        run(spark, ["merge", "--delta", day, "--current", cur, "--archive", arc, "--archive-once", *KEYS])

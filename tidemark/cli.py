@@ -74,8 +74,11 @@ def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="tidemark", description="versioned current + archive tables on Spark")
     sub = ap.add_subparsers(dest="job", required=True)
     _table_args(sub.add_parser("initial-load", help="history feed -> current (newest per key) + archive"), "history")
-    _table_args(sub.add_parser("merge", help="daily delta -> touched partitions of current, archive snapshot"),
-                "delta")
+    m = sub.add_parser("merge", help="daily delta -> touched partitions of current, archive snapshot")
+    _table_args(m, "delta")
+    m.add_argument("--archive-once", action="store_true",
+                   help="skip the archive append if archive holds rows of --load-ts in a touched partition "
+                        "(re-running a failed job archives once)")
     v = sub.add_parser("version-increment", help="daily LEFT JOIN archive, inc_version = coalesce(version,0)+1")
     v.add_argument("--daily-table", required=True)
     v.add_argument("--archive-table", required=True)
@@ -115,11 +118,15 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
                                args.archive, load_ts=args.load_ts, fmt="parquet")
         else:
             initial_load(feed, spec, args.current, args.archive, load_ts=args.load_ts)
+    elif args.archive_once and args.load_ts is None:
+        raise SystemExit("--archive-once needs --load-ts, the load time that names the run")
     elif catalog:
-        incremental_merge_table(spark, feed, spec, args.current_table, args.archive_table, load_ts=args.load_ts)
+        incremental_merge_table(spark, feed, spec, args.current_table, args.archive_table, load_ts=args.load_ts,
+                                archive_once=args.archive_once)
     else:
         stored = property_stored_schema(spec.load_ts_col) if args.property_schema else None
-        incremental_merge(spark, feed, spec, args.current, args.archive, load_ts=args.load_ts, current_schema=stored)
+        incremental_merge(spark, feed, spec, args.current, args.archive, load_ts=args.load_ts, current_schema=stored,
+                          archive_once=args.archive_once)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
