@@ -5,7 +5,9 @@ source remembers which delta files were merged (in ``checkpoint_location``),
 and ``foreachBatch`` hands each new batch to :func:`incremental_merge`.
 ``current`` is rewritten by dynamic partition overwrite, so a retried batch
 with the same load time leaves it as it was; the archive append is
-at-least-once (a retried batch appends its snapshot again), as in the batch job.
+at-least-once (a retried batch appends its snapshot again).  The batch job's
+``archive_once`` is not used here: it needs one load time per run, and a
+fixed ``load_ts`` is shared by every batch.
 """
 
 from __future__ import annotations
