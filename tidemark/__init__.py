@@ -6,6 +6,7 @@ column; an *archive* table holds every version.  The three jobs are
 * :func:`tidemark.plans.jobs.initial_load`      history feed -> current + archive
 * :func:`tidemark.plans.jobs.incremental_merge` daily delta -> touched partitions of
   current rewritten (delta wins), merged partitions appended to archive
+  (``archive_once``: a re-run with the same load time appends them once)
 * :func:`tidemark.plans.jobs.version_job`       daily LEFT JOIN archive -> inc_version
 
 ``initial_load_table`` / ``incremental_merge_table`` run the first two on catalog
