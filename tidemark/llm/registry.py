@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, mixing, sharding
+from tidemark.llm import decontam, mixing, pii, sharding
 
 QUERIES = {
+    "op3_information_sanitise": pii.q_sanitise,
     "op7_jump_hash_shards": sharding.q_shard,
     "op8_winnow_decontaminate": decontam.q_decontaminate,
     "op10_mix_sources": mixing.q_mix,
