@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, mixing, pii, sharding
+from tidemark.llm import decontam, langid, licenses, mixing, pii, quality, sharding, toxicity
 
 QUERIES = {
+    "op1_line_first_quality": quality.q_quality,
     "op3_information_sanitise": pii.q_sanitise,
+    "op4_license_scan": licenses.q_licenses,
+    "op5_ftrl_toxicity": toxicity.q_toxicity,
     "op7_jump_hash_shards": sharding.q_shard,
     "op8_winnow_decontaminate": decontam.q_decontaminate,
+    "op9_language_backoff": langid.q_language,
     "op10_mix_sources": mixing.q_mix,
 }
 
 SQL = {
+    "op1_line_first_quality": quality.SQL,
     "op7_jump_hash_shards": sharding.SQL,
     "op8_winnow_decontaminate": decontam.SQL,
     "op10_mix_sources": mixing.SQL,
