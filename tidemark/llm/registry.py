@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, langid, licenses, mixing, pii, quality, sharding, toxicity
+from tidemark.llm import decontam, jaccard, langid, licenses, mixing, pii, quality, sharding, toxicity
 
 QUERIES = {
     "op1_line_first_quality": quality.q_quality,
     "op3_information_sanitise": pii.q_sanitise,
     "op4_license_scan": licenses.q_licenses,
     "op5_ftrl_toxicity": toxicity.q_toxicity,
+    "op6_minhash_jaccard_join": jaccard.q_jaccard,
     "op7_jump_hash_shards": sharding.q_shard,
     "op8_winnow_decontaminate": decontam.q_decontaminate,
     "op9_language_backoff": langid.q_language,
