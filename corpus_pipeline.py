@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, mixing, sharding
+from tidemark.llm import decontam, jaccard, mixing, quality, sharding
 from tidemark.llm.common import materialize, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the line rules, without the lines that fail."""
+    return quality.clean_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of copies and near copies."""
+    return jaccard.one_per_class(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window with a benchmark item."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -24,6 +34,8 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", near_duplicates),
     ("benchmark_decontamination", decontamination),
     ("source_mixing", mixture),
     ("sharding", shards),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, jaccard, langid, licenses, mixing, pii, quality, sharding, toxicity
+from tidemark.llm import decontam, htmltext, jaccard, langid, licenses, mixing, pii, quality, sharding, toxicity
 
 QUERIES = {
     "op1_line_first_quality": quality.q_quality,
+    "op2_template_extract": htmltext.q_extract,
     "op3_information_sanitise": pii.q_sanitise,
     "op4_license_scan": licenses.q_licenses,
     "op5_ftrl_toxicity": toxicity.q_toxicity,
