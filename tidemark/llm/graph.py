@@ -1,4 +1,4 @@
-"""Connected components of an edge table by min-label propagation with pointer jumping."""
+"""Connected components of an edge table by contraction."""
 
 from __future__ import annotations
 
@@ -11,20 +11,26 @@ from tidemark.llm.common import materialize
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of ``edges(a, b)``: the least node of its component.
 
-    Each round takes the least label among a node and its neighbours, then
-    the label of that label, so long paths halve.  Rounds are written to the
-    shared folder; only the number of changed labels reaches the driver.
+    Each round every node takes the least node next to it (or itself) as its
+    parent; edges then run between parents, and those inside one parent vanish,
+    so the edge table shrinks from round to round.  When none is left, the
+    parents are followed back.  Rounds are written to the shared folder; the
+    driver only learns whether edges are left.
     """
-    both = edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
-    both = materialize(both.union(both.select("other", "node")).where("node <> other").distinct(), "graph-edges")
-    labels = materialize(
-        both.groupBy("node").agg(F.min("other").alias("_m")).select("node", F.least("node", "_m").alias("label")), "graph-labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("_near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "_near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("_next"))
-        step = step.join(jump, "label").select("node", "old", F.least("label", "_next").alias("label"))
-        step = materialize(step, "graph-labels")
-        labels = step.select("node", "label")
-        if step.where("label <> old").isEmpty():
-            return labels
+    left = materialize(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+                       "graph-edges")
+    rounds = []
+    while not rounds or not left.isEmpty():
+        ends = left.groupBy("b").agg(F.min("a").alias("m")).select(F.col("b").alias("node"), "m") \
+            .union(left.groupBy("a").agg(F.min("a").alias("m")).select(F.col("a").alias("node"), "m"))
+        parents = materialize(ends.groupBy("node").agg(F.min("m").alias("parent")), "graph-parents")
+        rounds.append(parents)
+        left = left.join(parents.select(F.col("node").alias("a"), F.col("parent").alias("pa")), "a") \
+            .join(parents.select(F.col("node").alias("b"), F.col("parent").alias("pb")), "b").where("pa <> pb")
+        left = materialize(left.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "graph-edges")
+    labels = rounds[-1].select("node", F.col("parent").alias("label"))
+    for parents in reversed(rounds[:-1]):
+        later = labels.select(F.col("node").alias("parent"), F.col("label"))
+        labels = materialize(parents.join(later, "parent", "left")
+                             .select("node", F.coalesce("label", "parent").alias("label")), "graph-labels")
+    return labels
