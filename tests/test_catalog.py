@@ -87,16 +87,16 @@ def test_create_table_is_dynamic_and_inserts_by_name(spark, path):
     assert got == sorted(want, key=repr)
 
 
-def test_catalog_merge_semi_join_fallback_equals_predicate(spark, path):
-    results = []
-    for max_touched in (10_000, 1):  # 1: more touched values than allowed -> null-safe semi join
-        cur_t, arc_t = _load_tables(spark, path, HISTORY)
-        incremental_merge_table(spark, spark.createDataFrame(DELTAS[1] + DELTAS[0], SCHEMA), SPEC, cur_t, arc_t,
-                                load_ts=T1, max_touched=max_touched)
-        cols = _parse_datatype_string(STORED).fieldNames()
-        results.append((rows(spark.table(cur_t), *cols), rows(spark.table(arc_t), *cols)))
-    assert results[0] == results[1]
-    assert (5, "e2", 2, None, T1) in [r[:4] + (str(r[4]),) for r in results[0][0]]
+def test_replace_never_drops_another_table(spark, path):
+    from tidemark.sources import create_table
+
+    name, _ = _names()
+    spark.sql(f"CREATE TABLE {name} (id bigint, city string) USING parquet")
+    spark.sql(f"INSERT INTO {name} VALUES (1, 'A')")
+    with pytest.raises(ValueError, match="not replaced"):
+        create_table(spark, name, path("other"), spark.table(name).schema, "city", replace=True)
+    assert spark.table(name).count() == 1
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_catalog_merge_leaves_untouched_partition_files_alone(spark, path):

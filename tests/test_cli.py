@@ -103,7 +103,7 @@ def test_property_feed_fixed_values():
     assert DAILY_SCHEMA.fieldNames() == list(DAILY_COLUMNS) and HISTORY_SCHEMA.fieldNames() == list(HISTORY_COLUMNS)
     assert dict((f.name, f.dataType.simpleString()) for f in HISTORY_SCHEMA.fields)["zip_code"] == "string"
     assert PROPERTY_SPEC.primary_key == ("property_id",) and PROPERTY_SPEC.partition_key == "city"
-    assert stored_schema().fieldNames()[-1] == "load_ts" and len(HISTORY_SCHEMA.fields) == 16
+    assert stored_schema().fieldNames()[-1] == "epoch_record_time" and len(HISTORY_SCHEMA.fields) == 16
 
 
 def test_cli_refuses_missing_targets(spark, path):

@@ -136,19 +136,43 @@ def test_delta_not_deduplicated(spark, path):
     assert rows(_current(spark, cur).where("id = 2"), "name") == [("b2",), ("b3",)]
 
 
-def test_semi_join_fallback_equals_static_predicate(spark, path):
-    cur, _ = _load(spark, path, HISTORY)
+def test_many_touched_values_stay_a_static_predicate(spark, path):
     from tidemark.functions import with_load_ts
 
-    delta = with_load_ts(spark.createDataFrame([(2, "b2", 2, "Adjuntas"), (9, "q", 1, None)], SCHEMA), "load_ts", T1)
-    current = _current(spark, cur)
-    static = merged_partitions(current, delta, SPEC)
-    joined = merged_partitions(current, delta, SPEC, max_touched=1)
-    assert rows(static) == rows(joined)
-    static.collect()
-    text = static._jdf.queryExecution().executedPlan().toString()
+    cur, _ = _load(spark, path, HISTORY)
+    many = spark.range(100, 10_600).selectExpr("id", "'x' AS name", "1 AS version", "concat('c', id) AS city")
+    delta = with_load_ts(many.union(spark.createDataFrame([(9, "q", 1, None)], SCHEMA)), "load_ts", T1)
+    merged = merged_partitions(_current(spark, cur), delta, SPEC)
+    assert merged.where("city IS NULL").count() == 3  # two stored rows and the new one
+    text = plan_text(merged)
     assert "LeftAnti" in text
-    assert re.search(r"PartitionFilters: \[[^\]]*isnull\(city", text), text
+    assert re.search(r"PartitionFilters: \[[^\]]*isnull\(city", text), text[:2000]
+
+
+def test_stored_columns_survive_deltas_without_them(spark, path):
+    """A column that only one partition's files have keeps its values."""
+    cur, _ = _load(spark, path, [(1, "a", 1, "Adjuntas"), (2, "b", 1, "Adjuntas"), (3, "c", 1, "Ponce"), (4, "d", 1, "Ponce")])
+    wide = spark.createDataFrame([(3, "c2", 2, "Ponce", "KEEP")], SCHEMA + ", x string")
+    incremental_merge(spark, wide, SPEC, cur, None, load_ts=T1)
+    incremental_merge(spark, spark.createDataFrame([(4, "d2", 2, "Ponce")], SCHEMA), SPEC, cur, None, load_ts=T2)
+    got = spark.read.option("mergeSchema", "true").parquet(cur)
+    assert rows(got, "id", "name", "x") == sorted(
+        [(1, "a", None), (2, "b", None), (3, "c2", "KEEP"), (4, "d2", None)], key=repr)
+
+
+def test_stored_types_win(spark, path):
+    stored = "id bigint, price decimal(18,2), n int, city string"
+    cur = path("types")
+    spec = TableSpec(("id",), ("n",), "city")
+    initial_load(spark.createDataFrame([(1, None, 1, "A"), (2, None, 1, "A")], stored), spec, cur, None, load_ts=T0)
+    delta = spark.createDataFrame([(1, 2.5, 7, "A")], "id int, price double, n bigint, city string")
+    incremental_merge(spark, delta, spec, cur, None, load_ts=T1)
+    schema = spark.createDataFrame([], stored + ", load_ts timestamp_ntz").schema
+    got = rows(read_table(spark, cur, schema), "id", "price", "n")
+    assert [(r[0], str(r[1]), r[2]) for r in got] == [(1, "2.50", 7), (2, "None", 1)]
+    too_big = spark.createDataFrame([(1, 2.5, 2**40, "A")], "id int, price double, n bigint, city string")
+    with pytest.raises(ValueError, match="n"):
+        incremental_merge(spark, too_big, spec, cur, None, load_ts=T2)
 
 
 def test_survivors_keep_null_keys(spark):

@@ -20,7 +20,8 @@ def test_stream_of_deltas_equals_batch_merges(spark, path):
         initial_load(base, w.ORDERS, cur, None, load_ts="2024-01-01 00:00:00")
     schema = w.existing_rows(spark, SF01).schema
     # the stored schema is passed here (no listing per batch); the registered streaming query infers it
-    q = start_merge_stream(spark, deltas, day1.schema, w.ORDERS, cur_s, path("stream-ckpt"), current_schema=schema)
+    q = start_merge_stream(spark, deltas, day1.schema, w.ORDERS, cur_s, path("stream-ckpt"), current_schema=schema,
+                           files_per_batch=1)  # each file is one day here
     q.awaitTermination(300)
     for day in (day1, day2):
         incremental_merge(spark, day, w.ORDERS, cur_b, None)

@@ -26,6 +26,7 @@ from tidemark.plans import (
     version_job,
 )
 from tidemark.property_feed import (
+    LOAD_TIME_COLUMN,
     DAILY_SCHEMA,
     DEFAULT_PARTITION_KEY,
     DEFAULT_PRIMARY_KEY,
@@ -47,7 +48,7 @@ def _spec(args) -> TableSpec:
     if args.title_case_partitions:
         from tidemark.functions import title_case as normalizer
     return TableSpec(_names(args.primary_key), _names(args.version_key), args.partition_key,
-                     load_ts_col=args.load_ts_col, partition_normalizer=normalizer)
+                     load_ts_col=args.load_ts_col or (LOAD_TIME_COLUMN if args.property_schema else "load_ts"), partition_normalizer=normalizer)
 
 
 def _table_args(p: argparse.ArgumentParser, feed: str) -> None:
@@ -64,7 +65,7 @@ def _table_args(p: argparse.ArgumentParser, feed: str) -> None:
     p.add_argument("--version-key", default=DEFAULT_VERSION_KEY,
                    help="newest-first order column(s), comma separated; add tie-breaks")
     p.add_argument("--partition-key", default=DEFAULT_PARTITION_KEY, help="partition column")
-    p.add_argument("--load-ts-col", default="load_ts", help="column storing the load time")
+    p.add_argument("--load-ts-col", default=None, help="column storing the load time")
     p.add_argument("--load-ts", help="load time of this run (default: now, once)")
     p.add_argument("--title-case-partitions", action="store_true",
                    help="title-case partition values of every incoming row")
@@ -105,7 +106,9 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     spec = _spec(args)
     initial = args.job == "initial-load"
     schema = (HISTORY_SCHEMA if initial else DAILY_SCHEMA) if args.property_schema else None
-    options = {"header": "true"} if args.header else {}
+    # bad rows fail the run, and a header must name the columns in the schema's order
+    options = {"mode": "FAILFAST"} if schema is not None and args.format in ("csv", "json") else {}
+    options |= {"header": "true", "enforceSchema": "false"} if args.header else {}
     feed = scan(spark, args.history if initial else args.delta, args.format, schema=schema, **options)
     catalog = args.current_table is not None
     if not catalog and args.current is None:

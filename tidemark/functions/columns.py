@@ -86,3 +86,20 @@ def align_to_schema(rows: DataFrame, schema: StructType) -> DataFrame:
         (F.col(f.name) if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema.fields
     ])
+
+
+def refuse_lossy(rows: DataFrame, schema: StructType) -> None:
+    """Raise if a value of ``rows`` would change when cast to the types of ``schema``.
+
+    Looks at the data only where a column's type differs (one aggregate, one row back)."""
+    stored = {f.name.lower(): f.dataType for f in schema.fields}
+    changed = {}
+    for f in rows.schema.fields:
+        kind = stored.get(f.name.lower())
+        if kind is not None and kind != f.dataType:
+            there = F.col(f"`{f.name}`").try_cast(kind)
+            changed[f.name] = F.count(F.when(~there.try_cast(f.dataType).eqNullSafe(F.col(f"`{f.name}`")), 1)).alias(f.name)
+    if changed:
+        lost = {k: n for k, n in rows.agg(*changed.values()).first().asDict().items() if n}
+        if lost:
+            raise ValueError(f"the stored types cannot hold all values of {sorted(lost)}: {lost} rows would change")

@@ -19,10 +19,6 @@ from tidemark.operators.keys import (
     hot_keys,
 )
 
-# Upper bound of the salt count for one hot key (our choice).
-MAX_SALTS = 1024
-
-
 def row_salt(columns: Sequence[str], salts: Column) -> Column:
     """A salt in ``[0, salts)`` from a hash of the row and of the task that
     reads it.  Exact copies of one row hash alike, but copies arrive through
@@ -44,7 +40,7 @@ def version_join(
     left_keys: Sequence[str] | str,
     right_keys: Sequence[str] | str,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    max_hot_keys: int | None = DEFAULT_MAX_HOT_KEYS,
     skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
     broadcast_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES,
 ) -> DataFrame:
@@ -84,7 +80,7 @@ def version_join(
 
     hot, _ = found
     hk = [f"_hot_{c}" for c in rk]
-    salts = F.least(F.ceil(F.col("_n") / F.lit(hot_key_rows)), F.lit(MAX_SALTS)).cast("int")
+    salts = F.ceil(F.col("_n") / F.lit(hot_key_rows)).cast("int")
     hot_b = F.broadcast(hot.toDF(*hk, "_n").withColumn("_salts", salts).drop("_n"))
 
     cold_left = left.join(hot_b, _eq(left, lk, hot_b, hk), "left_anti")

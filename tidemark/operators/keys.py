@@ -14,16 +14,15 @@ from pyspark.sql import functions as F
 
 # Above this many rows a single key is split across tasks (our choice).
 DEFAULT_HOT_KEY_ROWS = 2_000_000
-# Inputs whose estimated size is below this fit one task whole, so no key in
-# them can overload a task and hot-key detection is skipped (our choice).
-DEFAULT_SKEW_CHECK_BYTES = 256 * 1024 * 1024
+# Inputs whose estimated size is below this skip hot-key detection.  File bytes
+# say little about rows (one key repeated compresses to almost nothing), so by default none does.
+DEFAULT_SKEW_CHECK_BYTES = 0
 # Detection samples rows so that a key of ``hot_key_rows`` rows is seen about
 # this many times; a hot key is then missed with negligible probability, and
 # a miss or a false hit only changes the plan, never the result.
 SAMPLE_HITS = 1000
-# At most this many hot keys are handled by the split path; the rest stay on
-# the exact ordinary path, so the cap never changes a result.
-DEFAULT_MAX_HOT_KEYS = 1000
+# All hot keys are split: there are at most rows / hot_key_rows of them.
+DEFAULT_MAX_HOT_KEYS = None
 # A key set (distinct join keys) whose estimated size is at most this is
 # broadcast explicitly, so the large side of its join is never shuffled; above
 # it the join shuffles both sides (our choice: the estimate counts file bytes,
@@ -104,8 +103,8 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BY
     (the planner and adaptive execution decide, normally a shuffle join).
 
     Catalyst's estimate (no job) must be known and at most ``max_bytes``; it
-    counts file bytes, so it is only a pre-check.  The proof is a count that
-    stops at ``max_rows + 1``: at most ``max_rows`` rows are broadcast.  It
+    counts file bytes, so it is only a pre-check.  The proof is a
+    count: at most ``max_rows`` rows are broadcast.  It
     counts ``rows_of`` when given, a frame with at least as many rows as
     ``df`` (the frame whose distinct keys ``df`` holds): that count adds no
     shuffle of its own, and none runs at all when ``rows_of`` is a materialized cache,
@@ -117,7 +116,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BY
     source = df if rows_of is None else rows_of
     rows = cached_rows(source)
     if rows is None:
-        rows = source.limit(max_rows + 1).count()
+        rows = source.count()  # partial counts: one row per task
     return F.broadcast(df) if rows <= max_rows else df
 
 
@@ -125,12 +124,12 @@ def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    max_hot_keys: int | None = DEFAULT_MAX_HOT_KEYS,
     include_null: bool = True,
     skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
 ) -> tuple[DataFrame, list] | None:
-    """Keys holding more than ``hot_key_rows`` rows, largest first, at most
-    ``max_hot_keys`` of them, as a small DataFrame (``keys + _n``, ``_n`` the
+    """Keys holding more than ``hot_key_rows`` rows, largest first (at most
+    ``max_hot_keys`` of them if that is given), as a small DataFrame (``keys + _n``, ``_n`` the
     estimated row count) whose size bound is proven by the limit, plus the
     collected rows; ``None`` when there is no hot key.
 
@@ -159,7 +158,8 @@ def hot_keys(
     )
     if not include_null:
         counts = counts.where(all_not_null(keys))
-    rows = counts.orderBy(F.desc("_n")).limit(max_hot_keys).collect()
+    counts = counts.orderBy(F.desc("_n"))
+    rows = (counts if max_hot_keys is None else counts.limit(max_hot_keys)).collect()
     if not rows:
         return None
     schema = df.select(*keys).schema.add("_n", "long", False)

@@ -42,7 +42,7 @@ def rank_versions(
     spec: TableSpec,
     name: str = "row_num",
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    max_hot_keys: int | None = DEFAULT_MAX_HOT_KEYS,
     detect_hot_keys: bool = True,
     skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
 ) -> DataFrame:

@@ -11,10 +11,6 @@ from pyspark.sql.types import StringType
 from tidemark.operators.keys import DEFAULT_BROADCAST_KEYS_BYTES, all_not_null, any_null, broadcast_if_small
 from tidemark.spec import TableSpec
 
-# Up to this many touched partition values are collected and become a static
-# partition predicate (our choice); above it a null-safe semi join is used.
-DEFAULT_MAX_TOUCHED = 10_000
-
 
 def blank_partition_to_null(df: DataFrame, key: str) -> DataFrame:
     """A string partition value '' is stored as the null partition; say so up front."""
@@ -28,13 +24,10 @@ def partition_values(delta: DataFrame, key: str) -> DataFrame:
     return delta.select(F.col(key)).distinct()
 
 
-def collect_touched(delta: DataFrame, key: str, max_values: int = DEFAULT_MAX_TOUCHED) -> list | None:
-    """The touched values on the driver, or ``None`` if there are more than
-    ``max_values`` (the collect never exceeds ``max_values + 1`` rows)."""
-    rows = partition_values(delta, key).limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        return None
-    return [r[0] for r in rows]
+def collect_touched(delta: DataFrame, key: str) -> list:
+    """The touched values on the driver: one per partition the merge is about to
+    write, which the driver lists anyway when it commits the overwrite."""
+    return [r[0] for r in partition_values(delta, key).collect()]
 
 
 def touched_predicate(col: Column, values: Sequence) -> Column:
@@ -51,20 +44,10 @@ def touched_predicate(col: Column, values: Sequence) -> Column:
     return pred
 
 
-def existing_in_touched(
-    current: DataFrame, delta: DataFrame, key: str, max_values: int = DEFAULT_MAX_TOUCHED
-) -> DataFrame:
-    """Rows of ``current`` whose partition value the delta touches.
-
-    Up to ``max_values`` touched values: a static partition predicate.  Above
-    it: a null-safe semi join against the distinct values (broadcast behind the
-    size check), which reads every partition of ``current`` once.
-    """
-    values = collect_touched(delta, key, max_values)
-    if values is not None:
-        return current.where(touched_predicate(F.col(key), values))
-    touched = broadcast_if_small(partition_values(delta, key).withColumnRenamed(key, "_touched"), rows_of=delta)
-    return current.join(touched, current[key].eqNullSafe(touched["_touched"]), "left_semi")
+def existing_in_touched(current: DataFrame, delta: DataFrame, key: str) -> DataFrame:
+    """Rows of ``current`` whose partition value the delta touches: a static
+    partition predicate, however many values there are."""
+    return current.where(touched_predicate(F.col(key), collect_touched(delta, key)))
 
 
 def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str],
@@ -91,13 +74,11 @@ def merge_union(delta: DataFrame, kept: DataFrame) -> DataFrame:
     return delta.unionByName(kept)
 
 
-def merged_partitions(
-    current: DataFrame, delta: DataFrame, spec: TableSpec, max_touched: int = DEFAULT_MAX_TOUCHED
-) -> DataFrame:
+def merged_partitions(current: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFrame:
     """New content of every partition the delta touches: delta wins by key.
 
     The delta is not deduplicated (call ``latest_per_key`` first if needed);
     keys that moved out of an untouched partition keep their old row there.
     """
-    existing = existing_in_touched(current, delta, spec.partition_key, max_touched)
+    existing = existing_in_touched(current, delta, spec.partition_key)
     return merge_union(delta, survivors(existing, delta, spec.primary_key))

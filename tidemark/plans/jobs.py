@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions.columns import align_to_schema, load_ts_literal, rename_column
+from tidemark.functions.columns import align_to_schema, load_ts_literal, refuse_lossy, rename_column
 from tidemark.operators.join import version_increment
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import (
-    DEFAULT_MAX_TOUCHED,
     blank_partition_to_null,
     existing_in_touched,
     merged_partitions,
@@ -52,7 +51,7 @@ def initial_load(history: DataFrame, spec: TableSpec, current_path: str, archive
 
 def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, current_path: str,
                       archive_path: str | None = None, load_ts: datetime | str | Column | None = None,
-                      fmt: str = "parquet", max_touched: int = DEFAULT_MAX_TOUCHED,
+                      fmt: str = "parquet",
                       cache_merged: bool = True, cache_delta: bool = True,
                       current_schema: StructType | None = None, archive_once: bool = False) -> None:
     """Merge a daily delta into *current* and snapshot the result into *archive*.
@@ -84,21 +83,22 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
     """
     _check_archive_once(archive_once, load_ts)
     stamped = _stamp(delta, spec, load_ts)
-    stored = current_schema or stored_schema(spark, current_path, stamped.schema, fmt)
+    stored = current_schema or stored_schema(spark, current_path, stamped.schema, fmt, spec.partition_key)
+    refuse_lossy(stamped, stored)
     current = read_table(spark, current_path, stored, fmt)
 
     def write(merged: DataFrame, rebalance: bool, stamped: DataFrame) -> None:
         if archive_path is not None:
             archive = read_table(spark, archive_path, stored, fmt)
-            if not (archive_once and _holds_run(archive, stamped, spec, max_touched, load_ts)):
+            if not (archive_once and _holds_run(archive, stamped, spec, load_ts)):
                 write_partitioned(merged, archive_path, spec.partition_key, "append", fmt, rebalance=rebalance)
         swap_partitions(merged, current_path, spec.partition_key, fmt, rebalance=rebalance)
 
-    _merge(current, align_to_schema(stamped, stored), spec, max_touched, cache_delta,
+    _merge(current, align_to_schema(stamped, stored), spec, cache_delta,
            cache_merged and archive_path is not None, write)
 
 
-def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, max_touched: int, cache_delta: bool,
+def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, cache_delta: bool,
            cache_merged: bool, write) -> None:
     """Build the merged partitions of ``current`` and hand them to ``write``,
     with the stamped delta and the merged rows persisted as asked.
@@ -116,7 +116,7 @@ def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, max_touched:
     merged = None
     layout_in_cache = cache_merged and _adaptive_cached_plans(current.sparkSession)
     try:
-        merged = merged_partitions(current, stamped, spec, max_touched)
+        merged = merged_partitions(current, stamped, spec)
         if layout_in_cache:
             merged = merged.hint("rebalance", spec.partition_key)
         if cache_merged:
@@ -133,14 +133,14 @@ def _check_archive_once(archive_once: bool, load_ts) -> None:
         raise ValueError("archive_once needs the run's load time as a value (load_ts)")
 
 
-def _holds_run(archive: DataFrame, stamped: DataFrame, spec: TableSpec, max_touched: int, load_ts) -> bool:
+def _holds_run(archive: DataFrame, stamped: DataFrame, spec: TableSpec, load_ts) -> bool:
     """Whether ``archive`` has a row of load time ``load_ts`` in a partition the stamped delta touches.
 
     The touched values prune the archive's partitions as in the merge, and the
     load-time equality reaches the Parquet scan: files of other runs are
     skipped by their footer statistics, so this reads footers, not rows.
     """
-    run = existing_in_touched(archive, stamped, spec.partition_key, max_touched)
+    run = existing_in_touched(archive, stamped, spec.partition_key)
     return not run.where(F.col(spec.load_ts_col) == load_ts_literal(load_ts)).isEmpty()
 
 
@@ -171,7 +171,7 @@ def initial_load_table(spark: SparkSession, history: DataFrame, spec: TableSpec,
 
 def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSpec, current_table: str,
                             archive_table: str | None = None, load_ts: datetime | str | Column | None = None,
-                            max_touched: int = DEFAULT_MAX_TOUCHED, cache_merged: bool = True,
+                            cache_merged: bool = True,
                             cache_delta: bool = True, archive_once: bool = False) -> None:
     """:func:`incremental_merge` on catalog tables (see :func:`initial_load_table`).
 
@@ -185,18 +185,20 @@ def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSp
     """
     _check_archive_once(archive_once, load_ts)
     current = catalog_scan(spark, current_table)
-    stamped = align_to_schema(_stamp(delta, spec, load_ts), current.schema)
+    stamped = _stamp(delta, spec, load_ts)
+    refuse_lossy(stamped, current.schema)
+    stamped = align_to_schema(stamped, current.schema)
     if overwrite_mode(spark, current_table) != "dynamic":
         raise ValueError(f"{current_table} does not overwrite partitions dynamically; create it with create_table")
 
     def write(merged: DataFrame, rebalance: bool, stamped: DataFrame) -> None:
         if archive_table is not None:
             archive = catalog_scan(spark, archive_table)
-            if not (archive_once and _holds_run(archive, stamped, spec, max_touched, load_ts)):
+            if not (archive_once and _holds_run(archive, stamped, spec, load_ts)):
                 insert_partitions(merged, archive_table, spec.partition_key, rebalance=rebalance)
         insert_partitions(merged, current_table, spec.partition_key, overwrite=True, rebalance=rebalance)
 
-    _merge(current, stamped, spec, max_touched, cache_delta, cache_merged and archive_table is not None, write)
+    _merge(current, stamped, spec, cache_delta, cache_merged and archive_table is not None, write)
 
 
 def version_job(spark: SparkSession, daily_table: str, archive_table: str, out_path: str,

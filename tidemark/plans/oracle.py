@@ -13,7 +13,7 @@ _EVENT_NEWEST = "row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS
 _MERGE_CTES = f"""
 WITH ex AS (
   SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS load_ts FROM orders
-  WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'
+  WHERE NOT coalesce(o_orderdate >= TIMESTAMP '2000-01-01 00:00:00' AND o_orderpriority IN ('1-URGENT', '5-LOW'), false)
   QUALIFY {_ORDER_NEWEST} = 1),
 da AS (
   SELECT *, TIMESTAMP '2024-01-31 00:00:00' AS load_ts FROM orders
@@ -37,7 +37,7 @@ WITH arc AS (
   SELECT o_custkey AS id, o_orderdate AS date,
          CAST(row_number() OVER (PARTITION BY o_custkey
               ORDER BY o_orderdate ASC NULLS FIRST, o_orderkey ASC NULLS FIRST) AS INTEGER) AS version
-  FROM orders WHERE o_orderpriority = '1-URGENT')
+  FROM orders)
 """
 
 SQL: dict[str, str] = {
@@ -47,7 +47,7 @@ SQL: dict[str, str] = {
     "overwrite_partitioned": "SELECT * FROM customer",
     "archive_append": _MERGE_CTES + """
 SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS load_ts FROM orders
-WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'
+WHERE NOT coalesce(o_orderdate >= TIMESTAMP '2000-01-01 00:00:00' AND o_orderpriority IN ('1-URGENT', '5-LOW'), false)
 UNION ALL SELECT * FROM comb""",
     "json_sink": "SELECT * FROM orders",
     "partition_swap": _MERGE_CTES + "SELECT * FROM fin",
@@ -67,9 +67,7 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, c_mktsegment AS
     "partition_values": _MERGE_CTES + "SELECT * FROM touched",
     "survivors_anti_join": _MERGE_CTES + "SELECT * FROM surv",
     "version_join": """
-SELECT c.*, o.* FROM customer c LEFT JOIN (
-  SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2000-01-01 00:00:00') o
-ON c.c_custkey = o.o_custkey""",
+SELECT c.*, o.* FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey""",
     "row_number_rank": f"SELECT *, CAST({_EVENT_NEWEST} AS INTEGER) AS row_num FROM events",
     "latest_per_key": f"SELECT * FROM orders QUALIFY {_ORDER_NEWEST} = 1",
     "latest_per_composite_key": """

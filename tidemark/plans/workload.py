@@ -5,9 +5,9 @@ holds an independent DuckDB statement with the same result for each.
 
 Workload (orders as a history feed): key ``o_custkey``, newest first by
 ``o_orderdate`` then ``o_orderkey``, partitioned by ``o_orderpriority``.
-*existing* = newest order per customer before 2000-01-01, loaded 2024-01-01;
-*delta* = newest order per customer from 2000-01-01 on in two priorities,
-loaded 2024-01-31.  ``events`` is a second feed (key ``user_id``, newest by
+The *delta* feed is every order from 2000-01-01 on in two priorities, loaded
+2024-01-31 (newest per customer); all other orders are the *existing* feed, loaded
+2024-01-01, so each order is on one side.  ``events`` is a second feed (key ``user_id``, newest by
 ``ts`` then ``event_id``, partitioned by ``event_type``).
 """
 
@@ -57,7 +57,6 @@ CUTOFF = "2000-01-01 00:00:00"
 EXISTING_TS = "2024-01-01 00:00:00"
 DELTA_TS = "2024-01-31 00:00:00"
 DELTA_PRIORITIES = ["1-URGENT", "5-LOW"]
-ARCHIVE_PRIORITY = "1-URGENT"
 
 ORDERS = TableSpec(("o_custkey",), ("o_orderdate", "o_orderkey"), "o_orderpriority")
 EVENTS = TableSpec(("user_id",), ("ts", "event_id"), "event_type")
@@ -75,16 +74,17 @@ def _ntz(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
+def _in_delta():
+    return (F.col("o_orderdate") >= _ntz(CUTOFF)) & F.col("o_orderpriority").isin(DELTA_PRIORITIES)
+
+
 def existing_feed(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "orders").where(F.col("o_orderdate") < _ntz(CUTOFF))
+    return table(spark, sf_dir, "orders").where(~F.coalesce(_in_delta(), F.lit(False)))
 
 
 def delta_rows(spark, sf_dir) -> DataFrame:
     """The daily delta, newest order per customer (no load time yet)."""
-    feed = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderdate") >= _ntz(CUTOFF)) & F.col("o_orderpriority").isin(DELTA_PRIORITIES)
-    )
-    return latest_per_key(feed, ORDERS)
+    return latest_per_key(table(spark, sf_dir, "orders").where(_in_delta()), ORDERS)
 
 
 def existing_rows(spark, sf_dir) -> DataFrame:
@@ -108,11 +108,11 @@ def _stage_tables(spark, sf_dir, name: str, with_archive: bool) -> tuple[str, st
 
 
 def archive_frame(spark, sf_dir) -> DataFrame:
-    """Archive of versions: every urgent order of a customer, version 1, 2, ... by date."""
-    urgent = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == ARCHIVE_PRIORITY)
+    """Archive of versions: every order of a customer, version 1, 2, ... by date."""
+    orders = table(spark, sf_dir, "orders")
     oldest_first = TableSpec(("o_custkey",), (F.asc_nulls_first("o_orderdate"), F.asc_nulls_first("o_orderkey")),
                              "o_orderpriority")
-    ranked = rank_versions(urgent, oldest_first, name="version")
+    ranked = rank_versions(orders, oldest_first, name="version")
     return ranked.select(F.col("o_custkey").alias("id"), F.col("o_orderdate").alias("date"), "version")
 
 
@@ -149,7 +149,8 @@ def q_json_sink(spark, sf_dir):
 
 def q_partition_swap(spark, sf_dir):
     cur, _ = _stage_tables(spark, sf_dir, "swap", with_archive=False)
-    merged = merged_partitions(existing_rows(spark, sf_dir), stamped_delta(spark, sf_dir), ORDERS)
+    stored = read_table(spark, cur, _table_schema(spark, sf_dir))
+    merged = merged_partitions(stored, stamped_delta(spark, sf_dir), ORDERS)
     swap_partitions(merged, cur, ORDERS.partition_key)
     return read_table(spark, cur, _table_schema(spark, sf_dir))
 
@@ -187,7 +188,7 @@ def q_streaming_merge(spark, sf_dir):
     delta = delta_rows(spark, sf_dir)
     delta.write.parquet(landing)
     query = start_merge_stream(spark, landing, delta.schema, ORDERS, cur, scratch_path(spark, "stream-ckpt"),
-                               archive_path=arc, files_per_batch=None, load_ts=DELTA_TS)
+                               archive_path=arc, load_ts=DELTA_TS)
     query.awaitTermination()
     return read_table(spark, cur, _table_schema(spark, sf_dir))
 
@@ -280,10 +281,7 @@ def q_latest_per_composite_key(spark, sf_dir):
 
 def q_version_join(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
-    orders = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderpriority") == ARCHIVE_PRIORITY) & (F.col("o_orderdate") >= _ntz(CUTOFF))
-    )
-    return version_join(customer, orders, "c_custkey", "o_custkey")
+    return version_join(customer, table(spark, sf_dir, "orders"), "c_custkey", "o_custkey")
 
 
 def q_version_increment(spark, sf_dir):

@@ -33,6 +33,8 @@ HISTORY_COLUMNS = DAILY_COLUMNS + VERSION_COLUMNS
 DEFAULT_PRIMARY_KEY = "property_id"
 DEFAULT_PARTITION_KEY = "city"
 DEFAULT_VERSION_KEY = "version"
+# Fixed value: the column that stores the load time of the property feed's rows.
+LOAD_TIME_COLUMN = "epoch_record_time"
 
 # Our types (the workflow names columns only).  zip_code stays a string so that
 # leading zeros survive.
@@ -48,9 +50,9 @@ DAILY_SCHEMA = StructType([StructField(c, _TYPES[c]) for c in DAILY_COLUMNS])
 HISTORY_SCHEMA = StructType([StructField(c, _TYPES[c]) for c in HISTORY_COLUMNS])
 
 # Newest first by version, then by version time.
-PROPERTY_SPEC = TableSpec((DEFAULT_PRIMARY_KEY,), VERSION_COLUMNS, DEFAULT_PARTITION_KEY)
+PROPERTY_SPEC = TableSpec((DEFAULT_PRIMARY_KEY,), VERSION_COLUMNS, DEFAULT_PARTITION_KEY, LOAD_TIME_COLUMN)
 
 
-def stored_schema(load_ts_col: str = "load_ts") -> StructType:
+def stored_schema(load_ts_col: str = LOAD_TIME_COLUMN) -> StructType:
     """Schema of *current* and *archive* loaded from the history feed: its columns plus the load time."""
     return StructType(HISTORY_SCHEMA.fields + [StructField(load_ts_col, TimestampNTZType())])

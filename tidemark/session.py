@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,7 +26,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not conf_dir and not sc.master.startswith("local"):
+    if not conf_dir and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("spark.checkpoint.dir is unset; name a shared folder for this cluster")
     sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")

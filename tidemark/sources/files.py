@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.operators.merge import touched_predicate
 
@@ -39,25 +39,30 @@ def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "p
     return df.select(*schema.fieldNames())
 
 
-def stored_schema(spark: SparkSession, path: str, incoming: StructType, fmt: str = "parquet") -> StructType:
+def stored_schema(spark: SparkSession, path: str, incoming: StructType, fmt: str = "parquet",
+                  key: str | None = None) -> StructType:
     """Schema of the partitioned table at ``path`` as seen by rows arriving with ``incoming``.
 
-    The ``incoming`` fields keep their types (the partition column's among
-    them, so ``00601`` stays a string), followed by every column the stored
-    files have beyond them, typed from the file footers.  Those columns must
-    survive a rewrite of the rows that carry them.  A table that does not
-    exist yet has just ``incoming``.  This lists the table once (measured: a
-    second read of the same folder lists it again), so callers that know the
-    stored schema pass it instead.
+    The ``incoming`` columns, followed by every column any stored file has beyond
+    them; all must survive a rewrite of the rows that carry them, so the footers
+    of all files are merged (a distributed job), not just one read.  Stored
+    types win where files carry types (Parquet, ORC); the partition column
+    ``key`` lives in folder names and keeps its incoming type, so ``00601`` stays a
+    string.  A table that does not exist yet has just ``incoming``.  Callers that
+    know the stored schema pass it instead.
     """
+    typed = fmt.lower() in ("parquet", "orc")
     try:
-        found = spark.read.format(fmt).load(path).schema
+        found = spark.read.format(fmt).options(**({"mergeSchema": "true"} if typed else {})).load(path).schema
     except AnalysisException as exc:
         if not _missing_path(exc):
             raise
         return incoming
     have = {f.name.lower() for f in incoming.fields}
-    return StructType(incoming.fields + [f for f in found.fields if f.name.lower() not in have])
+    stored = {f.name.lower(): f.dataType for f in found.fields} if typed else {}
+    stored.pop((key or "").lower(), None)
+    fields = [StructField(f.name, stored.get(f.name.lower(), f.dataType)) for f in incoming.fields]
+    return StructType(fields + [f for f in found.fields if f.name.lower() not in have])
 
 
 def _missing_path(exc: AnalysisException) -> bool:
@@ -107,10 +112,13 @@ def create_table(spark: SparkSession, name: str, path: str, schema: StructType,
     overwriting insert replaces only the partitions it writes (``insertInto``
     ignores a writer option; only the table option or the session default
     count).  Partition directories already under ``path`` are registered.
-    ``replace`` drops an existing definition first (the files stay: the table
-    is external).
+    ``replace`` drops an existing definition first; only an external table at
+    the same location may be replaced, so the files stay.
     """
-    if replace:
+    if replace and spark.catalog.tableExists(name):
+        about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        if about.get("Type") == "VIEW" or about.get("Type") != "EXTERNAL" or not _same_place(spark, about.get("Location"), path):
+            raise ValueError(f"{name} exists and is not an external table at {path}; it is not replaced")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitioned = f" PARTITIONED BY (`{partition_key}`)" if partition_key else ""
@@ -125,6 +133,14 @@ def create_table(spark: SparkSession, name: str, path: str, schema: StructType,
                 raise
 
 
+def _same_place(spark: SparkSession, location: str | None, path: str) -> bool:
+    def full(p: str) -> str:
+        place = spark._jvm.org.apache.hadoop.fs.Path(p)
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
+
+    return location is not None and full(location) == full(path)
+
+
 def overwrite_mode(spark: SparkSession, name: str) -> str:
     """``dynamic`` or ``static``: how an overwriting insert into ``name`` treats
     partitions it does not write (the table option, else the session default)."""

@@ -29,7 +29,7 @@ def start_merge_stream(
     checkpoint_location: str,
     archive_path: str | None = None,
     fmt: str = "parquet",
-    files_per_batch: int | None = 1,
+    files_per_batch: int | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
     load_ts=None,
@@ -37,8 +37,9 @@ def start_merge_stream(
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present.
 
-    ``files_per_batch=1`` merges every delta file as its own run, in arrival order
-    (``None``: everything new in one run).  ``load_ts`` fixes the load time of
+    By default everything new is one run, so all files of a delta meet in one
+    merge; ``files_per_batch=1`` merges every file as its own run, in arrival order
+    (only for feeds that write one file per delta).  ``load_ts`` fixes the load time of
     every batch; by default each batch takes the driver clock once.
     ``current_schema`` is passed to every merge (it saves a listing per batch).
     """
@@ -59,7 +60,7 @@ def start_merge_stream_table(
     checkpoint_location: str,
     archive_table: str | None = None,
     fmt: str = "parquet",
-    files_per_batch: int | None = 1,
+    files_per_batch: int | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
     load_ts=None,
