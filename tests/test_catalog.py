@@ -142,3 +142,19 @@ def test_catalog_archive_once_on_rerun(spark, path):
     assert rows(spark.table(arc_t)) == first and len(first) == len(HISTORY) + 3
     incremental_merge_table(spark, delta, SPEC, cur_t, arc_t, load_ts=T2, archive_once=True)
     assert spark.table(arc_t).count() == len(HISTORY) + 6
+
+
+def test_catalog_archive_once_completes_a_partial_snapshot(spark, path):
+    from test_merge import _drop_new_files, _files
+
+    cur_t, arc_t = _names()
+    arc_p = path("parc")
+    initial_load_table(spark, spark.createDataFrame(HISTORY, SCHEMA), SPEC, cur_t, path("pcur"), arc_t, arc_p, load_ts=T0)
+    before = _files(arc_p)
+    delta = spark.createDataFrame(DELTAS[0], SCHEMA)
+    incremental_merge_table(spark, delta, SPEC, cur_t, arc_t, load_ts=T1, archive_once=True)
+    whole, current = rows(spark.table(arc_t)), rows(spark.table(cur_t))
+    _drop_new_files(arc_p, before, "city=Adjuntas")
+    spark.catalog.refreshTable(arc_t)
+    incremental_merge_table(spark, delta, SPEC, cur_t, arc_t, load_ts=T1, archive_once=True)
+    assert rows(spark.table(arc_t)) == whole and rows(spark.table(cur_t)) == current

@@ -31,7 +31,7 @@ def test_salted_hot_keys_equal_plain_join(spark):
     customer = spark.read.parquet(f"{SF01}/customer.parquet")
     orders = spark.read.parquet(f"{SF01}/orders.parquet")
     plain = version_join(customer, orders, "c_custkey", "o_custkey", hot_key_rows=10**9)
-    salted = version_join(customer, orders, "c_custkey", "o_custkey", hot_key_rows=8, max_hot_keys=300, skew_check_bytes=0)
+    salted = version_join(customer, orders, "c_custkey", "o_custkey", hot_key_rows=8, max_hot_keys=300)
     assert salted.count() == plain.count() == 15000 + customer.join(orders, customer.c_custkey == orders.o_custkey,
                                                                      "left_anti").count()
     assert rows(salted) == rows(plain)
@@ -40,7 +40,7 @@ def test_salted_hot_keys_equal_plain_join(spark):
 def test_salted_with_duplicated_rows_and_left_copies(spark):
     left = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, tag string")
     right = spark.createDataFrame([(1, 5)] * 40 + [(1, 6)] * 3 + [(2, 1), (None, 9)], "rk int, v int")
-    got = version_join(left, right, "k", "rk", hot_key_rows=5, skew_check_bytes=0)
+    got = version_join(left, right, "k", "rk", hot_key_rows=5)
     expect = [(1, t, 1, v) for t in ("x", "y") for v in [5] * 40 + [6] * 3] + [(2, "z", 2, 1), (None, "n", None, None)]
     assert rows(got) == sorted(expect, key=repr)
 
@@ -55,8 +55,8 @@ def test_archive_prefilter_broadcasts_small_key_set(spark, path):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        # skew_check_bytes=0 takes the large-archive path: semi-join pre-filter, then hot-key check
-        out = version_join(left, right, "id", "s_id", hot_key_rows=10, skew_check_bytes=0)
+        # semi-join pre-filter, then hot-key check
+        out = version_join(left, right, "id", "s_id", hot_key_rows=10)
         assert "BroadcastHashJoin" in plan_text(out) and "LeftSemi" in plan_text(out)
         assert rows(out) == sorted([(1, "a", 1, 10), (1, "a", 1, 11), (2, "b", None, None), (None, "n", None, None)],
                                    key=repr)
@@ -73,63 +73,64 @@ def test_copies_of_one_archive_row_spread_over_salts(spark):
     salts = copies.select(row_salt(["s_id", "version"], F.lit(10)).alias("s")).distinct().collect()
     assert len(salts) > 1 and all(0 <= r.s < 10 for r in salts)
     left = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
-    out = version_join(left, copies, "id", "s_id", hot_key_rows=40, skew_check_bytes=0)
+    out = version_join(left, copies, "id", "s_id", hot_key_rows=40)
     assert out.where("id = 1").count() == 400 and out.where("id = 2 and s_id is null").count() == 1
 
 
-def test_broadcast_needs_estimate_and_counted_rows(spark, path):
+def test_broadcast_by_counted_rows_and_bytes(spark, path):
     from conftest import plan_text
     from pyspark.sql import functions as F
 
-    from tidemark.operators.keys import broadcast_if_small, estimated_bytes
+    from tidemark.operators.keys import broadcast_if_small, measured_bytes
 
     p = path("keys")
     spark.range(100).write.parquet(p)
     keys = spark.read.parquet(p)
-    assert 0 < estimated_bytes(keys) < 1 << 20
-    assert estimated_bytes(spark.createDataFrame([(1,)], "id long")) >= 1 << 60  # rows in memory: unknown
+    assert measured_bytes(keys) == (100, 100 * 48)
+    assert measured_bytes(keys.where("id < 0")) == (0, 0)
     big = spark.range(10**6).select((F.col("id") % 7).alias("id"))
     joined = lambda k: big.join(k, "id", "left_semi")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "BroadcastHashJoin" in plan_text(joined(broadcast_if_small(keys)))
+        assert "BroadcastHashJoin" in plan_text(joined(broadcast_if_small(keys.distinct(), rows_of=keys)))
         assert "BroadcastHashJoin" not in plan_text(joined(broadcast_if_small(keys, max_rows=99)))  # 100 rows
         assert "BroadcastHashJoin" not in plan_text(joined(broadcast_if_small(keys, max_bytes=10)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_cached_rows_bound_from_a_materialized_cache(spark, path):
-    from pyspark import StorageLevel
+def test_long_keys_in_a_small_file_are_not_broadcast(spark, path):
+    """Bytes are counted in memory: Parquet stores these keys in a fraction of them."""
+    import os
 
-    from tidemark.operators.keys import cached_rows
+    from conftest import plan_text
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.keys import broadcast_if_small, measured_bytes
 
-    p = path("rows")
-    spark.range(12345).write.parquet(p)
-    df = spark.read.parquet(p).persist(StorageLevel.MEMORY_AND_DISK)
+    p = path("long")
+    spark.range(2000).select(F.concat(F.repeat(F.lit("x"), 4000), F.col("id")).alias("k")).coalesce(1).write.parquet(p)
+    keys = spark.read.parquet(p)
+    stored = sum(os.path.getsize(os.path.join(p.removeprefix("file:"), f)) for f in os.listdir(p.removeprefix("file:")))
+    assert measured_bytes(keys)[1] > 8_000_000 > 4 * stored
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert cached_rows(df) is None  # not materialized yet
-        df.count()
-        assert 12345 <= cached_rows(df) <= 12345 * 1.01
-        assert 12345 <= cached_rows(spark.read.parquet(p))  # the same plan is answered from the cache
-        assert cached_rows(spark.read.parquet(p).where("id > 5")) is None  # a filter over it: no count held
+        limited = broadcast_if_small(keys, max_bytes=4_000_000)
+        assert "BroadcastHashJoin" not in plan_text(keys.join(limited, "k", "left_semi"))
     finally:
-        df.unpersist()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_size_checks_leave_caches_in_place(spark, path):
-    from pyspark import StorageLevel
+def test_one_key_in_a_small_file_is_split(spark, path):
+    """A key repeated in a tiny file is found by its rows, whatever the file's size."""
+    from pyspark.sql import functions as F
 
-    from tidemark.operators.keys import broadcast_if_small, cached_rows, estimated_bytes
+    from tidemark.operators.keys import hot_keys
 
-    p = path("kept")
-    spark.range(500).write.parquet(p)
-    df = spark.read.parquet(p).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        df.count()
-        for _ in range(2):
-            estimated_bytes(df), cached_rows(df), broadcast_if_small(df.select("id").distinct(), rows_of=df)
-        assert df.storageLevel.useMemory and cached_rows(df) is not None  # still cached and materialized
-    finally:
-        df.unpersist()
+    p = path("one")
+    spark.range(300_000).select(F.lit(7).alias("k")).write.parquet(p)
+    _, found = hot_keys(spark.read.parquet(p), ["k"], hot_key_rows=100_000)
+    assert [r["k"] for r in found] == [7] and 250_000 < found[0]["_n"] < 350_000

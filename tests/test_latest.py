@@ -35,7 +35,7 @@ def test_rank_versions_hot_path_equals_plain(spark):
     ev = spark.read.parquet(f"{SF01}/events.parquet")
     spec = TableSpec(("user_id",), ("ts", "event_id"), "event_type")
     plain = rows(rank_versions(ev, spec, detect_hot_keys=False))
-    split = rank_versions(ev, spec, hot_key_rows=40, max_hot_keys=50, skew_check_bytes=0)
+    split = rank_versions(ev, spec, hot_key_rows=40, max_hot_keys=50)
     assert rows(split) == plain  # 50 largest users split, the rest ordinary
 
 
@@ -43,7 +43,7 @@ def test_rank_versions_hot_null_key_and_duplicates(spark):
     data = [(None, i % 7, i) for i in range(300)] + [(1, i % 3, i) for i in range(200)] + [(2, 0, 0)]
     df = spark.createDataFrame(data, "k int, v int, id int")
     spec = TableSpec(("k",), ("v", "id"), "k")
-    got = rank_versions(df, spec, name="rn", hot_key_rows=25, skew_check_bytes=0)
+    got = rank_versions(df, spec, name="rn", hot_key_rows=25)
     assert rows(got) == rows(rank_versions(df, spec, name="rn", detect_hot_keys=False))
     # each key numbered 1..n without gaps
     per = got.groupBy("k").agg(F.min("rn").alias("lo"), F.max("rn").alias("hi"), F.count("*").alias("n"),
@@ -58,12 +58,12 @@ def test_sampled_detection_finds_the_hot_key(spark):
     big = spark.range(20000).select(F.lit(7).alias("k"), F.col("id").alias("v"))
     small = spark.range(3000).select((F.col("id") % 300 + 100).alias("k"), F.col("id").alias("v"))
     df = big.unionByName(small)
-    found = hot_keys(df, ["k"], hot_key_rows=4000, skew_check_bytes=0)  # samples a quarter of the rows
+    found = hot_keys(df, ["k"], hot_key_rows=4000)  # samples a quarter of the rows
     assert found is not None
     _, hot = found
     assert [r.k for r in hot] == [7] and 15000 < hot[0]["_n"] < 25000
     spec = TableSpec(("k",), ("v",), "k")
-    split = rank_versions(df, spec, name="rn", hot_key_rows=4000, skew_check_bytes=0)
+    split = rank_versions(df, spec, name="rn", hot_key_rows=4000)
     assert rows(split) == rows(rank_versions(df, spec, name="rn", detect_hot_keys=False))
 
 
@@ -76,7 +76,7 @@ def test_key_of_exact_copies_spreads_over_splits(spark):
     spec = TableSpec(("k",), ("v",), "k")
     tagged = _tagged_splits(copies, spec, 4)
     assert tagged.select("_split").distinct().count() > 1  # not one task for the whole key
-    got = rank_versions(df, spec, name="rn", hot_key_rows=50, skew_check_bytes=0)
+    got = rank_versions(df, spec, name="rn", hot_key_rows=50)
     per = {r.k: (r.lo, r.hi, r.n, r.d) for r in got.groupBy("k").agg(
         F.min("rn").alias("lo"), F.max("rn").alias("hi"), F.count("*").alias("n"),
         F.countDistinct("rn").alias("d")).collect()}

@@ -11,11 +11,9 @@ from tidemark.functions.versions import next_version
 from tidemark.operators.keys import (
     DEFAULT_BROADCAST_KEYS_BYTES,
     DEFAULT_HOT_KEY_ROWS,
-    DEFAULT_SKEW_CHECK_BYTES,
     DEFAULT_MAX_HOT_KEYS,
     all_not_null,
     broadcast_if_small,
-    estimated_bytes,
     hot_keys,
 )
 
@@ -41,17 +39,15 @@ def version_join(
     right_keys: Sequence[str] | str,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int | None = DEFAULT_MAX_HOT_KEYS,
-    skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
     broadcast_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES,
 ) -> DataFrame:
     """``left LEFT OUTER JOIN right ON left_keys = right_keys``, every match kept.
 
     Column names of the two sides must differ (rename first).  Plan:
 
-    * a large ``right`` (estimated at or above ``skew_check_bytes``) is first
-      cut to keys that occur in ``left`` by a semi join; the distinct left keys
-      are broadcast when estimated at most ``broadcast_bytes``, so the large
-      side is only filtered, never shuffled whole.
+    * ``right`` is first cut to keys that occur in ``left`` by a semi join; the
+      distinct left keys are broadcast when counted at most ``broadcast_bytes``,
+      so the large side is only filtered, never shuffled whole.
     * right keys with more than ``hot_key_rows`` rows are salted: their right
       rows spread over ``ceil(n / hot_key_rows)`` salts (:func:`row_salt`), the left
       rows of those keys are copied once per salt, and the two meet in an inner
@@ -68,13 +64,9 @@ def version_join(
         raise ValueError(f"both sides carry {sorted(clash)}; rename one side first")
     out_cols = left.columns + right.columns
 
-    size = estimated_bytes(right)
-    if size is not None and size < skew_check_bytes:
-        return left.join(right, _eq(left, lk, right, rk), "left_outer").select(*out_cols)
-
-    left_keys_df = left.select(*[F.col(a).alias(b) for a, b in zip(lk, rk)]).where(all_not_null(rk)).distinct()
-    right_m = right.join(broadcast_if_small(left_keys_df, broadcast_bytes, rows_of=left), rk, "left_semi")
-    found = hot_keys(right_m, rk, hot_key_rows, max_hot_keys, include_null=False, skew_check_bytes=0)
+    left_keys = left.select(*[F.col(a).alias(b) for a, b in zip(lk, rk)]).where(all_not_null(rk))
+    right_m = right.join(broadcast_if_small(left_keys.distinct(), broadcast_bytes, rows_of=left_keys), rk, "left_semi")
+    found = hot_keys(right_m, rk, hot_key_rows, max_hot_keys, include_null=False)
     if found is None:
         return left.join(right_m, _eq(left, lk, right_m, rk), "left_outer").select(*out_cols)
 

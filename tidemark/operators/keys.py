@@ -2,34 +2,24 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
-import math
-import re
-import threading
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 # Above this many rows a single key is split across tasks (our choice).
 DEFAULT_HOT_KEY_ROWS = 2_000_000
-# Inputs whose estimated size is below this skip hot-key detection.  File bytes
-# say little about rows (one key repeated compresses to almost nothing), so by default none does.
-DEFAULT_SKEW_CHECK_BYTES = 0
 # Detection samples rows so that a key of ``hot_key_rows`` rows is seen about
 # this many times; a hot key is then missed with negligible probability, and
 # a miss or a false hit only changes the plan, never the result.
 SAMPLE_HITS = 1000
 # All hot keys are split: there are at most rows / hot_key_rows of them.
 DEFAULT_MAX_HOT_KEYS = None
-# A key set (distinct join keys) whose estimated size is at most this is
-# broadcast explicitly, so the large side of its join is never shuffled; above
-# it the join shuffles both sides (our choice: the estimate counts file bytes,
-# which may be several times smaller than the rows in memory).
-DEFAULT_BROADCAST_KEYS_BYTES = 64 * 1024 * 1024
-# ... and it must hold at most this many rows, counted (our choice: a few tens
-# of MB as a hashed relation for numeric keys).
+# A key set (distinct join keys) is broadcast explicitly, so the large side of its
+# join is never shuffled, up to this many counted bytes in memory ...
+DEFAULT_BROADCAST_KEYS_BYTES = 256 * 1024 * 1024
+# ... and this many counted rows; beyond either the join shuffles both sides (our choice).
 DEFAULT_BROADCAST_KEY_ROWS = 2_000_000
 
 
@@ -51,73 +41,33 @@ def null_safe_match(left: DataFrame, left_cols: Sequence[str], right: DataFrame,
     return cond
 
 
-# Serializes the capture of printed plans (see _cost_text).
-_EXPLAIN_LOCK = threading.Lock()
-# Units of the sizes ``explain(mode="cost")`` prints.
-_SIZE_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
-
-
-def _cost_text(df: DataFrame) -> str | None:
-    """The optimized logical plan with statistics, as ``explain(mode="cost")``
-    prints it (planning only, no job).  The printed text is captured under a
-    lock, so concurrent callers in one driver (e.g. two streams) do not mix
-    their plans.  (A temporary view with ``EXPLAIN COST`` would return the
-    text as data, but dropping the view uncaches data cached for the same
-    plan.)"""
-    buf = io.StringIO()
-    try:
-        with _EXPLAIN_LOCK, contextlib.redirect_stdout(buf):
-            df.explain(mode="cost")
-    except Exception:
-        return None
-    return buf.getvalue().split("== Physical Plan ==")[0]
-
+def measured_bytes(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and a bound of their bytes in memory: 32 for each row, 16 for each
+    column, and the bytes of strings, binaries and anything nested.
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (the statistic behind its broadcast
-    choice: file sizes scaled by the selected columns; filters and joins only
-    raise it), read from ``explain(mode="cost")``.  ``None`` where no estimate
-    is printed.  Rows held in memory show 8 EiB (unknown), i.e. "large"."""
-    found = re.search(r"Statistics\(sizeInBytes=([0-9.]+)\s*([A-Za-z]+)", _cost_text(df) or "")
-    if not found or found.group(2) not in _SIZE_UNITS:
-        return None
-    return int(float(found.group(1)) * _SIZE_UNITS[found.group(2)])
-
-
-def cached_rows(df: DataFrame) -> int | None:
-    """An upper bound of the rows of ``df`` when it is a fully materialized cache
-    (Spark counts the rows while caching; a re-run task can only add), else
-    ``None``.  Spark prints the count to three significant digits, rounded
-    half up, hence the 0.5 % margin."""
-    text = _cost_text(df.select("*")) or ""  # a new plan: a Dataset keeps its own first statistics
-    lines = text.split("== Optimized Logical Plan ==")[-1].strip().splitlines()
-    if not lines or not lines[0].startswith("InMemoryRelation"):
-        return None
-    found = re.search(r"rowCount=([0-9.E+]+)", lines[0])
-    return math.ceil(float(found.group(1)) * 1.005) if found else None
+    One aggregate with partial sums: each task sends one row."""
+    width = F.lit(32 + 16 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType)):
+            width = width + 16 * F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return n, size
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES,
                        max_rows: int = DEFAULT_BROADCAST_KEY_ROWS, rows_of: DataFrame | None = None) -> DataFrame:
-    """``df`` marked for broadcast when its size is proven small, else unchanged
+    """``df`` marked for broadcast when its counted size is small, else unchanged
     (the planner and adaptive execution decide, normally a shuffle join).
 
-    Catalyst's estimate (no job) must be known and at most ``max_bytes``; it
-    counts file bytes, so it is only a pre-check.  The proof is a
-    count: at most ``max_rows`` rows are broadcast.  It
-    counts ``rows_of`` when given, a frame with at least as many rows as
-    ``df`` (the frame whose distinct keys ``df`` holds): that count adds no
-    shuffle of its own, and none runs at all when ``rows_of`` is a materialized cache,
-    whose row count Spark already holds (:func:`cached_rows`).
+    Rows and bytes are those that would be broadcast (:func:`measured_bytes`),
+    not those of the files they come from.  ``rows_of`` is counted
+    instead when given: the same columns before the ``distinct`` that made
+    ``df``, so the count needs no shuffle and bounds ``df`` from above.
     """
-    size = estimated_bytes(df)
-    if size is None or size > max_bytes:
-        return df
-    source = df if rows_of is None else rows_of
-    rows = cached_rows(source)
-    if rows is None:
-        rows = source.count()  # partial counts: one row per task
-    return F.broadcast(df) if rows <= max_rows else df
+    rows, size = measured_bytes(df if rows_of is None else rows_of)
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def hot_keys(
@@ -126,23 +76,16 @@ def hot_keys(
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int | None = DEFAULT_MAX_HOT_KEYS,
     include_null: bool = True,
-    skew_check_bytes: int = DEFAULT_SKEW_CHECK_BYTES,
 ) -> tuple[DataFrame, list] | None:
     """Keys holding more than ``hot_key_rows`` rows, largest first (at most
     ``max_hot_keys`` of them if that is given), as a small DataFrame (``keys + _n``, ``_n`` the
-    estimated row count) whose size bound is proven by the limit, plus the
-    collected rows; ``None`` when there is no hot key.
+    estimated row count), plus the collected rows; ``None`` when there is no hot key.
 
     Only the key columns are read, and a seeded Bernoulli sample of
     ``SAMPLE_HITS / hot_key_rows`` of the rows is counted (all rows for small
     thresholds), so the shuffle is a small fraction of the input.  The count is
-    a partial (map-side) aggregate and the collect is bounded by
-    ``max_hot_keys``.  An input estimated below ``skew_check_bytes`` is skipped:
-    even all of it fits one task.
+    a partial (map-side) aggregate; at most rows / ``hot_key_rows`` keys are collected.
     """
-    size = estimated_bytes(df)
-    if size is not None and size < skew_check_bytes:
-        return None
     fraction = min(1.0, SAMPLE_HITS / hot_key_rows)
     sample = df.select(*keys)
     if fraction < 1.0:

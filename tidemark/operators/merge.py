@@ -50,13 +50,25 @@ def existing_in_touched(current: DataFrame, delta: DataFrame, key: str) -> DataF
     return current.where(touched_predicate(F.col(key), collect_touched(delta, key)))
 
 
+def stored_spellings(current: DataFrame, spec: TableSpec, touched: Sequence) -> list:
+    """Partition values of ``current`` that the normalizer maps to a touched value but that are
+    spelled otherwise (none without a normalizer).
+
+    The distinct reads only the partition column, no column of the files."""
+    if spec.partition_normalizer is None:
+        return []
+    key = F.col(spec.partition_key)
+    normal = spec.partition_normalizer(key)
+    other = partition_values(current, spec.partition_key).where(key != normal)
+    return [r[0] for r in other.where(touched_predicate(normal, touched)).collect()]
+
+
 def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str],
               broadcast_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES) -> DataFrame:
     """Existing rows whose key the delta does not carry.
 
     A left anti join against the distinct non-null delta keys.  A key set
-    proven small (estimate at most ``broadcast_bytes``, and a delta of at most
-    2,000,000 rows, counted) is broadcast, so ``existing`` (the
+    counted small (at most ``broadcast_bytes`` in memory and 2,000,000 rows) is broadcast, so ``existing`` (the
     touched partitions, possibly most of the table) is not shuffled at all;
     a larger one makes a shuffled anti join, whose skewed ``existing`` side
     adaptive execution splits.  Existing rows with a null key can never
@@ -64,7 +76,8 @@ def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str],
     task).
     """
     pk = list(primary_key)
-    keys = broadcast_if_small(delta.select(*pk).where(all_not_null(pk)).distinct(), broadcast_bytes, rows_of=delta)
+    key_rows = delta.select(*pk).where(all_not_null(pk))
+    keys = broadcast_if_small(key_rows.distinct(), broadcast_bytes, rows_of=key_rows)
     matched = existing.where(all_not_null(pk)).join(keys, pk, "left_anti")
     return matched.unionByName(existing.where(any_null(pk)))
 
@@ -74,11 +87,16 @@ def merge_union(delta: DataFrame, kept: DataFrame) -> DataFrame:
     return delta.unionByName(kept)
 
 
-def merged_partitions(current: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFrame:
+def merged_partitions(current: DataFrame, delta: DataFrame, spec: TableSpec, spellings: Sequence | None = None) -> DataFrame:
     """New content of every partition the delta touches: delta wins by key.
 
     The delta is not deduplicated (call ``latest_per_key`` first if needed);
     keys that moved out of an untouched partition keep their old row there.
+    With a normalizer, partitions of ``current`` that are other spellings of a
+    touched value (``spellings``, looked up if not given) are merged too; their
+    survivors stay where they are.
     """
-    existing = existing_in_touched(current, delta, spec.partition_key)
+    touched = collect_touched(delta, spec.partition_key)
+    others = stored_spellings(current, spec, touched) if spellings is None else list(spellings)
+    existing = current.where(touched_predicate(F.col(spec.partition_key), touched + others))
     return merge_union(delta, survivors(existing, delta, spec.primary_key))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,13 +15,17 @@ from pyspark.sql.types import StructType
 from tidemark.functions.columns import align_to_schema, load_ts_literal, refuse_lossy, rename_column
 from tidemark.operators.join import version_increment
 from tidemark.operators.latest import latest_per_key
+from tidemark.operators.keys import any_null
 from tidemark.operators.merge import (
     blank_partition_to_null,
-    existing_in_touched,
+    collect_touched,
     merged_partitions,
+    partition_values,
+    stored_spellings,
+    touched_predicate,
 )
-from tidemark.sinks.files import insert_partitions, swap_partitions, write_json, write_partitioned
-from tidemark.sources.files import catalog_scan, create_table, overwrite_mode, read_table, stored_schema
+from tidemark.sinks.files import empty_partitions, insert_partitions, swap_partitions, write_json, write_partitioned
+from tidemark.sources.files import catalog_scan, create_table, described, overwrite_mode, read_table, stored_schema
 from tidemark.spec import TableSpec
 
 
@@ -76,10 +82,12 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
 
     The archive append is not undone if the job fails later, so a plain
     re-run appends the snapshot again.  With ``archive_once`` (which needs an
-    explicit ``load_ts``: the load time then names the run) the append is
-    skipped when *archive* already holds rows of this load time in a touched
-    partition, so re-running a failed job with the same load time archives
-    its snapshot once.  Two different deltas must then not share a load time.
+    explicit ``load_ts``: the load time then names the run) re-running the
+    last job with the same load time and delta completes its snapshot: rows that reached
+    *archive* stay, missing ones are added (see :func:`_append_once`).
+
+    With ``spec.partition_normalizer`` partitions of *current* that are other
+    spellings of a touched value lose the delta's keys too, so a key is in one of them only.
     """
     _check_archive_once(archive_once, load_ts)
     stamped = _stamp(delta, spec, load_ts)
@@ -87,21 +95,29 @@ def incremental_merge(spark: SparkSession, delta: DataFrame, spec: TableSpec, cu
     refuse_lossy(stamped, stored)
     current = read_table(spark, current_path, stored, fmt)
 
-    def write(merged: DataFrame, rebalance: bool, stamped: DataFrame) -> None:
-        if archive_path is not None:
-            archive = read_table(spark, archive_path, stored, fmt)
-            if not (archive_once and _holds_run(archive, stamped, spec, load_ts)):
-                write_partitioned(merged, archive_path, spec.partition_key, "append", fmt, rebalance=rebalance)
+    def archive(rows: DataFrame, rebalance: bool) -> None:
+        write_partitioned(rows, archive_path, spec.partition_key, "append", fmt, rebalance=rebalance)
+
+    def write(merged: DataFrame, rebalance: bool, emptied: list) -> None:
+        if archive_once and archive_path is not None:
+            _append_once(read_table(spark, archive_path, stored, fmt), archive_path, merged, spec, load_ts, rebalance, archive)
+        elif archive_path is not None:
+            archive(merged, rebalance)
         swap_partitions(merged, current_path, spec.partition_key, fmt, rebalance=rebalance)
+        empty_partitions(current, spec.partition_key, emptied, fmt)
 
     _merge(current, align_to_schema(stamped, stored), spec, cache_delta,
-           cache_merged and archive_path is not None, write)
+           cache_merged and archive_path is not None, write, load_ts if archive_once else None)
 
 
 def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, cache_delta: bool,
-           cache_merged: bool, write) -> None:
-    """Build the merged partitions of ``current`` and hand them to ``write``,
-    with the stamped delta and the merged rows persisted as asked.
+           cache_merged: bool, write, rerun_of: datetime | str | None = None) -> None:
+    """Build the merged partitions of ``current`` and hand them to ``write`` with the
+    spellings of touched values they leave empty; the stamped delta and the merged
+    rows are persisted as asked.
+
+    ``rerun_of`` is the load time of a run that may have swapped *current*
+    before: its rows without a key, which no key can match, are then left out.
 
     Where the session lets adaptive execution reshape cached plans
     (``spark.sql.optimizer.canChangeCachedPlanOutputPartitioning``, among the
@@ -116,12 +132,18 @@ def _merge(current: DataFrame, stamped: DataFrame, spec: TableSpec, cache_delta:
     merged = None
     layout_in_cache = cache_merged and _adaptive_cached_plans(current.sparkSession)
     try:
-        merged = merged_partitions(current, stamped, spec)
+        spellings = stored_spellings(current, spec, collect_touched(stamped, spec.partition_key))
+        existing = current
+        if rerun_of is not None:
+            before = any_null(spec.primary_key) & F.col(spec.load_ts_col).eqNullSafe(load_ts_literal(rerun_of))
+            existing = current.where(~before)
+        merged = merged_partitions(existing, stamped, spec, spellings)
         if layout_in_cache:
             merged = merged.hint("rebalance", spec.partition_key)
         if cache_merged:
             merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-        write(merged, not layout_in_cache, stamped)
+        filled = spellings and merged.where(F.col(spec.partition_key).isin(spellings)).select(spec.partition_key).distinct().collect()
+        write(merged, not layout_in_cache, sorted(set(spellings) - {r[0] for r in filled}))
     finally:
         if merged is not None:
             merged.unpersist()
@@ -133,15 +155,50 @@ def _check_archive_once(archive_once: bool, load_ts) -> None:
         raise ValueError("archive_once needs the run's load time as a value (load_ts)")
 
 
-def _holds_run(archive: DataFrame, stamped: DataFrame, spec: TableSpec, load_ts) -> bool:
-    """Whether ``archive`` has a row of load time ``load_ts`` in a partition the stamped delta touches.
+def _append_once(archive: DataFrame, place: str, merged: DataFrame, spec: TableSpec, load_ts, rebalance: bool, append) -> None:
+    """Append ``merged`` to the archive at ``place``, or only what an earlier attempt of this run left out.
 
-    The touched values prune the archive's partitions as in the merge, and the
-    load-time equality reaches the Parquet scan: files of other runs are
-    skipped by their footer statistics, so this reads footers, not rows.
+    Survivors keep their load times, so rows alone do not tell which snapshot
+    they belong to.  The first attempt therefore writes down the archive's files
+    in the touched partitions (``_runs`` beside the partitions, which readers
+    skip) before it appends anything; rows in other files are this run's, and what
+    ``merged`` has beyond them, copies counted, is appended.  Only the last run
+    can be repeated, with the same delta; the format must return values as they were written
+    (Parquet, ORC).  Columns of type map are not comparable and refused by Spark.
     """
-    run = existing_in_touched(archive, stamped, spec.partition_key)
-    return not run.where(F.col(spec.load_ts_col) == load_ts_literal(load_ts)).isEmpty()
+    spark = archive.sparkSession
+    notes = f"{place.rstrip('/')}/_runs/{re.sub('[^0-9A-Za-z]', '-', str(load_ts))}"
+    values = [r[0] for r in partition_values(merged, spec.partition_key).collect()]
+    touched = archive.where(touched_predicate(F.col(spec.partition_key), values))
+    has_files = _has_files(archive)
+    try:
+        earlier = spark.read.parquet(notes)
+    except AnalysisException as exc:
+        if (exc.getCondition() or "") not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        files = touched.select("_metadata.file_name") if has_files else spark.createDataFrame([], "file_name string")
+        files.distinct().repartition(1).write.mode("overwrite").parquet(notes)  # one file: all of the list or nothing
+        append(merged, rebalance)
+        return
+    if not has_files:  # the archive has no file at all
+        append(merged, rebalance)
+        return
+    run = touched.select("*", F.col("_metadata.file_name").alias("_file")).join(earlier.toDF("_file"), "_file", "left_anti")
+    missing = merged.exceptAll(run.select(*merged.columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if not missing.isEmpty():
+            append(missing, True)
+    finally:
+        missing.unpersist()
+
+
+def _has_files(df: DataFrame) -> bool:
+    """Whether ``df`` reads files (a table not there yet reads as rows in memory)."""
+    try:
+        df.select("_metadata.file_name").schema
+    except AnalysisException:
+        return False
+    return True
 
 
 def _adaptive_cached_plans(spark: SparkSession) -> bool:
@@ -191,14 +248,22 @@ def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSp
     if overwrite_mode(spark, current_table) != "dynamic":
         raise ValueError(f"{current_table} does not overwrite partitions dynamically; create it with create_table")
 
-    def write(merged: DataFrame, rebalance: bool, stamped: DataFrame) -> None:
-        if archive_table is not None:
-            archive = catalog_scan(spark, archive_table)
-            if not (archive_once and _holds_run(archive, stamped, spec, load_ts)):
-                insert_partitions(merged, archive_table, spec.partition_key, rebalance=rebalance)
+    def archive(rows: DataFrame, rebalance: bool) -> None:
+        insert_partitions(rows, archive_table, spec.partition_key, rebalance=rebalance)
+
+    def write(merged: DataFrame, rebalance: bool, emptied: list) -> None:
+        if archive_once and archive_table is not None:
+            _append_once(catalog_scan(spark, archive_table), described(spark, archive_table, "Location"), merged, spec, load_ts, rebalance, archive)
+        elif archive_table is not None:
+            archive(merged, rebalance)
         insert_partitions(merged, current_table, spec.partition_key, overwrite=True, rebalance=rebalance)
+        if emptied:
+            fmt = described(spark, current_table, "Provider")
+            empty_partitions(current, spec.partition_key, emptied, fmt)
+            spark.catalog.refreshTable(current_table)
 
-    _merge(current, stamped, spec, cache_delta, cache_merged and archive_table is not None, write)
+    _merge(current, stamped, spec, cache_delta, cache_merged and archive_table is not None, write,
+           load_ts if archive_once else None)
 
 
 def version_job(spark: SparkSession, daily_table: str, archive_table: str, out_path: str,

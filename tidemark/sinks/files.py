@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.columns import align_to_schema
 from tidemark.sources.files import overwrite_mode
@@ -47,6 +51,21 @@ def swap_partitions(df: DataFrame, path: str, key: str, fmt: str = "parquet", re
     )
 
 
+def empty_partitions(current: DataFrame, key: str, values: Sequence[str], fmt: str = "parquet") -> None:
+    """Leave no row in the partitions ``values`` of the table that ``current`` reads.
+
+    A dynamic overwrite cannot do that: it replaces only partitions it has rows
+    for.  Each folder is overwritten by an empty file instead; its name comes from the files
+    in it, so Spark's own escaping applies.  One small write per value.
+    """
+    if not values:
+        return
+    names = current.where(F.col(key).isin(list(values))).select(F.col("_metadata.file_path").alias("f")).distinct()
+    nothing = current.sparkSession.createDataFrame([], current.drop(key).schema)
+    for (folder,) in names.select(F.regexp_replace("f", "/[^/]*$", "")).distinct().collect():
+        nothing.write.format(fmt).mode("overwrite").save(unquote(folder))
+
+
 def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
     """Line-delimited JSON files."""
     df.write.mode(mode).json(path)

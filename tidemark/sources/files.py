@@ -116,8 +116,7 @@ def create_table(spark: SparkSession, name: str, path: str, schema: StructType,
     the same location may be replaced, so the files stay.
     """
     if replace and spark.catalog.tableExists(name):
-        about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-        if about.get("Type") == "VIEW" or about.get("Type") != "EXTERNAL" or not _same_place(spark, about.get("Location"), path):
+        if described(spark, name, "Type") != "EXTERNAL" or not _same_place(spark, described(spark, name, "Location"), path):
             raise ValueError(f"{name} exists and is not an external table at {path}; it is not replaced")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -141,6 +140,13 @@ def _same_place(spark: SparkSession, location: str | None, path: str) -> bool:
     return location is not None and full(location) == full(path)
 
 
+def described(spark: SparkSession, name: str, what: str) -> str | None:
+    """A property of a catalog table (``Type``, ``Provider``, ``Location``), ``None`` if it has none."""
+    lines = [(r[0], r[1]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    start = [i for i, (k, _) in enumerate(lines) if k.startswith("# Detailed Table Information")]
+    return dict(lines[start[0]:]).get(what) if start else None
+
+
 def overwrite_mode(spark: SparkSession, name: str) -> str:
     """``dynamic`` or ``static``: how an overwriting insert into ``name`` treats
     partitions it does not write (the table option, else the session default)."""

@@ -27,8 +27,9 @@ class TableSpec:
     load_ts_col: str = "load_ts"
     # Optional Column -> Column function (e.g. functions.title_case) applied to
     # the partition column of every incoming row, history and delta alike, so
-    # *current* only ever holds normalized values and ``SAN JUAN`` and
-    # ``San Juan`` meet in one partition.  Off by default.
+    # ``SAN JUAN`` and ``San Juan`` meet in one partition.  A merge also takes
+    # the delta's keys out of partitions *current* stored under another
+    # spelling before.  Off by default.
     partition_normalizer: object = field(default=None, compare=False)
 
     def __post_init__(self):
