@@ -55,8 +55,8 @@ def test_archive_prefilter_broadcasts_small_key_set(spark, path):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        # semi-join pre-filter, then hot-key check
-        out = version_join(left, right, "id", "s_id", hot_key_rows=10)
+        # more rows than hot_key_rows: semi-join pre-filter, then hot-key check
+        out = version_join(left, right, "id", "s_id", hot_key_rows=2)
         assert "BroadcastHashJoin" in plan_text(out) and "LeftSemi" in plan_text(out)
         assert rows(out) == sorted([(1, "a", 1, 10), (1, "a", 1, 11), (2, "b", None, None), (None, "n", None, None)],
                                    key=repr)

@@ -45,7 +45,8 @@ def version_join(
 
     Column names of the two sides must differ (rename first).  Plan:
 
-    * ``right`` is first cut to keys that occur in ``left`` by a semi join; the
+    * a ``right`` of at most ``hot_key_rows`` rows, counted, is joined as it is.
+    * a larger one is first cut to keys that occur in ``left`` by a semi join; the
       distinct left keys are broadcast when counted at most ``broadcast_bytes``,
       so the large side is only filtered, never shuffled whole.
     * right keys with more than ``hot_key_rows`` rows are salted: their right
@@ -64,6 +65,9 @@ def version_join(
         raise ValueError(f"both sides carry {sorted(clash)}; rename one side first")
     out_cols = left.columns + right.columns
 
+    if right.count() <= hot_key_rows:  # no key can be hot
+        return left.join(right, _eq(left, lk, right, rk), "left_outer").select(*out_cols)
+
     left_keys = left.select(*[F.col(a).alias(b) for a, b in zip(lk, rk)]).where(all_not_null(rk))
     right_m = right.join(broadcast_if_small(left_keys.distinct(), broadcast_bytes, rows_of=left_keys), rk, "left_semi")
     found = hot_keys(right_m, rk, hot_key_rows, max_hot_keys, include_null=False)

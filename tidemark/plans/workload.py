@@ -173,10 +173,13 @@ def q_catalog_merge(spark, sf_dir):
     """The merge on catalog tables: only the touched partitions are listed."""
     tag = uuid.uuid4().hex[:12]
     cur_t, arc_t = f"tidemark_current_{tag}", f"tidemark_archive_{tag}"
-    initial_load_table(spark, existing_feed(spark, sf_dir), ORDERS, cur_t, scratch_path(spark, "cat-current"),
-                       arc_t, scratch_path(spark, "cat-archive"), load_ts=EXISTING_TS)
+    cur = scratch_path(spark, "cat-current")
+    initial_load_table(spark, existing_feed(spark, sf_dir), ORDERS, cur_t, cur, arc_t, scratch_path(spark, "cat-archive"),
+                       load_ts=EXISTING_TS)
     incremental_merge_table(spark, delta_rows(spark, sf_dir), ORDERS, cur_t, arc_t, load_ts=DELTA_TS)
-    return catalog_scan(spark, cur_t).select(*_table_schema(spark, sf_dir).fieldNames())
+    for name in (cur_t, arc_t):  # external: the definitions go, the files stay
+        spark.sql(f"DROP TABLE {name}")
+    return read_table(spark, cur, _table_schema(spark, sf_dir))
 
 
 def q_streaming_merge(spark, sf_dir):
