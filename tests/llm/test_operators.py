@@ -219,3 +219,30 @@ def test_mix(spark):
     again = mixing.mix(docs.orderBy(F.desc("doc_id")), block_rows=50).collect()
     assert sorted(map(str, r)) == sorted(map(str, again))
     assert mixing.mix(empty(spark)).count() == 0 and mixing.mixed_documents(empty(spark)).count() == 0
+
+
+def test_other_columns_pass_through(spark):
+    """Large ids beside nulls, nested types, and extra columns named like helper columns come back unchanged."""
+    big = 2**62 + 1
+    text = " ".join(f"u{i}" for i in range(40)) + "."
+    docs = spark.createDataFrame([(None, text, "en", "a", 1), (big, text + " And another line of words.", "en", None, None)], DOCS)
+    names = ("score", "size", "rank", "weight", "kept", "taken", "_key", "_rest", "_blk", "copy", "_repeated", "clean_text", "none", "a.b")
+    for c in names:
+        docs = docs.withColumn(c, F.lit("mine"))
+    docs = docs.withColumn("many", F.array(F.struct(F.lit(big).alias("x"), F.lit(None).cast("date").alias("d"))))
+    model = toxicity.fit(empty(spark), spark.createDataFrame([], "doc_id long, toxic int"))
+    tables = {
+        "clean": quality.clean_documents(docs), "one": jaccard.one_per_class(docs, threshold=0.99),
+        "mixed": mixing.mixed_documents(docs), "decontaminated": decontam.decontaminate(docs, bench(spark)),
+        "sanitised": pii.sanitise(docs), "languages": langid.identify(docs, langid.fit(empty(spark))),
+        "toxicity": toxicity.score(docs, model), "licenses": licenses.scan_licenses(docs), "lines": quality.judge_lines(docs),
+    }
+    assert all(tables[t].columns == docs.columns for t in ("clean", "one", "mixed", "decontaminated", "sanitised"))
+    for t, out in tables.items():
+        got = out.collect()
+        assert {r.doc_id for r in got} == {None, big}, t
+        produced = {"languages": {"score"}, "toxicity": {"score"}, "lines": {"kept", "clean_text"}}.get(t, set())
+        assert all(r[c] == "mine" for r in got for c in names if c not in produced), t
+        assert all(r.many[0].x == big and r.many[0].d is None for r in got), t
+    classes = {r.id: r.class_id for r in jaccard.similarity_classes(docs, threshold=0.99).collect()}
+    assert classes == {None: None, big: big}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.session import scratch_path
 
@@ -58,3 +61,41 @@ def chunks(texts, max_chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
         total += n
     if len(texts) > start:
         yield start, len(texts)
+
+
+def add_computed(df: DataFrame, inputs: Sequence[str], fields: Sequence[StructField], make: Callable[[], Callable],
+                 drop: Sequence[str] = ()) -> DataFrame:
+    """``df`` without ``drop`` plus ``fields``, computed in Python from the ``inputs`` columns.
+
+    ``make`` runs once per task and returns a function from lists of input values
+    (a few million characters at a time) to one list per field.  The other columns stay in their Arrow
+    batches, so any type passes through unchanged, large integers beside nulls included."""
+    at = [df.columns.index(c) for c in inputs]
+    stay = [i for i, c in enumerate(df.columns) if c not in drop]
+    types = [to_arrow_type(f.dataType) for f in fields]
+    out = StructType([df.schema.fields[i] for i in stay] + list(fields))
+    schema = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(out)])  # mapInArrow takes no dotted names
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for batch in batches:
+            values = [batch.column(i).to_pylist() for i in at]
+            for a, b in chunks(values[0]):
+                new = compute(*[v[a:b] for v in values])
+                kept = [batch.column(i).slice(a, b - a) for i in stay]
+                yield pa.RecordBatch.from_arrays(kept + [pa.array(v, type=t) for v, t in zip(new, types)], names=names)
+
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema).toDF(*out.fieldNames())
+
+
+def packed(docs: DataFrame, *used: str) -> DataFrame:
+    """The ``used`` columns and all others in one struct ``_rest``: no name of theirs can clash with a helper column."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(*(others or [F.lit(0).alias("none")])).alias("_rest"))
+
+
+def unpacked(rows: DataFrame, columns: Sequence[str], **own: Column) -> DataFrame:
+    """The ``columns`` of :func:`packed` rows in order, ``own`` expressions in place of those they name."""
+    rest = set(rows.schema["_rest"].dataType.fieldNames())
+    return rows.select(*[own.get(c, F.col(f"_rest.`{c}`" if c in rest else c)).alias(c) for c in columns])

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_if_small, materialize, row_key, table
+from tidemark.llm.common import broadcast_if_small, materialize, packed, row_key, table, unpacked
 
 WINDOW = 10
 GRAM = 6
@@ -124,7 +124,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents (same columns)."""
     bad = materialize(find_contamination(docs, benchmark).where("contaminated").select("_key").distinct(), "contaminated")
-    return docs.withColumn("_key", row_key("doc_id", "text")).join(broadcast_if_small(bad), "_key", "left_anti").select(*docs.columns)
+    rows = packed(docs, "doc_id", "text").withColumn("_key", row_key("doc_id", "text"))
+    return unpacked(rows.join(broadcast_if_small(bad), "_key", "left_anti"), docs.columns)
 
 
 def q_decontaminate(spark, sf_dir):

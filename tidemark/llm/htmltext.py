@@ -19,8 +19,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField
 
-from tidemark.llm.common import BROADCAST_ROWS, keep_columns, materialize, row_key, table
+from tidemark.llm.common import BROADCAST_ROWS, add_computed, keep_columns, materialize, row_key, table
 
 #: A class belongs to the template if it is on this share of the host's pages ...
 MIN_SHARE = 0.5
@@ -260,20 +261,24 @@ def extract_text(pages: DataFrame) -> DataFrame:
         copies = templates.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(HOST_SPLIT - 1))))
         rows = rows.join(copies, ["_host", "_part"], "left").drop("_part")
     rows = rows.drop("_host")
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pages.schema)}, text string, n_chars long"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         sets: dict[tuple, tuple[frozenset, frozenset]] = {}
-        for pdf in batches:
+
+        def extract(sources: list, paths: list, fixed: list) -> list[list]:
+            nonlocal sets
             texts = []
-            for source, paths, fixed in zip(pdf["html"], pdf["_paths"], pdf["_texts"]):
-                key = (tuple(paths) if paths is not None else (), tuple(fixed) if fixed is not None else ())
+            for source, p, t in zip(sources, paths, fixed):
+                key = (tuple(p or ()), tuple(t or ()))
                 if key not in sets:
                     sets = {key: (frozenset(key[0]), frozenset(key[1]))}
                 texts.append(_extract(source, *sets[key]))
-            yield pdf.drop(columns=["_paths", "_texts"]).assign(text=texts, n_chars=[len(t) for t in texts])
+            return [texts, [len(t) for t in texts]]
+
+        return extract
 
-    return rows.mapInPandas(run, schema)
+    fields = [StructField("text", StringType()), StructField("n_chars", LongType())]
+    return add_computed(rows, ["html", "_paths", "_texts"], fields, make, drop=["_paths", "_texts"])
 
 
 def q_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

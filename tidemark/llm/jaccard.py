@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -19,8 +20,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from tidemark.llm.common import broadcast_if_small, chunks, materialize, row_key, table
+from tidemark.llm.common import add_computed, broadcast_if_small, materialize, packed, row_key, table, unpacked
 from tidemark.llm.graph import connected_components
 
 GRAM = 5
@@ -101,22 +103,15 @@ def _signatures(texts: list[str | None], bands: int, rows: int) -> list[np.ndarr
 
 def _sign(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
     """``_key, id, copy, bands``: ``copy`` is the same for texts of the same words, bands is null without a word."""
-    import hashlib
-
     source = docs.select(row_key(id_col, text_col).alias("_key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = pdf["text"].tolist()
-            for a, b in chunks(texts):
-                part = texts[a:b]
-                copies = [hashlib.blake2b(b" ".join(t.lower().encode("utf-8", "surrogatepass").split()), digest_size=16).digest()
-                          if t else None for t in part]
-                yield pd.DataFrame({"_key": pdf["_key"].iloc[a:b].to_numpy(), "id": pdf["id"].iloc[a:b].to_numpy(),
-                                    "copy": copies, "bands": _signatures(part, bands, rows)})
+    def sign(texts: list[str | None]) -> list[list]:
+        copies = [hashlib.blake2b(b" ".join(t.lower().encode("utf-8", "surrogatepass").split()), digest_size=16).digest()
+                  if t else None for t in texts]
+        return [copies, _signatures(texts, bands, rows)]
 
-    return source.mapInPandas(run, f"_key string, id {kind}, copy binary, bands array<long>")
+    fields = [StructField("copy", BinaryType()), StructField("bands", ArrayType(LongType()))]
+    return add_computed(source, ["text"], fields, lambda: sign, drop=["text"])
 
 
 def jaccard_counts(grams: list[np.ndarray], others: list[np.ndarray] | None = None, threshold: float = THRESHOLD) -> np.ndarray:
@@ -263,10 +258,10 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     keep = kept.withColumn("_worded", F.lit(True)).union(found.where("copy IS NULL").select("_key", F.lit(False)).distinct())
     rows = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
     keep = materialize(keep.join(rows, "_key").select("_key", (F.col("_worded") & (F.col("_rows") > 1)).alias("_repeated")), "jaccard-keep")
-    out = docs.withColumn("_key", row_key("doc_id", "text")).join(broadcast_if_small(keep), "_key")
+    out = packed(docs, "doc_id", "text").withColumn("_key", row_key("doc_id", "text")).join(broadcast_if_small(keep), "_key")
     if not keep.where("_repeated").isEmpty():  # whole rows repeat: one of them stays
         out = out.where("NOT _repeated").union(out.where("_repeated").dropDuplicates(["_key"]))
-    return out.select(*docs.columns)
+    return unpacked(out, docs.columns)
 
 
 def q_jaccard(spark, sf_dir):

@@ -15,8 +15,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField
 
-from tidemark.llm.common import broadcast_if_small, chunks, keep_columns, materialize, table
+from tidemark.llm.common import add_computed, broadcast_if_small, chunks, keep_columns, materialize, table
 
 #: Labelled documents per language used for training (about; a hash of the id picks them).
 TRAIN_ROWS = 4_000
@@ -149,17 +150,8 @@ def identify(docs: DataFrame, model: pd.DataFrame, text_col: str = "text") -> Da
     ``docs`` with these names are replaced."""
     docs = keep_columns(docs, ["lang_pred", "score"])
     shared = docs.sparkSession.sparkContext.broadcast(_tables(model))
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, lang_pred string, score double"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = _Scorer(shared.value)
-        for pdf in batches:
-            texts = pdf[text_col].tolist()
-            for a, b in chunks(texts):
-                names, scores = scorer.predict(texts[a:b])
-                yield pdf.iloc[a:b].assign(lang_pred=names, score=scores)
-
-    return docs.mapInPandas(run, schema)
+    return add_computed(docs, [text_col], [StructField("lang_pred", StringType()), StructField("score", DoubleType())],
+                        lambda: _Scorer(shared.value).predict)
 
 
 def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,13 +9,13 @@ and where.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from tidemark.llm.common import chunks, keep_columns, table
+from tidemark.llm.common import add_computed, keep_columns, table
 
 GRAM, RUN = 3, 2
 #: Words by which a document may run ahead of or behind its template.
@@ -156,19 +156,14 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, text
     by itself, whole.  Columns of ``docs`` with these names are replaced."""
     docs = keep_columns(docs, ["n_licenses", "licenses", "best_coverage", "spans"])
     chosen = TEMPLATES if templates is None else templates
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, " \
-        "n_licenses long, licenses string, best_coverage double, spans string"
+    fields = [StructField("n_licenses", LongType()), StructField("licenses", StringType()),
+              StructField("best_coverage", DoubleType()), StructField("spans", StringType())]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         index = Index(chosen)
-        for pdf in batches:
-            texts = pdf[text_col].tolist()
-            for a, b in chunks(texts):
-                rows = _scan(index, texts[a:b])
-                yield pd.concat([pdf.iloc[a:b], pd.DataFrame(
-                    rows, columns=["n_licenses", "licenses", "best_coverage", "spans"], index=pdf.index[a:b])], axis=1)
-
-    return docs.mapInPandas(run, schema)
+        return lambda texts: list(zip(*_scan(index, texts)))
+
+    return add_computed(docs, [text_col], fields, make)
 
 
 def _scan(index: Index, texts: list[str | None]) -> list[tuple[int, str, float, str]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, broadcast_if_small, keep_columns, materialize, row_key, table
+from tidemark.llm.common import WORD, broadcast_if_small, keep_columns, materialize, packed, row_key, table, unpacked
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -100,8 +100,8 @@ def mix(docs: DataFrame, block_rows: int = BLOCK_ROWS, carry: bool = False) -> D
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: each document as often as the mix takes it (a part counts as once), columns of ``docs``."""
     times = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    rows = mix(docs, carry=True).withColumn("_times", times)
-    return rows.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    rows = mix(packed(docs, "doc_id", "text", "source"), carry=True).withColumn("_times", times)
+    return unpacked(rows.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))), docs.columns)
 
 
 def q_mix(spark, sf_dir):

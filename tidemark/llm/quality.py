@@ -8,15 +8,14 @@ document that loses too much of its text with them is rejected.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField
 
-from tidemark.llm.common import chunks, keep_columns, table
+from tidemark.llm.common import add_computed, keep_columns, packed, table, unpacked
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -155,25 +154,23 @@ def judge_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Columns of ``docs`` with a produced name are replaced.
     """
     docs = keep_columns(docs, [f.name for f in _FIELDS])
-    schema = StructType(docs.schema.fields + _FIELDS)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = pdf[text_col].tolist()
-            for a, b in chunks(texts):
-                judged = _judge(texts[a:b])
-                judged.index = pdf.index[a:b]
-                yield pd.concat([pdf.iloc[a:b], judged], axis=1)
+    def judge(texts: list[str | None]) -> list:
+        judged = _judge(texts)
+        return [judged[f.name] for f in _FIELDS]
 
-    return docs.mapInPandas(run, schema)
+    return add_computed(docs, [text_col], _FIELDS, lambda: judge)
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
-    """The kept documents with their failed lines removed; ``n_chars``, if present, counts the new text."""
-    kept = judge_lines(docs).where("kept").withColumn("text", F.col("clean_text"))
+    """The kept documents with their failed lines removed; ``n_chars``, if present, counts the new text.
+
+    All other columns come back as they were, whatever their names."""
+    kept = judge_lines(packed(docs, "text")).where("kept")
+    own = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        own["n_chars"] = F.length("clean_text").cast(docs.schema["n_chars"].dataType)
+    return unpacked(kept, docs.columns, **own)
 
 
 def q_quality(spark, sf_dir):

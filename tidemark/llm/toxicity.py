@@ -14,8 +14,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField
 
-from tidemark.llm.common import chunks, keep_columns, materialize, table
+from tidemark.llm.common import add_computed, chunks, keep_columns, materialize, table
 
 BITS = 20
 #: Labelled rows used for training (about; a hash of the id picks them, the same on every run).
@@ -131,22 +132,22 @@ def score(docs: DataFrame, model: pd.DataFrame, text_col: str = "text") -> DataF
     dense[model["at"].to_numpy(np.int64)] = model["weight"].to_numpy()
     at = np.flatnonzero(dense)
     shared = docs.sparkSession.sparkContext.broadcast((at, dense[at]))
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, score double, predicted int"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         w = np.zeros((1 << BITS) + 1)
         w[shared.value[0]] = shared.value[1]
-        for pdf in batches:
-            texts = pdf[text_col].tolist()
-            for a, b in chunks(texts):
-                doc, at = features(texts[a:b])
-                used = w[at] != 0
-                key = np.unique(doc[used] * (1 << BITS) + at[used])
-                total = w[-1] + np.bincount(key >> BITS, weights=w[key & ((1 << BITS) - 1)], minlength=b - a)
-                p = _sigmoid(total)
-                yield pdf.iloc[a:b].assign(score=p, predicted=(p >= CUT).astype(np.int32))
 
-    return docs.mapInPandas(run, schema)
+        def scored(texts: list[str | None]) -> list[np.ndarray]:
+            doc, at = features(texts)
+            used = w[at] != 0
+            key = np.unique(doc[used] * (1 << BITS) + at[used])
+            total = w[-1] + np.bincount(key >> BITS, weights=w[key & ((1 << BITS) - 1)], minlength=len(texts))
+            p = _sigmoid(total)
+            return [p, (p >= CUT).astype(np.int32)]
+
+        return scored
+
+    return add_computed(docs, [text_col], [StructField("score", DoubleType()), StructField("predicted", IntegerType())], make)
 
 
 def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
