@@ -166,6 +166,19 @@ def test_jaccard_edges(spark):
     assert bands * rows <= 128 and 1 - (1 - 0.8**rows) ** bands >= 0.999
 
 
+def test_classes_of_null_and_shared_ids(spark):
+    """Unrelated documents stay, whatever their ids: a class is known by its texts, not by an id."""
+    text = [" ".join(f"t{k}w{i}" for i in range(30)) for k in range(6)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[2]), (None, text[2]), (7, text[3]), (7, text[4]), (7, text[5]),
+            (None, text[5].upper()), (None, None), (7, "")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOCS)
+    kept = [(x.doc_id, x.text) for x in jaccard.one_per_class(docs).collect()]
+    assert sorted(kept, key=repr) == sorted([*rows[:3], *rows[4:7], *rows[8:]], key=repr)
+    r = jaccard.similarity_classes(docs).collect()
+    worded = [x for x in r if x.class_key is not None]
+    assert len(worded) == 8 and len({x.class_key for x in worded}) == 6 and sum(x.n_links for x in r) == 4
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95), (7, 7)], "a int, b int")
     got = {r.node: r.label for r in connected_components(edges).collect()}

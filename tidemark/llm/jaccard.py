@@ -199,12 +199,14 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
 
 def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, block: int = BLOCK,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``_key, id, class_id, n_links, n_text_links, copies, copy``.
+    """One row per document: ``_key, id, class_id, class_key, n_links, n_text_links, copies, copy``.
 
     ``n_links`` counts the other documents whose n-gram sets reach the
     threshold (copies among them), ``n_text_links`` the different texts;
-    ``class_id`` is the least id of the documents connected by links.  A document
-    without a word (null, empty) has no links and is its own class.
+    ``class_id`` is the least id of the documents connected by links; null and shared
+    ids can give different classes one ``class_id``, but ``class_key`` (the least copy
+    hash, in hex) is a class's own.  A document without a word (null, empty) has no
+    links and is its own class; its ``class_key`` is null.
     Null ids come last in a class; equal rows get equal results.  Extra columns are ignored.
     """
     bands, rows = band_shape(threshold, target_recall)
@@ -238,11 +240,11 @@ def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD, target_rec
         .select("copy", "n_docs", "least", F.coalesce("label", "copy").alias("label"))
     least = member_of.groupBy("label").agg(F.min("least").alias("class_id"))
     by_text = member_of.join(least, "label").join(links, "copy", "left").select(
-        "copy", "class_id", (F.coalesce("docs", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"),
+        "copy", "class_id", F.lower(F.hex("label")).alias("class_key"), (F.coalesce("docs", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"),
         F.coalesce("texts", F.lit(0)).alias("n_text_links"), F.col("n_docs").alias("copies"))
     out = signed.select("_key", "id", F.when(F.col("bands").isNotNull(), F.col("copy")).alias("copy")).join(by_text, "copy", "left")
     return out.select("_key", "id", F.when(F.col("copies").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-                      F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
+                      "class_key", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
                       F.coalesce("copies", F.lit(1)).alias("copies"), "copy")
 
 
@@ -252,9 +254,8 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     Documents without a word are classes of their own and stay."""
     found = materialize(similarity_classes(docs, **options), "jaccard-classes")
     first = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("_key").alias("k"))
-    group = F.coalesce(F.concat(F.lit("c"), F.col("class_id").cast("string")), F.lit("n"))
-    worded = found.where("copy IS NOT NULL").withColumn("_group", group)
-    kept = worded.groupBy("_group").agg(F.min(first).alias("f"), F.count(F.lit(1)).alias("_size")).select(F.col("f.k").alias("_key"))
+    worded = found.where("copy IS NOT NULL")
+    kept = worded.groupBy("class_key").agg(F.min(first).alias("f")).select(F.col("f.k").alias("_key"))
     keep = kept.withColumn("_worded", F.lit(True)).union(found.where("copy IS NULL").select("_key", F.lit(False)).distinct())
     rows = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
     keep = materialize(keep.join(rows, "_key").select("_key", (F.col("_worded") & (F.col("_rows") > 1)).alias("_repeated")), "jaccard-keep")
@@ -266,4 +267,4 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
 
 def q_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return similarity_classes(docs).select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_text_links", "copies")
+    return similarity_classes(docs).select(F.col("id").alias("doc_id"), "class_id", "class_key", "n_links", "n_text_links", "copies")
