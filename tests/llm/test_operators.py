@@ -74,6 +74,22 @@ def test_html(spark):
     assert htmltext.extract_text(pages.limit(0)).count() == 0
 
 
+def extracted(spark, pages):
+    rows = [(i, url, html) for i, (url, html) in enumerate(pages)]
+    return [r.text for r in htmltext.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_html_template_inside_main(spark):
+    """Text that the host's pages repeat is template in an article too, and on hosts of a few pages; copies are no evidence."""
+    page = "<article><p>Read more on our site</p><p>Story {} itself</p></article>"
+    small = "<div>Site title</div><div>Story {} itself</div>"
+    copies = "<nav>Menu {}</nav><article><p>The one story of this host</p></article>"
+    got = extracted(spark, [("http://a.org/x", page.format(i)) for i in range(12)] + [("http://b.org/x", small.format(i)) for i in range(4)]
+                    + [("http://c.org/x", copies.format(i)) for i in range(12)])
+    assert got[:12] == [f"Story {i} itself" for i in range(12)] and got[12:16] == [f"Story {i} itself" for i in range(4)]
+    assert got[16:] == ["The one story of this host"] * 12
+
+
 def test_private(spark):
     near = [(100 + i, f"The agent Zarquon writes from zar@deep.example.org about topic{i}.", "en", "a", 1) for i in range(6)]
     noise = [(200 + i, f"Nothing about anyone, number {i}, is writes here about topics.", "en", "a", 1) for i in range(60)]

@@ -1,16 +1,18 @@
 """Op 2: main text by equivalence-class template deduction.
 
 Pages of one host share a template.  Every token of a page (an element with
-its path, or a whole text outside the article) has an occurrence vector: how
-often each page of the host holds it.  Tokens with the same vector are one
-equivalence class; classes that are frequent and nest inside one another make
-the template.  The text between template tokens lies in slots: a slot inside
-navigation, adverts and the like is furniture, a text that is itself a
-template token is furniture too, and what the other slots hold is extracted.
+its path, or a whole text at its path) has an occurrence vector: how often each
+page of the host holds it.  Tokens with the same vector are one equivalence
+class; classes that are frequent and nest inside one another make the template.
+A text that is a template token is furniture on every page, inside the article
+as well.  What is left varies: names of elements and classes only mark
+furniture such as navigation and adverts, and article and main elements are
+believed only on a host where they hold most of the varying text.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
@@ -25,8 +27,10 @@ from tidemark.llm.common import BROADCAST_ROWS, add_computed, keep_columns, mate
 
 #: A class belongs to the template if it is on this share of the host's pages ...
 MIN_SHARE = 0.5
-#: ... and a text only if the host has this many pages and this share of them shows it.
+#: ... and a text only if the host has this many pages and this share of them shows it,
 MIN_TEXT_PAGES, MIN_TEXT_SHARE = 10, 0.6
+#: ... or, on a smaller host of this many pages, all of them.
+MIN_FEW_PAGES = 3
 #: Copies of each host's template in a shuffled join, so a large host spreads.
 HOST_SPLIT = 32
 
@@ -175,70 +179,80 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)), F.lit(""))
 
 
-def occurrence_classes(pages: DataFrame) -> DataFrame:
-    """Frequent tokens of every host with their class: ``host, token, is_text, support, pages, class_id, parent``.
+def _text_token(path: str, text: str) -> str:
+    return f"{path}\n{hashlib.blake2b(text.encode('utf-8', 'surrogatepass'), digest_size=12).hexdigest()}"
+
+
+def occurrence_classes(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Frequent tokens of every host with their class: ``host, token, is_text, chars, class_id, parent``;
+    and the hosts: ``host, pages, main, other`` (characters of the text inside and outside article and main elements).
 
     A class id is a 128-bit sum over ``hash(page, count)``: equal for equal
     occurrence vectors, and a sum, so a host of any size is combined before the
     shuffle.  A host keeps at most 1 / MIN_SHARE times the tokens of an average page.
+    Pages of one host with the same text outside furniture are copies and count
+    once: a text that only copies repeat is no template.
     """
-    rows = pages.select(host_of(F.col("url")).alias("host"), row_key("page_id", "url").alias("page"), "html")
+    rows = pages.select(host_of(F.col("url")).alias("host"), "html")
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for host, key, source in zip(pdf["host"], pdf["page"], pdf["html"]):
+            for host, source in zip(pdf["host"], pdf["html"]):
                 page = Page(source or "")
-                out.append((host, "", False, key, 1))
-                out += [(host, path, False, key, c) for path, c in page.paths.items()]
-                texts = Counter(f"{path}\n{text}" for path, text, _, main in page.blocks if not main)
-                out += [(host, t, True, key, c) for t, c in texts.items()]
-            yield pd.DataFrame(out, columns=["host", "token", "is_text", "page", "n"])
-
-    found = rows.mapInPandas(tokens, "host string, token string, is_text boolean, page string, n long")
+                blocks = [(path, text, main) for path, text, furniture, main in page.blocks if not furniture]
+                if not blocks:
+                    continue
+                key = hashlib.blake2b("\n".join(b[1] for b in blocks).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+                main = sum(len(b[1]) for b in blocks if b[2])
+                out.append((host, "", False, key, 1, main, sum(len(b[1]) for b in blocks) - main))
+                out += [(host, path, False, key, c, 0, 0) for path, c in page.paths.items()]
+                texts = Counter(blocks)
+                out += [(host, _text_token(path, text), True, key, c, c * len(text) * inside, c * len(text) * (not inside))
+                        for (path, text, inside), c in texts.items()]
+            yield pd.DataFrame(out, columns=["host", "token", "is_text", "page", "n", "main", "other"])
+
+    found = rows.mapInPandas(tokens, "host string, token string, is_text boolean, page string, n long, main long, other long")
+    found = found.groupBy("host", "token", "is_text", "page").agg(*[F.max(c).alias(c) for c in ("n", "main", "other")])
     # sums of 31-bit parts cannot overflow for any possible number of pages
     part = [F.shiftrightunsigned(F.xxhash64("page", "n", F.lit(s)), 33) for s in range(4)]
     grouped = found.groupBy("host", "token", "is_text").agg(
-        F.count(F.lit(1)).alias("support"), *[F.sum(p).alias(f"v{i}") for i, p in enumerate(part)])
+        F.count(F.lit(1)).alias("support"), *[F.sum(p).alias(f"v{i}") for i, p in enumerate(part)],
+        F.sum("main").alias("main"), F.sum("other").alias("other")).where("NOT is_text OR support > 1")
     grouped = materialize(grouped, "html-vectors")
-    hosts = grouped.where("token = ''").select("host", F.col("support").alias("pages"))
-    frequent = grouped.where("token <> ''").join(hosts, "host").where(
-        (F.col("support") >= F.lit(MIN_SHARE) * F.col("pages")) & (~F.col("is_text") | (
-            (F.col("pages") >= MIN_TEXT_PAGES) & (F.col("support") >= F.lit(MIN_TEXT_SHARE) * F.col("pages")))))
+    hosts = grouped.where("token = '' AND NOT is_text").select("host", F.col("support").alias("pages"), "main", "other")
+    many = (F.col("pages") >= MIN_TEXT_PAGES) & (F.col("support") >= F.lit(MIN_TEXT_SHARE) * F.col("pages"))
+    few = (F.col("pages") >= MIN_FEW_PAGES) & (F.col("support") == F.col("pages"))
+    frequent = grouped.where("token <> ''").join(hosts.select("host", "pages"), "host").where(
+        (F.col("support") >= F.lit(MIN_SHARE) * F.col("pages")) & (~F.col("is_text") | many | few))
     class_id = F.md5(F.concat_ws(":", *[F.col(f"v{i}").cast("string") for i in range(4)]).cast("binary"))
-    frequent = frequent.select("host", "token", "is_text", "support", "pages", class_id.alias("class_id"))
+    frequent = frequent.select("host", "token", "is_text", "main", "other", class_id.alias("class_id"))
     # a class is valid if its first path opens inside an element of the template: nesting by the parent's path
     first = Window.partitionBy("host", "class_id").orderBy("token")
     parents = frequent.withColumn("_top", F.first("token").over(first))
     parent = F.regexp_replace(F.regexp_replace("_top", r"\n(?s).*$", ""), r"/[^/]*$", "")
-    return parents.select("host", "token", "is_text", "support", "pages", "class_id", parent.alias("parent"))
+    return parents.select("host", "token", "is_text", "main", "other", "class_id", parent.alias("parent")), hosts
 
 
-def _templates(classes: DataFrame) -> DataFrame:
-    """One row per host: the element paths and the texts of its valid classes."""
+def _templates(classes: DataFrame, hosts: DataFrame) -> DataFrame:
+    """One row per host: the texts of its valid classes, and whether article and main elements hold most of what varies."""
     paths = classes.where("NOT is_text").select("host", F.col("token").alias("parent")).distinct() \
         .union(classes.select("host", F.lit("").alias("parent")).distinct())
-    valid = classes.join(paths, ["host", "parent"], "left_semi")
-    return valid.groupBy("host").agg(
-        F.collect_list(F.when(~F.col("is_text"), F.col("token"))).alias("paths"),
-        F.collect_list(F.when(F.col("is_text"), F.col("token"))).alias("texts"))
-
-
-def _extract(source: str | None, paths: frozenset[str], texts: frozenset[str]) -> str:
-    page = Page(source or "")
-    has_main = any(main for *_, main in page.blocks)
-    out = []
-    for path, text, furniture, main in page.blocks:
-        slot = path  # of the deepest template token around the block
-        while slot and slot not in paths:
-            slot = slot.rpartition("/")[0]
-        in_main = main or any(part.partition(".")[0] in MAIN for part in slot.split("/"))
-        if furniture or (has_main and not in_main):
-            continue
-        if not main and f"{path}\n{text}" in texts:  # the slot's text is template itself
-            continue
-        out.append(text)
-    return "\n".join(out)
+    fixed = classes.where("is_text").join(paths, ["host", "parent"], "left_semi").groupBy("host").agg(
+        F.collect_list("token").alias("texts"), F.sum("main").alias("fixed_main"), F.sum("other").alias("fixed_other"))
+    varying = [F.col(c) - F.coalesce(F.col(f"fixed_{c}"), F.lit(0)) for c in ("main", "other")]
+    return hosts.join(fixed, "host", "left").select("host", "texts", (varying[0] >= varying[1]).alias("believed"))
+
+
+def _extract(source: str | None, texts: frozenset[str], believed: bool = True) -> str:
+    found = Page(source or "").blocks
+    blocks = [(path, text, main) for path, text, furniture, main in found if not furniture]
+    varying = [b for b in blocks if _text_token(b[0], b[1]) not in texts] if texts else blocks
+    if not varying:  # a page of nothing but repeated text keeps its article
+        varying = [b for b in blocks if b[2]]
+    if any(main for *_, main in found):
+        varying = [b for b in varying if b[2]]
+    return "\n".join(text for _, text, _ in varying)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -246,15 +260,17 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Blocks are joined in page order by one newline; inside a block white space
     becomes one space and character references are decoded.  A null html is an
-    empty page; a page without an article or main element gives all slots that
+    empty page; a page without varying text in an article or main element, or
+    of a host where most of it stands outside them, gives all slots that
     are not furniture.  Null urls share the empty host.  Columns of ``pages``
     with these names are replaced.
     """
-    pages = keep_columns(pages, ["text", "n_chars", "_host", "_paths", "_texts", "_part"])
-    classes = materialize(occurrence_classes(pages), "html-classes")
-    templates = _templates(classes).select(F.col("host").alias("_host"), F.col("paths").alias("_paths"), F.col("texts").alias("_texts"))
+    pages = keep_columns(pages, ["text", "n_chars", "_host", "_texts", "_believed", "_part"])
+    classes, hosts = occurrence_classes(pages)
+    classes = materialize(classes, "html-classes")
+    templates = _templates(classes, hosts).select(F.col("host").alias("_host"), F.col("texts").alias("_texts"), F.col("believed").alias("_believed"))
     rows = pages.withColumn("_host", host_of(F.col("url")))
-    if classes.count() <= BROADCAST_ROWS:
+    if classes.where("is_text").count() + hosts.count() <= BROADCAST_ROWS:
         rows = rows.join(F.broadcast(templates), "_host", "left")
     else:
         rows = rows.withColumn("_part", F.pmod(F.xxhash64("page_id", "url"), F.lit(HOST_SPLIT)).cast("int"))
@@ -263,22 +279,22 @@ def extract_text(pages: DataFrame) -> DataFrame:
     rows = rows.drop("_host")
 
     def make():
-        sets: dict[tuple, tuple[frozenset, frozenset]] = {}
+        sets: dict[tuple, frozenset] = {}
 
-        def extract(sources: list, paths: list, fixed: list) -> list[list]:
+        def extract(sources: list, fixed: list, believed: list) -> list[list]:
             nonlocal sets
             texts = []
-            for source, p, t in zip(sources, paths, fixed):
-                key = (tuple(p or ()), tuple(t or ()))
+            for source, t, b in zip(sources, fixed, believed):
+                key = tuple(t or ())
                 if key not in sets:
-                    sets = {key: (frozenset(key[0]), frozenset(key[1]))}
-                texts.append(_extract(source, *sets[key]))
+                    sets = {key: frozenset(key)}
+                texts.append(_extract(source, sets[key], b is not False))
             return [texts, [len(t) for t in texts]]
 
         return extract
 
     fields = [StructField("text", StringType()), StructField("n_chars", LongType())]
-    return add_computed(rows, ["html", "_paths", "_texts"], fields, make, drop=["_paths", "_texts"])
+    return add_computed(rows, ["html", "_texts", "_believed"], fields, make, drop=["_texts", "_believed"])
 
 
 def q_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
