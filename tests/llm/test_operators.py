@@ -90,6 +90,15 @@ def test_html_template_inside_main(spark):
     assert got[16:] == ["The one story of this host"] * 12
 
 
+def test_html_main_text_outside_main(spark):
+    """A teaser's article or a form in main does not hide a main text in plain divs."""
+    body = "The long main text number {} of this page stands in plain elements. " * 5
+    teasers = f"<div><p>{body}</p></div><div class=latest><article><h3>Teaser {{}}</h3></article></div>"
+    form = "<main><form><p>Your name</p></form></main><div><p>Body {}</p></div>"
+    got = extracted(spark, [("http://a.org/x", teasers.format(*[i] * 6)) for i in range(4)] + [("http://b.org/x", form.format(i)) for i in range(4)])
+    assert all(body.format(*[i] * 5).strip() in got[i] for i in range(4)) and got[4:] == [f"Body {i}" for i in range(4)]
+
+
 def test_private(spark):
     near = [(100 + i, f"The agent Zarquon writes from zar@deep.example.org about topic{i}.", "en", "a", 1) for i in range(6)]
     noise = [(200 + i, f"Nothing about anyone, number {i}, is writes here about topics.", "en", "a", 1) for i in range(60)]

@@ -245,12 +245,11 @@ def _templates(classes: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def _extract(source: str | None, texts: frozenset[str], believed: bool = True) -> str:
-    found = Page(source or "").blocks
-    blocks = [(path, text, main) for path, text, furniture, main in found if not furniture]
+    blocks = [(path, text, main) for path, text, furniture, main in Page(source or "").blocks if not furniture]
     varying = [b for b in blocks if _text_token(b[0], b[1]) not in texts] if texts else blocks
     if not varying:  # a page of nothing but repeated text keeps its article
         varying = [b for b in blocks if b[2]]
-    if any(main for *_, main in found):
+    if believed and any(main for *_, main in varying):
         varying = [b for b in varying if b[2]]
     return "\n".join(text for _, text, _ in varying)
 
