@@ -129,6 +129,20 @@ def test_licenses(spark):
     assert licenses.scan_licenses(empty(spark)).count() == 0
 
 
+def test_licenses_of_one_family(spark):
+    """A license takes no relative's name: a differing variant, version or name is no hit, and every template finds itself."""
+    gpl, cc = licenses.TEMPLATES["GPL-3.0-notice"], licenses.TEMPLATES["CC-BY-4.0"]
+    cases = [(cc.replace("Attribution", "Attribution-NonCommercial"), "CC-BY-NC-4.0-text"), (cc.replace("4.0", "3.0"), ""),
+             (gpl.replace("GNU", "GNU Affero"), "AGPL-3.0-notice"), (gpl.replace("GNU", "GNU Lesser"), "LGPL-3.0-notice"),
+             (gpl.replace("version 3", "version 4"), ""), (licenses.TEMPLATES["GPL-3.0"].replace("3", "2"), "GPL-2.0"),
+             ("Licensed under the Apache License, Version 1.1", ""), ("Released under the BSD License", ""),
+             ("Licensed under CC BY-NC-SA 4.0", ""), ("Licensed under one and the other or no third Apache License, Version 2.0", ""),
+             *[(text, name) for name, text in licenses.TEMPLATES.items()]]
+    docs = spark.createDataFrame([(i, f"Some words. {text}. More words.", "en", "a", 1) for i, (text, _) in enumerate(cases)], DOCS)
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(docs).collect()}
+    assert {text: got[i] for i, (text, _) in enumerate(cases)} == dict(cases)
+
+
 def test_toxicity(spark):
     docs = spark.createDataFrame([(i, f"plain words number {i} {'vile scum' if i % 4 == 0 else 'kind folk'} and so on", "en", "a", 1)
                                   for i in range(1200)] + EDGE[:5], DOCS)

@@ -3,7 +3,8 @@
 The templates' winnowed word 3-grams form an inverted index.  A document's
 3-grams pick candidate templates and the place in the text where they would
 start; a banded alignment there tells how much of the template is present
-and where.
+and where.  The matched span must also hold little else, and name the same
+variant and version as the template.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from tidemark.llm.common import add_computed, keep_columns, table
 GRAM, RUN = 3, 2
 #: Words by which a document may run ahead of or behind its template.
 BAND = 8
-#: Least share of a template's words that must align.
+#: Least share of a template's words, and of the words of the matched span, that must align.
 MIN_COVERAGE = 0.7
 
 # Public license notices.
@@ -41,6 +42,19 @@ TEMPLATES = {
     "GPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
+    "LGPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    "LGPL-2.1-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version.",
+    "AGPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
     "GPL-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
         "option) any later version.",
@@ -53,23 +67,42 @@ TEMPLATES = {
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-NC-4.0-text": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
     "Unlicense": "This is free and unencumbered software released into the public domain",
     "All-rights-reserved": "All rights reserved",
 }
 _WORD = re.compile(r"[A-Za-z0-9]+")
+# Words that tell a license from its relatives, and the version that follows them.
+_VARIANT = re.compile(r"\b(affero|lesser|library general|non ?commercial|share ?alike|no ?deriv|nc|sa|nd|apache|mit|mozilla|gnu|bsd|eclipse|boost)")
+_VARIANT_END = re.compile(r"\b(?:nc|sa|nd|mit|gnu|bsd|boost)\w")
+_VERSION = re.compile(r"\b(?:version|v|attribution|commercial|noncommercial|alike|sharealike|derivatives|noderivatives|noderivs|by|nc|sa|nd)"
+                      r" ([0-9]+(?: [0-9]+)?)\b")
 
 
 def _words(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
+def _identity(words: list[str]) -> tuple[frozenset[str], frozenset[str]]:
+    """The variant words and the versions (without a last .0) that a text names."""
+    text = " ".join(words)
+    variants = frozenset(m[0].replace(" ", "") for m in _VARIANT.finditer(text) if not _VARIANT_END.match(text, m.start()))
+    return variants, frozenset(v.removesuffix(" 0") for v in _VERSION.findall(text))
+
+
 class Index:
     """Inverted index of the templates' winnowed fingerprints."""
 
     def __init__(self, templates: dict[str, str]):
         self.names = sorted(templates)
         self.words = [_words(templates[n]) for n in self.names]
+        self.identities = [_identity(ws) for ws in self.words]
         self.vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for ws in self.words for w in ws}))}
         self.base = len(self.vocabulary) + 1
         self.places: dict[int, list[tuple[int, int]]] = {}
@@ -136,7 +169,9 @@ class Index:
                     continue  # the band of the last start covers this one
                 last = s
                 n, first, end = self.align(t, ids, s)
-                if n >= MIN_COVERAGE * len(self.words[t]):
+                if n < MIN_COVERAGE * max(len(self.words[t]), end - first + 1):
+                    continue
+                if _identity([m[0].lower() for m in found[first:end + 1]]) == self.identities[t]:
                     finds.append((n, n / len(self.words[t]), -first, self.names[t], end))
         out, used = [], []
         for n, coverage, first, name, end in sorted(finds, key=lambda f: (-f[0], -f[1], -f[2], f[3])):
