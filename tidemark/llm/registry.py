@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, htmltext, jaccard, langid, licenses, mixing, pii, quality, sharding, toxicity
+from tidemark.llm import decontam, htmltext, jaccard, langid, licenses, merkle, mixing, pii, quality, sharding, toxicity
 
 QUERIES = {
     "op1_line_first_quality": quality.q_quality,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_winnow_decontaminate": decontam.q_decontaminate,
     "op9_language_backoff": langid.q_language,
     "op10_mix_sources": mixing.q_mix,
+    "op13_merkle_manifest": merkle.q_merkle,
 }
 
 SQL = {
@@ -22,4 +23,5 @@ SQL = {
     "op7_jump_hash_shards": sharding.SQL,
     "op8_winnow_decontaminate": decontam.SQL,
     "op10_mix_sources": mixing.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }
