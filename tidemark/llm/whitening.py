@@ -209,6 +209,8 @@ def refined_eigen(a: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarr
         mean = (values[None, :] + values[:, None]) / 2
         x = x + x @ (r / 2 + np.where(near, 0, (s + mean * r) / np.where(near, 1, gaps)))
     _, values, x = best
+    r = eye - x.T @ x
+    x = x + x @ ((r + r.T) / 4)  # orthogonality to the last digit, for eigenvalues that rounding makes tie too
     order = np.argsort(-values, kind="stable")
     return values[order] * scale, x[:, order]
 
