@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, htmltext, jaccard, langid, licenses, merkle, mixing, pii, quality, sharding, toxicity, whitening
+from tidemark.llm import decontam, htmltext, jaccard, langid, licenses, merkle, mixing, pii, quality, sharding, suffixtree, toxicity, whitening
 
 QUERIES = {
     "op1_line_first_quality": quality.q_quality,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_winnow_decontaminate": decontam.q_decontaminate,
     "op9_language_backoff": langid.q_language,
     "op10_mix_sources": mixing.q_mix,
+    "op11_suffix_tree_score": suffixtree.q_score,
     "op12_embedding_whitening": whitening.q_whiten,
     "op13_merkle_manifest": merkle.q_merkle,
 }
