@@ -15,11 +15,6 @@ from tidemark.functions import (
     with_load_ts,
     with_partition_copy,
 )
-from tidemark.functions.columns import prefixed_names
-
-
-def test_prefixed_names_text():
-    assert prefixed_names("tbl", ["abc", "xyz"]) == ["abc AS tbl_abc", "xyz AS tbl_xyz"]
 
 
 def test_prefixed_projection_drops_unlisted_and_fails_on_missing(spark):

@@ -134,3 +134,42 @@ def test_one_key_in_a_small_file_is_split(spark, path):
     spark.range(300_000).select(F.lit(7).alias("k")).write.parquet(p)
     _, found = hot_keys(spark.read.parquet(p), ["k"], hot_key_rows=100_000)
     assert [r["k"] for r in found] == [7] and 250_000 < found[0]["_n"] < 350_000
+
+
+def _passes(spark, rows, schema, run):
+    """How often ``run`` reads the rows of a table of its own."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    run(df.mapInArrow(count, df.schema))
+    return seen.value / len(rows)
+
+
+def test_detection_reads_the_archive_once(spark):
+    """Counting, hot keys and their number come from one pass; the rest is what the join itself reads."""
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    right = [(1, i) for i in range(50)] + [(k, 0) for k in range(2, 30)]
+    def join(**options):  # noqa: E306
+        return lambda r: version_join(left, r, "id", "s_id", **options).write.format("noop").mode("overwrite").save()
+
+    assert _passes(spark, right, "s_id bigint, version int", join()) == 2  # census, join
+    assert _passes(spark, right, "s_id bigint, version int", join(hot_key_rows=60)) == 2  # cut to the daily keys, none hot
+    assert _passes(spark, right, "s_id bigint, version int", join(hot_key_rows=20)) == 3  # census, cold part, hot part
+
+
+def test_census_is_exact_in_rows_and_finds_all_hot_keys(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.keys import key_census
+
+    df = spark.range(0, 500_000, 1, 6).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None))
+                                              .otherwise(F.col("id")).alias("k"))
+    rows_, found = key_census(df, ["k"], hot_key_rows=100_000)
+    assert rows_ == 500_000 and {r["k"] for r in found} == {7, None} and all(150_000 < r["_n"] < 185_000 for r in found)
+    assert [r["k"] for r in key_census(df, ["k"], 100_000, include_null=False)[1]] == [7]
+    assert key_census(df.where("false"), ["k"]) == (0, [])

@@ -186,6 +186,19 @@ def test_survivors_keep_null_keys(spark):
     assert rows(survivors(existing, delta, ["id"]), "id") == sorted([(None,), (2,)], key=repr)
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "co_located": True}])
+def test_survivors_scan_the_touched_rows_once(spark, path, options):
+    p, d = path("once"), path("once-delta")
+    rows_ = [(None if i % 3 == 0 else i, f"n{i}", 1, "A") for i in range(300)]
+    spark.createDataFrame(rows_, SCHEMA).repartition(7).write.parquet(p)
+    spark.createDataFrame([(i, "d", 2, "A") for i in range(0, 200)] + [(None, "d", 2, "A")], SCHEMA).write.parquet(d)
+    existing, delta = spark.read.parquet(p), spark.read.parquet(d)
+    kept = survivors(existing, delta, ["id"], **options)
+    assert plan_text(kept).count("FileScan parquet") == 2  # the existing rows and the delta's keys
+    assert kept.columns == existing.columns
+    assert rows(kept) == sorted((r for r in rows_ if r[0] is None or r[0] >= 200), key=repr)
+
+
 def test_swap_uses_dynamic_overwrite(spark, path):
     # the session default is static; the write must still replace only touched partitions
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")

@@ -19,11 +19,6 @@ def prefixed_projection(df: DataFrame, prefix: str, columns: Iterable[str] | Non
     return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in cols])
 
 
-def prefixed_names(prefix: str, columns: Iterable[str]) -> list[str]:
-    """The ``c AS <prefix>_c`` select expressions as text."""
-    return [f"{c} AS {prefix}_{c}" for c in columns]
-
-
 def rename_positional(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Rename every column by position in one step (no clash between steps)."""
     names = list(names)

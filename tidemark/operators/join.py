@@ -14,7 +14,8 @@ from tidemark.operators.keys import (
     DEFAULT_MAX_HOT_KEYS,
     all_not_null,
     broadcast_if_small,
-    hot_keys,
+    hot_table,
+    key_census,
 )
 
 def row_salt(columns: Sequence[str], salts: Column) -> Column:
@@ -45,7 +46,9 @@ def version_join(
 
     Column names of the two sides must differ (rename first).  Plan:
 
-    * a ``right`` of at most ``hot_key_rows`` rows, counted, is joined as it is.
+    * one pass over the key columns of ``right`` counts its rows and finds its hot keys
+      (:func:`tidemark.operators.keys.key_census`); nothing else reads it but the join.
+    * a ``right`` of at most ``hot_key_rows`` rows is joined as it is.
     * a larger one is first cut to keys that occur in ``left`` by a semi join; the
       distinct left keys are broadcast when counted at most ``broadcast_bytes``,
       so the large side is only filtered, never shuffled whole.
@@ -65,12 +68,13 @@ def version_join(
         raise ValueError(f"both sides carry {sorted(clash)}; rename one side first")
     out_cols = left.columns + right.columns
 
-    if right.count() <= hot_key_rows:  # no key can be hot
+    rows, hot_rows = key_census(right, rk, hot_key_rows, max_hot_keys, include_null=False)
+    if rows <= hot_key_rows:  # no key can be hot
         return left.join(right, _eq(left, lk, right, rk), "left_outer").select(*out_cols)
 
     left_keys = left.select(*[F.col(a).alias(b) for a, b in zip(lk, rk)]).where(all_not_null(rk))
     right_m = right.join(broadcast_if_small(left_keys.distinct(), broadcast_bytes, rows_of=left_keys), rk, "left_semi")
-    found = hot_keys(right_m, rk, hot_key_rows, max_hot_keys, include_null=False)
+    found = hot_table(right, rk, hot_rows)
     if found is None:
         return left.join(right_m, _eq(left, lk, right_m, rk), "left_outer").select(*out_cols)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
@@ -56,6 +56,13 @@ def measured_bytes(df: DataFrame) -> tuple[int, int]:
     return n, size
 
 
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES,
+                   max_rows: int = DEFAULT_BROADCAST_KEY_ROWS) -> bool:
+    """Whether the counted rows and bytes (:func:`measured_bytes`) stay within the bounds."""
+    rows, size = measured_bytes(df)
+    return rows <= max_rows and size <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES,
                        max_rows: int = DEFAULT_BROADCAST_KEY_ROWS, rows_of: DataFrame | None = None) -> DataFrame:
     """``df`` marked for broadcast when its counted size is small, else unchanged
@@ -66,44 +73,57 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_KEYS_BY
     instead when given: the same columns before the ``distinct`` that made
     ``df``, so the count needs no shuffle and bounds ``df`` from above.
     """
-    rows, size = measured_bytes(df if rows_of is None else rows_of)
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    return F.broadcast(df) if fits_broadcast(df if rows_of is None else rows_of, max_bytes, max_rows) else df
 
 
-def hot_keys(
+def key_census(
     df: DataFrame,
     keys: Sequence[str],
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int | None = DEFAULT_MAX_HOT_KEYS,
     include_null: bool = True,
-) -> tuple[DataFrame, list] | None:
-    """Keys holding more than ``hot_key_rows`` rows, largest first (at most
-    ``max_hot_keys`` of them if that is given), as a small DataFrame (``keys + _n``, ``_n`` the
-    estimated row count), plus the collected rows; ``None`` when there is no hot key.
-
-    Only the key columns are read, and a seeded Bernoulli sample of
-    ``SAMPLE_HITS / hot_key_rows`` of the rows is counted (all rows for small
-    thresholds), so the shuffle is a small fraction of the input.  The count is
-    a partial (map-side) aggregate; at most rows / ``hot_key_rows`` keys are collected.
+) -> tuple[int, list]:
+    """Rows of ``df`` and its keys of more than ``hot_key_rows`` rows (``keys + _n`` with the
+    estimated count, largest first), in one pass over the key columns.
+
+    A seeded Bernoulli sample of ``SAMPLE_HITS / hot_key_rows`` of the rows is counted per key (all rows
+    for small thresholds); the other rows are counted as one group, one row per task.  So the shuffle
+    is a small fraction of the input and the total is exact.  At most rows / ``hot_key_rows`` keys are collected.
     """
     fraction = min(1.0, SAMPLE_HITS / hot_key_rows)
-    sample = df.select(*keys)
-    if fraction < 1.0:
-        sample = sample.sample(fraction=fraction, seed=17)
     # a key at the threshold is expected SAMPLE_HITS times; flag it from half that
     floor = hot_key_rows if fraction == 1.0 else fraction * hot_key_rows / 2
-    counts = (
-        sample.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_hits"))
-        .where(F.col("_hits") > F.lit(floor))
-        .withColumn("_n", F.round(F.col("_hits") / F.lit(fraction)).cast("long"))
-        .drop("_hits")
-    )
+    named = [f"_k{i}" for i in range(len(keys))]
+    seen = F.col("_seen")
+    picked = df.select(*[F.col(c).alias(n) for c, n in zip(keys, named)]) \
+        .withColumn("_seen", F.lit(True) if fraction == 1.0 else F.rand(17) < fraction)
+    hits = picked.groupBy("_seen", *[F.when(seen, F.col(n)).alias(n) for n in named]).agg(F.count(F.lit(1)).alias("_hits"))
+    hot = seen & (F.col("_hits") > F.lit(floor))
     if not include_null:
-        counts = counts.where(all_not_null(keys))
-    counts = counts.orderBy(F.desc("_n"))
-    rows = (counts if max_hot_keys is None else counts.limit(max_hot_keys)).collect()
-    if not rows:
+        hot = hot & all_not_null(named)
+    found = hits.groupBy(F.when(hot, F.struct(*named)).alias("_key")).agg(F.sum("_hits").alias("_hits")).collect()
+    by_size = sorted((r for r in found if r["_key"] is not None), key=lambda r: -r["_hits"])[:max_hot_keys]
+    return sum(r["_hits"] for r in found), [Row(*keys, "_n")(*r["_key"], round(r["_hits"] / fraction)) for r in by_size]
+
+
+def hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    max_hot_keys: int | None = DEFAULT_MAX_HOT_KEYS,
+    include_null: bool = True,
+) -> tuple[DataFrame, list] | None:
+    """The hot keys of :func:`key_census` (at most ``max_hot_keys`` of them if that is given) as a small
+    DataFrame (``keys + _n``), plus the collected rows; ``None`` when there is no hot key.
+
+    A missed or a false hot key only changes a plan, never a result.
+    """
+    return hot_table(df, keys, key_census(df, keys, hot_key_rows, max_hot_keys, include_null)[1])
+
+
+def hot_table(df: DataFrame, keys: Sequence[str], found: list) -> tuple[DataFrame, list] | None:
+    """Hot keys of ``df`` as a small DataFrame, plus their rows; ``None`` without any."""
+    if not found:
         return None
     schema = df.select(*keys).schema.add("_n", "long", False)
-    return df.sparkSession.createDataFrame(rows, schema), rows
+    return df.sparkSession.createDataFrame(found, schema), found

@@ -51,9 +51,7 @@ def rank_versions(
     plan instead (see :func:`_split_rank`); both parts are exact.
     """
     plain = df.withColumn(name, F.row_number().over(_version_window(spec)))
-    if not detect_hot_keys or df.count() <= hot_key_rows:  # no key can be hot
-        return plain
-    found = hot_keys(df, spec.primary_key, hot_key_rows, max_hot_keys)
+    found = hot_keys(df, spec.primary_key, hot_key_rows, max_hot_keys) if detect_hot_keys else None
     if found is None:
         return plain
     hot, hot_list = found

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidemark.operators.keys import DEFAULT_BROADCAST_KEYS_BYTES, all_not_null, any_null, broadcast_if_small
+from tidemark.operators.keys import DEFAULT_BROADCAST_KEYS_BYTES, all_not_null, any_null, fits_broadcast
 from tidemark.spec import TableSpec
 
+_SPREAD = "__tidemark_spread"
+
 
 def blank_partition_to_null(df: DataFrame, key: str) -> DataFrame:
     """A string partition value '' is stored as the null partition; say so up front."""
@@ -64,22 +66,27 @@ def stored_spellings(current: DataFrame, spec: TableSpec, touched: Sequence) ->
 
 
 def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str],
-              broadcast_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES) -> DataFrame:
-    """Existing rows whose key the delta does not carry.
+              broadcast_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES, co_located: bool = False) -> DataFrame:
+    """Existing rows whose key the delta does not carry: one left anti join, one scan of ``existing``.
 
-    A left anti join against the distinct non-null delta keys.  A key set
+    The side it is joined with is the distinct non-null delta keys.  A key set
     counted small (at most ``broadcast_bytes`` in memory and 2,000,000 rows) is broadcast, so ``existing`` (the
-    touched partitions, possibly most of the table) is not shuffled at all;
-    a larger one makes a shuffled anti join, whose skewed ``existing`` side
-    adaptive execution splits.  Existing rows with a null key can never
-    match, so they bypass the join (all of them would otherwise hash into one
-    task).
+    touched partitions, possibly most of the table) is not shuffled at all, null keys included, which match
+    nothing.  With a larger one ``existing`` is shuffled by its keys, and adaptive execution splits skewed
+    parts of it.  Rows with a null key would all hash into one task there; they get a number of
+    their reading task as a further key, which no delta key has, and so spread.  ``co_located`` says that
+    ``existing`` is bucketed by ``primary_key``: only the delta's keys are shuffled then, to its buckets.
     """
     pk = list(primary_key)
     key_rows = delta.select(*pk).where(all_not_null(pk))
-    keys = broadcast_if_small(key_rows.distinct(), broadcast_bytes, rows_of=key_rows)
-    matched = existing.where(all_not_null(pk)).join(keys, pk, "left_anti")
-    return matched.unionByName(existing.where(any_null(pk)))
+    keys = key_rows.distinct()
+    if fits_broadcast(key_rows, broadcast_bytes):
+        return existing.join(F.broadcast(keys), pk, "left_anti")
+    if co_located:
+        return existing.join(keys, pk, "left_anti")
+    spread = F.when(any_null(pk), F.lit(1) + F.spark_partition_id()).otherwise(F.lit(0))
+    return existing.withColumn(_SPREAD, spread) \
+        .join(keys.withColumn(_SPREAD, F.lit(0)), [*pk, _SPREAD], "left_anti").drop(_SPREAD)
 
 
 def merge_union(delta: DataFrame, kept: DataFrame) -> DataFrame:

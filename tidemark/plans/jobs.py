@@ -266,15 +266,19 @@ def incremental_merge_table(spark: SparkSession, delta: DataFrame, spec: TableSp
            load_ts if archive_once else None)
 
 
+# Fixed names of the version tables: the archive's key and date, renamed before the join and dropped after it.
+VERSION_RENAMES = {"id": "s_id", "date": "s_date"}
+
+
 def version_job(spark: SparkSession, daily_table: str, archive_table: str, out_path: str,
                 daily_key: str = "id", archive_renames: Mapping[str, str] | None = None,
-                archive_key: str = "s_id", version_col: str = "version",
-                drop: Sequence[str] = ("s_id", "s_date"), **join_options) -> DataFrame:
+                archive_key: str = VERSION_RENAMES["id"], version_col: str = "version",
+                drop: Sequence[str] = tuple(VERSION_RENAMES.values()), **join_options) -> DataFrame:
     """Catalog daily table LEFT JOIN catalog archive table -> ``inc_version`` -> JSON.
 
     Returns the joined frame that was written.
     """
-    renames = {"id": "s_id", "date": "s_date"} if archive_renames is None else dict(archive_renames)
+    renames = VERSION_RENAMES if archive_renames is None else dict(archive_renames)
     archive = rename_column(catalog_scan(spark, archive_table), renames)
     daily = catalog_scan(spark, daily_table)
     out = version_increment(daily, archive, daily_key, archive_key, version_col, "inc_version", drop, **join_options)
