@@ -186,7 +186,7 @@ def test_survivors_keep_null_keys(spark):
     assert rows(survivors(existing, delta, ["id"]), "id") == sorted([(None,), (2,)], key=repr)
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "co_located": True}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "buckets": 4}])
 def test_survivors_scan_the_touched_rows_once(spark, path, options):
     p, d = path("once"), path("once-delta")
     rows_ = [(None if i % 3 == 0 else i, f"n{i}", 1, "A") for i in range(300)]

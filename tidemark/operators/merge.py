@@ -66,7 +66,7 @@ def stored_spellings(current: DataFrame, spec: TableSpec, touched: Sequence) ->
 
 
 def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str],
-              broadcast_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES, co_located: bool = False) -> DataFrame:
+              broadcast_bytes: int = DEFAULT_BROADCAST_KEYS_BYTES, buckets: int = 0) -> DataFrame:
     """Existing rows whose key the delta does not carry: one left anti join, one scan of ``existing``.
 
     The side it is joined with is the distinct non-null delta keys.  A key set
@@ -74,16 +74,16 @@ def survivors(existing: DataFrame, delta: DataFrame, primary_key: Sequence[str],
     touched partitions, possibly most of the table) is not shuffled at all, null keys included, which match
     nothing.  With a larger one ``existing`` is shuffled by its keys, and adaptive execution splits skewed
     parts of it.  Rows with a null key would all hash into one task there; they get a number of
-    their reading task as a further key, which no delta key has, and so spread.  ``co_located`` says that
-    ``existing`` is bucketed by ``primary_key``: only the delta's keys are shuffled then, to its buckets.
+    their reading task as a further key, which no delta key has, and so spread.  ``buckets`` says that
+    ``existing`` is bucketed by ``primary_key`` into so many: only the delta's keys are shuffled then, to its buckets.
     """
     pk = list(primary_key)
     key_rows = delta.select(*pk).where(all_not_null(pk))
     keys = key_rows.distinct()
     if fits_broadcast(key_rows, broadcast_bytes):
         return existing.join(F.broadcast(keys), pk, "left_anti")
-    if co_located:
-        return existing.join(keys, pk, "left_anti")
+    if buckets:
+        return existing.join(key_rows.repartition(buckets, *pk).distinct(), pk, "left_anti")
     spread = F.when(any_null(pk), F.lit(1) + F.spark_partition_id()).otherwise(F.lit(0))
     return existing.withColumn(_SPREAD, spread) \
         .join(keys.withColumn(_SPREAD, F.lit(0)), [*pk, _SPREAD], "left_anti").drop(_SPREAD)

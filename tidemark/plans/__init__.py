@@ -7,5 +7,6 @@ from tidemark.plans.jobs import (
     initial_load_table,
     version_job,
 )
+from tidemark.plans.runs import archive_as_of, finish_swap, initial_load_run, merge_run, read_current
 
-__all__ = ["incremental_merge", "incremental_merge_table", "initial_load", "initial_load_table", "version_job"]
+__all__ = ["archive_as_of", "finish_swap", "initial_load_run", "merge_run", "read_current", "incremental_merge", "incremental_merge_table", "initial_load", "initial_load_table", "version_job"]

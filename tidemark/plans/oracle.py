@@ -32,6 +32,20 @@ fin AS (
   UNION ALL SELECT * FROM comb)
 """
 
+_SECOND_CTES = _MERGE_CTES.rstrip() + f""",
+second AS (
+  SELECT *, TIMESTAMP '2024-02-29 00:00:00' AS load_ts FROM orders
+  WHERE o_orderdate >= TIMESTAMP '2000-01-01 00:00:00' AND o_orderpriority = '2-HIGH'
+  QUALIFY {_ORDER_NEWEST} = 1),
+second_part AS (
+  SELECT * FROM second UNION ALL
+  SELECT * FROM fin WHERE o_orderpriority = '2-HIGH'
+    AND NOT EXISTS (SELECT 1 FROM second s WHERE s.o_custkey = fin.o_custkey) AND EXISTS (SELECT 1 FROM second)),
+fin2 AS (
+  SELECT * FROM fin WHERE o_orderpriority IS DISTINCT FROM '2-HIGH' OR NOT EXISTS (SELECT 1 FROM second)
+  UNION ALL SELECT * FROM second_part)
+"""
+
 _ARCHIVE_CTE = """
 WITH arc AS (
   SELECT o_custkey AS id, o_orderdate AS date,
@@ -42,6 +56,7 @@ WITH arc AS (
 
 SQL: dict[str, str] = {
     "scan_parquet": "SELECT * FROM orders",
+    "scan_orc": "SELECT * FROM orders",
     "catalog_scan": "SELECT * FROM orders",
     "partition_subset_scan": _MERGE_CTES + "SELECT * FROM ex_touched",
     "overwrite_partitioned": "SELECT * FROM customer",
@@ -90,6 +105,14 @@ FROM customer c LEFT JOIN arc a ON c.c_custkey = a.id""",
     "initial_archive": "SELECT *, TIMESTAMP '2024-01-31 00:00:00' AS load_ts FROM events",
     "incremental_merge": _MERGE_CTES + "SELECT * FROM fin",
     "catalog_merge": _MERGE_CTES + "SELECT * FROM fin",
+    "staged_merge": _SECOND_CTES + "SELECT * FROM fin2",
+    "bucketed_merge": _SECOND_CTES + "SELECT * FROM fin2",
+    "archive_as_of": _MERGE_CTES + "SELECT * FROM fin",
+    "repeated_run": _SECOND_CTES + """
+SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS load_ts, '2024-01-01 00:00:00.000000' AS run_id FROM orders
+WHERE NOT coalesce(o_orderdate >= TIMESTAMP '2000-01-01 00:00:00' AND o_orderpriority IN ('1-URGENT', '5-LOW'), false)
+UNION ALL SELECT *, '2024-01-31 00:00:00.000000' FROM comb
+UNION ALL SELECT *, '2024-02-29 00:00:00.000000' FROM second_part""",
     "streaming_merge": _MERGE_CTES + "SELECT * FROM fin",
     "version_job": _ARCHIVE_CTE + """
 SELECT c.c_custkey AS id, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, a.version,

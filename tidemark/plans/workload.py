@@ -47,6 +47,7 @@ from tidemark.plans.jobs import (
     initial_load_table,
     version_job,
 )
+from tidemark.plans.runs import archive_as_of, initial_load_run, merge_run, read_current
 from tidemark.session import scratch_path
 from tidemark.sinks import swap_partitions, write_json, write_partitioned
 from tidemark.sources import catalog_scan, partition_subset_scan, read_table, register_table, scan
@@ -57,6 +58,8 @@ CUTOFF = "2000-01-01 00:00:00"
 EXISTING_TS = "2024-01-01 00:00:00"
 DELTA_TS = "2024-01-31 00:00:00"
 DELTA_PRIORITIES = ["1-URGENT", "5-LOW"]
+SECOND_TS = "2024-02-29 00:00:00"
+SECOND_PRIORITY = "2-HIGH"
 
 ORDERS = TableSpec(("o_custkey",), ("o_orderdate", "o_orderkey"), "o_orderpriority")
 EVENTS = TableSpec(("user_id",), ("ts", "event_id"), "event_type")
@@ -132,6 +135,13 @@ def q_partition_subset_scan(spark, sf_dir):
     return partition_subset_scan(spark, cur, _table_schema(spark, sf_dir), ORDERS.partition_key, touched)
 
 
+def q_scan_orc(spark, sf_dir):
+    """The other columnar format, chosen at run time; written from orders first."""
+    path = scratch_path(spark, "orc")
+    table(spark, sf_dir, "orders").write.format("orc").save(path)
+    return scan(spark, path, "orc")
+
+
 # ---------------------------------------------------------------- sinks
 def q_overwrite_partitioned(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
@@ -182,6 +192,46 @@ def q_catalog_merge(spark, sf_dir):
     return read_table(spark, cur, _table_schema(spark, sf_dir))
 
 
+def second_delta(spark, sf_dir) -> DataFrame:
+    """A later delta: the newest recent order per customer in one priority the first delta does not touch."""
+    recent = (F.col("o_orderdate") >= _ntz(CUTOFF)) & (F.col("o_orderpriority") == SECOND_PRIORITY)
+    return latest_per_key(table(spark, sf_dir, "orders").where(recent), ORDERS)
+
+
+def _two_runs(spark, sf_dir, name: str, **options) -> tuple[str, str]:
+    """Initial load and two merges as runs, into fresh tables; the first merge takes ``options``."""
+    tag = uuid.uuid4().hex[:12]
+    cur_t, arc_t = f"tidemark_{name}_current_{tag}", f"tidemark_{name}_archive_{tag}"
+    initial_load_run(spark, existing_feed(spark, sf_dir), ORDERS, cur_t, scratch_path(spark, f"{name}-current"), arc_t,
+                     scratch_path(spark, f"{name}-archive"), load_ts=EXISTING_TS, buckets=options.pop("buckets", None))
+    merge_run(spark, delta_rows(spark, sf_dir), ORDERS, cur_t, arc_t, load_ts=DELTA_TS, **options)
+    merge_run(spark, second_delta(spark, sf_dir), ORDERS, cur_t, arc_t, load_ts=SECOND_TS)
+    return cur_t, arc_t
+
+
+def q_staged_merge(spark, sf_dir):
+    """Two merges whose swaps are staged and committed in one step each."""
+    return read_current(spark, _two_runs(spark, sf_dir, "staged")[0])
+
+
+def q_bucketed_merge(spark, sf_dir):
+    """The same on a bucketed *current*, the first delta taken as too large to broadcast."""
+    return read_current(spark, _two_runs(spark, sf_dir, "bucketed", buckets=8, broadcast_bytes=0)[0])
+
+
+def q_archive_as_of(spark, sf_dir):
+    """*current* as it was after the first of two merges, from the archive's snapshots."""
+    cur_t, arc_t = _two_runs(spark, sf_dir, "asof")
+    return archive_as_of(spark, ORDERS, cur_t, arc_t, run=DELTA_TS)
+
+
+def q_repeated_run(spark, sf_dir):
+    """The archive after the first of two merges has been run again: every snapshot once."""
+    cur_t, arc_t = _two_runs(spark, sf_dir, "repeat")
+    merge_run(spark, delta_rows(spark, sf_dir), ORDERS, cur_t, arc_t, load_ts=DELTA_TS)
+    return catalog_scan(spark, arc_t)
+
+
 def q_streaming_merge(spark, sf_dir):
     """The merge triggered by Structured Streaming: the delta lands as files."""
     from tidemark.streaming import start_merge_stream
@@ -295,6 +345,7 @@ def q_version_increment(spark, sf_dir):
 
 QUERIES = {
     "scan_parquet": q_scan_parquet,
+    "scan_orc": q_scan_orc,
     "catalog_scan": q_catalog_scan,
     "partition_subset_scan": q_partition_subset_scan,
     "overwrite_partitioned": q_overwrite_partitioned,
@@ -321,6 +372,10 @@ QUERIES = {
     "initial_archive": q_initial_archive,
     "incremental_merge": q_incremental_merge,
     "catalog_merge": q_catalog_merge,
+    "staged_merge": q_staged_merge,
+    "bucketed_merge": q_bucketed_merge,
+    "archive_as_of": q_archive_as_of,
+    "repeated_run": q_repeated_run,
     "streaming_merge": q_streaming_merge,
     "version_job": q_version_job,
 }

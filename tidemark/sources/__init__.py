@@ -1,6 +1,7 @@
 """Readers: file scans, partitioned table scans, catalog tables."""
 
 from tidemark.sources.files import (
+    bucketing,
     catalog_scan,
     create_table,
     overwrite_mode,
@@ -11,5 +12,5 @@ from tidemark.sources.files import (
     stored_schema,
 )
 
-__all__ = ["catalog_scan", "create_table", "overwrite_mode", "partition_subset_scan", "read_table",
+__all__ = ["bucketing", "catalog_scan", "create_table", "overwrite_mode", "partition_subset_scan", "read_table",
            "register_table", "scan", "stored_schema"]

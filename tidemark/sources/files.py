@@ -103,7 +103,8 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
 
 
 def create_table(spark: SparkSession, name: str, path: str, schema: StructType,
-                 partition_key: str | None = None, fmt: str = "parquet", replace: bool = False) -> None:
+                 partition_key: str | Sequence[str] | None = None, fmt: str = "parquet", replace: bool = False,
+                 bucket_by: Sequence[str] = (), buckets: int = 0) -> None:
     """An external table over ``path`` whose partitions the catalog tracks.
 
     Reads of such a table with a predicate on the partition column ask the
@@ -114,13 +115,17 @@ def create_table(spark: SparkSession, name: str, path: str, schema: StructType,
     count).  Partition directories already under ``path`` are registered.
     ``replace`` drops an existing definition first; only an external table at
     the same location may be replaced, so the files stay.
+    ``bucket_by`` and ``buckets`` declare the bucket layout of its files; every insert then keeps to it.
     """
     if replace and spark.catalog.tableExists(name):
         if described(spark, name, "Type") != "EXTERNAL" or not _same_place(spark, described(spark, name, "Location"), path):
             raise ValueError(f"{name} exists and is not an external table at {path}; it is not replaced")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    partitioned = f" PARTITIONED BY (`{partition_key}`)" if partition_key else ""
+    keys = [partition_key] if isinstance(partition_key, str) else list(partition_key or ())
+    partitioned = f" PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})" if keys else ""
+    if buckets:
+        partitioned += f" CLUSTERED BY ({', '.join(f'`{c}`' for c in bucket_by)}) INTO {buckets} BUCKETS"
     location = path.replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} "
               f"OPTIONS ('partitionOverwriteMode' = 'dynamic'){partitioned} LOCATION '{location}'")
@@ -132,6 +137,14 @@ def create_table(spark: SparkSession, name: str, path: str, schema: StructType,
                 raise
 
 
+def bucketing(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
+    """Number of buckets and bucket columns of a catalog table, ``None`` if it has none."""
+    count, columns = described(spark, name, "Num Buckets"), described(spark, name, "Bucket Columns")
+    if not count or not columns or not int(count):
+        return None
+    return int(count), re.findall(r"`([^`]+)`", columns)
+
+
 def _same_place(spark: SparkSession, location: str | None, path: str) -> bool:
     def full(p: str) -> str:
         place = spark._jvm.org.apache.hadoop.fs.Path(p)
