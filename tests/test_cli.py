@@ -37,6 +37,35 @@ def test_cli_path_and_catalog_forms_equal_functions(spark, path):
     assert rows(spark.table(f"cli_arc_{tag}"), *cols) == rows(spark.read.schema(STORED).parquet(arc), *cols)
 
 
+def test_cli_runs(spark, path):
+    hist, day = path("hist"), path("day")
+    spark.createDataFrame(HISTORY, SCHEMA).write.parquet(hist)
+    delta = spark.createDataFrame([(2, "b2", 2, "Adjuntas"), (7, "g1", 1, "Mayaguez"), (5, "e2", 2, "")], SCHEMA)
+    delta.write.parquet(day)
+    cur, arc = _load(spark, path, HISTORY)
+    incremental_merge(spark, delta, SPEC, cur, arc, load_ts=T1)
+    tag = uuid.uuid4().hex[:8]
+    names = ["--runs", "--current-table", f"run_cur_{tag}", "--archive-table", f"run_arc_{tag}"]
+    run(spark, ["initial-load", "--history", hist, "--current", path("t-cur"), "--archive", path("t-arc"), "--buckets", "3",
+                *names, "--load-ts", T0, *KEYS])
+    for _ in range(2):  # a repeated merge leaves one snapshot
+        run(spark, ["merge", "--delta", day, *names, "--load-ts", T1, *KEYS])
+    cols = [c.split()[0] for c in STORED.split(", ")]
+    assert rows(spark.table(f"run_cur_{tag}"), *cols) == rows(_current(spark, cur), *cols)
+    assert rows(spark.table(f"run_arc_{tag}"), *cols) == rows(spark.read.schema(STORED).parquet(arc), *cols)
+    for wrong in (["merge", "--delta", day, "--runs", "--current", cur], ["initial-load", "--history", hist, *names]):
+        with pytest.raises(SystemExit, match="--runs needs"):
+            run(spark, [*wrong, *KEYS])
+
+
+def test_cli_refuses_a_format_before_it_writes(spark, path):
+    cur = path("kept")
+    spark.createDataFrame(HISTORY, SCHEMA).write.partitionBy("city").parquet(cur)
+    with pytest.raises(ValueError, match="spark-avro"):
+        run(spark, ["initial-load", "--history", path("feed"), "--format", "avro", "--current", cur, *KEYS])
+    assert spark.read.parquet(cur).count() == len(HISTORY)
+
+
 def test_cli_version_increment(spark, path):
     spark.createDataFrame([(1, "x"), (2, "y")], "id bigint, v string").createOrReplaceTempView("cli_daily")
     spark.createDataFrame([(1, "2024-01-01", 3)], "id bigint, date string, version int") \

@@ -98,6 +98,17 @@ def test_scan_formats_chosen_at_run_time(spark, path):
         assert rows(back) == rows(nation), fmt
 
 
+def test_formats_the_session_cannot_read_are_refused(spark, path):
+    from tidemark.sources import require_format
+
+    for fmt in ("parquet", "orc", "json", "csv", "text"):
+        require_format(spark, fmt)
+    with pytest.raises(ValueError, match="spark-avro"):
+        scan(spark, path("feed"), "avro")
+    with pytest.raises(ValueError, match="'nonsense'"):
+        require_format(spark, "nonsense")
+
+
 def test_persistent_catalog_table(spark, path):
     customer = spark.read.parquet(f"{SF01}/customer.parquet")
     p = path("ext")

@@ -22,7 +22,9 @@ from tidemark.plans import (
     incremental_merge,
     incremental_merge_table,
     initial_load,
+    initial_load_run,
     initial_load_table,
+    merge_run,
     version_job,
 )
 from tidemark.property_feed import (
@@ -67,6 +69,8 @@ def _table_args(p: argparse.ArgumentParser, feed: str) -> None:
     p.add_argument("--partition-key", default=DEFAULT_PARTITION_KEY, help="partition column")
     p.add_argument("--load-ts-col", default=None, help="column storing the load time")
     p.add_argument("--load-ts", help="load time of this run (default: now, once)")
+    p.add_argument("--runs", action="store_true",
+                   help="catalog form whose swaps commit in one step and whose archive names its runs (both jobs of a table, or neither)")
     p.add_argument("--title-case-partitions", action="store_true",
                    help="title-case partition values of every incoming row")
 
@@ -74,7 +78,9 @@ def _table_args(p: argparse.ArgumentParser, feed: str) -> None:
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="tidemark", description="versioned current + archive tables on Spark")
     sub = ap.add_subparsers(dest="job", required=True)
-    _table_args(sub.add_parser("initial-load", help="history feed -> current (newest per key) + archive"), "history")
+    i = sub.add_parser("initial-load", help="history feed -> current (newest per key) + archive")
+    _table_args(i, "history")
+    i.add_argument("--buckets", type=int, help="with --runs: bucket current by the primary key")
     m = sub.add_parser("merge", help="daily delta -> touched partitions of current, archive snapshot")
     _table_args(m, "delta")
     m.add_argument("--archive-once", action="store_true",
@@ -113,6 +119,17 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     catalog = args.current_table is not None
     if not catalog and args.current is None:
         raise SystemExit("give --current (folder) or --current-table (catalog name)")
+    if args.runs:
+        if not catalog or args.archive_table is None:
+            raise SystemExit("--runs needs --current-table and --archive-table")
+        if not initial:
+            merge_run(spark, feed, spec, args.current_table, args.archive_table, load_ts=args.load_ts)
+        elif args.current is None or args.archive is None:
+            raise SystemExit("initial-load --runs needs --current and --archive (the table folders) too")
+        else:
+            initial_load_run(spark, feed, spec, args.current_table, args.current, args.archive_table, args.archive,
+                             load_ts=args.load_ts, buckets=args.buckets)
+        return
     if initial:
         if catalog:
             if args.current is None:

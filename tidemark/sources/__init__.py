@@ -8,9 +8,10 @@ from tidemark.sources.files import (
     partition_subset_scan,
     read_table,
     register_table,
+    require_format,
     scan,
     stored_schema,
 )
 
 __all__ = ["bucketing", "catalog_scan", "create_table", "overwrite_mode", "partition_subset_scan", "read_table",
-           "register_table", "scan", "stored_schema"]
+           "register_table", "require_format", "scan", "stored_schema"]

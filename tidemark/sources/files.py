@@ -12,10 +12,26 @@ from pyspark.sql.types import StructField, StructType
 from tidemark.operators.merge import touched_predicate
 
 
+def require_format(spark: SparkSession, fmt: str) -> None:
+    """Raise a ``ValueError`` that says what to do if the session cannot read ``fmt``.
+
+    Jobs call it before they touch anything: a format whose package is missing (Avro without spark-avro
+    on the class path) must not be found out after an overwrite has begun."""
+    try:
+        spark.read.format(fmt).schema("a int").load([])
+    except Exception as exc:  # an AnalysisException or, from a class path look-up, a Py4J error
+        text = str(exc)
+        if "Failed to find data source" in text or "DATA_SOURCE_NOT_FOUND" in text:
+            hint = "start Spark with --packages org.apache.spark:spark-avro_<scala>:<spark version>" if fmt.lower() == "avro" \
+                else "put the package that brings it on Spark's class path"
+            raise ValueError(f"this session cannot read the format {fmt!r}: {hint}") from exc
+
+
 def scan(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet",
          schema: StructType | str | None = None, **options) -> DataFrame:
     """Read files of a format chosen at run time (parquet, orc, json, csv, avro
     when the spark-avro package is on the class path)."""
+    require_format(spark, fmt)
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
