@@ -88,20 +88,21 @@ def train_ftrl(samples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> t
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> pd.DataFrame:
     """Nonzero weights (``at, weight``), learned from labelled rows whose crc32(doc_id as text) mod 3 is not 1.
 
-    About ``train_rows`` of them by a hash of the id (rows labelled toxic and
-    not toxic count alike).  Their features are made where the rows are; the
-    walk itself, in order of the id, runs in one task over that bounded sample.
+    About ``train_rows`` different pairs of id and text by a hash of both, counted
+    after the labels have met the texts (rows labelled toxic and not toxic count alike); a repeated row trains once.
+    So the bound holds for the rows of the one task that learns, whatever one id holds.
+    Features are made where the rows are; the walk itself runs in order of id and text hash.
     Null ids, null labels and null texts are left out; an id labelled twice
     takes its largest label, an id with several texts trains on each.
     """
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
-    marks = marks.where(fold != 1)
-    total = marks.count()
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    marks = materialize(marks.where(place < F.lit(train_rows / max(1, total))), "toxic-labels")
-    # bounded by train_rows, hence the broadcast
-    picked = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(marks), "doc_id")
+    texts = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("_text"))
+    pairs = materialize(texts.select("doc_id", "_text").distinct().join(marks.where(fold != 1), "doc_id"), "toxic-pairs")
+    place = F.pmod(F.xxhash64("doc_id", "_text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = materialize(pairs.where(place < F.lit(train_rows / max(1, pairs.count()))), "toxic-sample")
+    # bounded by train_rows, hence the broadcast; equal rows are combined before they are shuffled
+    picked = texts.join(F.broadcast(sample), ["doc_id", "_text"]).groupBy("doc_id", "_text").agg(F.first("text").alias("text"), F.first("y").alias("y"))
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -111,12 +112,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> pd.
                 key = np.unique(doc * (1 << BITS) + at)
                 cut = np.searchsorted(key >> BITS, np.arange(b - a + 1))
                 lists = [(key[cut[i]:cut[i + 1]] & ((1 << BITS) - 1)).astype(np.int32) for i in range(b - a)]
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b].to_numpy(), "y": pdf["y"].iloc[a:b].to_numpy(), "at": lists})
+                yield pd.DataFrame({c: pdf[c].iloc[a:b].to_numpy() for c in ("doc_id", "_text", "y")} | {"at": lists})
 
-    samples = materialize(picked.mapInPandas(extract, "doc_id long, y int, at array<int>"), "toxic-samples")
+    samples = materialize(picked.mapInPandas(extract, "doc_id long, _text long, y int, at array<int>"), "toxic-samples")
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(size=pdf["at"].map(len)).sort_values(["doc_id", "size"])
+        pdf = pdf.sort_values(["doc_id", "_text"])
         at, w = train_ftrl([(np.asarray(a, np.int64), int(y)) for a, y in zip(pdf["at"], pdf["y"])])
         return pd.DataFrame({"at": at, "weight": w})
 
