@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
@@ -21,8 +21,6 @@ from tidemark.llm.common import add_computed, broadcast_if_small, chunks, keep_c
 
 #: Labelled documents per language used for training (about; a hash of the id picks them).
 TRAIN_ROWS = 4_000
-#: Entries the model keeps per language and kind (words, or n-grams of one length), the most frequent first.
-MODEL_ENTRIES = 40_000
 MAX_GRAM = 4
 SMOOTHING = 0.5
 #: Unknown words remembered by a worker between batches (a cache; it changes no result).
@@ -35,11 +33,13 @@ def _grams(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
-def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, model_entries: int = MODEL_ENTRIES) -> pd.DataFrame:
+def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> pd.DataFrame:
     """Counts ``(lang, kind, token, n, total)``; kind 0 is words, kind k the character k-grams.
 
     Learns from documents with a text, a language and an id whose
-    crc32(doc_id as text) mod 4 is not 2; about ``train_rows`` per language."""
+    crc32(doc_id as text) mod 4 is not 2; about ``train_rows`` per language.
+    Every word and n-gram of these documents is in the model, so the sample alone bounds it; repeated rows count as
+    often as they occur."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold != 2)) \
         .select("doc_id", "lang", "text")
@@ -66,9 +66,7 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, model_entries: int = MODE
         .groupBy("lang", "kind", "token").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "lang-counts")
     totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total"))
-    best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "token")
-    top = counts.where("n >= 2").withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= model_entries).drop("_r")
-    return top.join(totals, ["lang", "kind"]).toPandas()
+    return counts.join(totals, ["lang", "kind"]).toPandas()
 
 
 def _tables(model: pd.DataFrame) -> tuple[list[str], list[dict[str, int]], list[np.ndarray]]:
@@ -123,7 +121,7 @@ class _Scorer:
         for i, t in enumerate(texts):
             if t:
                 found = _WORD.findall(t.lower())
-                if found and any(map(str.isalpha, found)):
+                if any(c.isalpha() for w in found for c in w):  # a run may be of other numerals only
                     counts[i] = len(found)
                     words += found
         names, scores = ["und"] * len(texts), np.zeros(len(texts))
@@ -146,8 +144,8 @@ def identify(docs: DataFrame, model: pd.DataFrame, text_col: str = "text") -> Da
 
     ``und`` with score 0 for a null text, a text without a letter, and any text
     if nothing was learned; ties go to the first language by code point.  The
-    model is bounded by ``MODEL_ENTRIES``, so it is broadcast.  Columns of
-    ``docs`` with these names are replaced."""
+    model is bounded by the sample it was learned from, so it is broadcast.  Repeated rows get equal results.
+    Columns of ``docs`` with these names are replaced."""
     docs = keep_columns(docs, ["lang_pred", "score"])
     shared = docs.sparkSession.sparkContext.broadcast(_tables(model))
     return add_computed(docs, [text_col], [StructField("lang_pred", StringType()), StructField("score", DoubleType())],
