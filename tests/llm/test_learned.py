@@ -153,3 +153,52 @@ def test_private_patterns_against_plain_version(spark):
         want = plain_private(texts[r.doc_id])
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for x, _, _ in want) for k in pii.KINDS], texts[r.doc_id]
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest(), texts[r.doc_id]
+
+
+def test_private_positions_of_very_many_matches(spark):
+    many = "a@b.cd, " * 100_000
+    r = pii.find_private(spark.createDataFrame([(1, many, None)], DOCS)).first()
+    assert r.n_email == 100_000 and r.n_spans == 100_000
+    assert r.base_sha256 == hashlib.sha256(",".join(f"email:{8 * i}:{8 * i + 6}" for i in range(100_000)).encode()).hexdigest()
+
+
+def plain_disclosing(texts, alpha, min_texts):
+    """Flagged terms by the definition: shares over documents, evidence by different texts."""
+    def entities(t):  # noqa: E306
+        return {(k, re.sub("[^0-9]", "", t[a:b]) if k in ("card", "phone") else t[a:b].lower()) for k, a, b in plain_private(t)}
+
+    def terms(t):
+        return set(re.findall(r"[^\W\d_]{4,}", (t or "").lower()))
+
+    holders, n_t, flagged = {}, Counter(w for t in texts for w in terms(t)), set()
+    for t in texts:
+        for e in entities(t or ""):
+            holders.setdefault(e, []).append(t)
+    for own in holders.values():
+        for w in {w for t in own for w in terms(t)}:
+            with_w = [t for t in own if w in terms(t)]
+            if len(set(with_w)) >= min_texts and len(with_w) / n_t[w] >= min(1, len(own) / len(texts)) ** (1 - alpha):
+                flagged.add(w)
+    return flagged
+
+
+def test_disclosing_terms_against_plain_version(spark):
+    """A name a sentence away from an address is flagged, and masked throughout the corpus."""
+    rng = random.Random(2)
+    common = "these words stand anywhere and say nothing about anyone that writes letters".split()
+    texts = [f"Agent Zarquon lives far. {' '.join(rng.choices(common, k=12))}. {' '.join(rng.choices(common, k=30))}: zar@deep.example.org" for _ in range(6)]
+    texts += [f"{' '.join(rng.choices(common, k=20))} zarquon was seen, ZARQUON again", "mail zarquon@zarquon.org or Zarquon"]
+    texts += [" ".join(rng.choices(common, k=25)) + f" number{i} call +1 (499) 555-650{i % 3}" for i in range(40)]
+    texts += [" ".join(rng.choices(common, k=25)) for _ in range(300)] + [None, "", texts[0], texts[0]]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r for r in pii.find_private(docs).collect()}
+    flagged = plain_disclosing(texts, pii.ALPHA, pii.MIN_TEXTS)
+    assert {"zarquon", "agent", "lives"} <= flagged and not flagged & set(common)
+    for i, t in enumerate(texts):
+        inside = plain_private(t)
+        want = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{4,}", t or "") if m[0].lower() in flagged
+                and not any(a < m.end() and m.start() < b for _, a, b in inside)]
+        assert [(f["start"], f["end"]) for f in got[i].found if f["kind"] == "term"] == want, t
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert not any("zarquon" in (t or "").lower() for t in clean.values())
+    assert clean[7] == "mail [EMAIL] or [TERM]"
