@@ -168,15 +168,17 @@ def disclosing_terms(docs: DataFrame, rows: DataFrame, alpha: float, min_texts:
 
 
 def _occurrences(docs: DataFrame, base: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(_key, terms)``: where the terms stand in the documents, outside the base spans; only documents with one are searched."""
+    """``(_key, terms)``: where the terms stand in the documents, outside the base spans.
+
+    Only documents with a term are searched, each for its own terms, so the rows made are occurrences of terms."""
     terms = broadcast_if_small(terms)
     texts = docs.select(row_key("doc_id", "text").alias("_key"), "text")
     hits = materialize(texts.select("_key", F.explode(_distinct_terms(F.col("text"))).alias("term"))
-                       .join(terms, "term", "left_semi").select("_key").distinct(), "pii-hits")
+                       .join(terms, "term", "left_semi").groupBy("_key").agg(F.collect_set("term").alias("flagged")), "pii-hits")
     hits = broadcast_if_small(hits)
-    at = texts.join(hits, "_key", "left_semi").select("_key", F.explode(_found(F.col("text"), TERM)).alias("m")) \
-        .select("_key", F.lower("m.value").alias("term"), "m.start", "m.end").join(terms, "term", "left_semi") \
-        .select("_key", "start", "end", F.lit(False).alias("base"))
+    own = F.filter(_found(F.col("text"), TERM), lambda m: F.array_contains("flagged", F.lower(m["value"])))
+    at = texts.join(hits, "_key").select("_key", F.explode(own).alias("m")) \
+        .select("_key", "m.start", "m.end", F.lit(False).alias("base"))
     spans = base.join(hits, "_key", "left_semi").select("_key", F.explode("base").alias("b")) \
         .select("_key", "b.start", "b.end", F.lit(True).alias("base"))
     order = Window.partitionBy("_key").orderBy("start", "end")
