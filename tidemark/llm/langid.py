@@ -8,11 +8,15 @@ longest known n-gram, trying shorter ones in turn.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
@@ -33,8 +37,8 @@ def _grams(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
-def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> pd.DataFrame:
-    """Counts ``(lang, kind, token, n, total)``; kind 0 is words, kind k the character k-grams.
+def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> pa.Table:
+    """Counts, as an Arrow table ``(lang, kind, token, n, total)``; kind 0 is words, kind k the character k-grams.
 
     Learns from documents with a text, a language and an id whose
     crc32(doc_id as text) mod 4 is not 2; about ``train_rows`` per language.
@@ -66,28 +70,36 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> pd.DataFrame:
         .groupBy("lang", "kind", "token").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "lang-counts")
     totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total"))
-    return counts.join(totals, ["lang", "kind"]).toPandas()
+    return counts.join(totals, ["lang", "kind"]).toArrow()
 
 
-def _tables(model: pd.DataFrame) -> tuple[list[str], list[dict[str, int]], list[np.ndarray]]:
+def _tables(model: pa.Table) -> tuple[list[str], list[dict[str, int]], list[np.ndarray]]:
     """Languages, and per kind the row of each token and its log frequency in each language."""
-    langs = sorted(model["lang"].unique())
+    langs = sorted(pc.unique(model["lang"]).to_pylist())
     rows, logs = [], []
     for k in range(MAX_GRAM + 1):
-        part = model[model["kind"] == k]
-        tokens = sorted(part["token"].unique())
-        at = {t: i for i, t in enumerate(tokens)}
-        n = np.zeros((len(tokens), len(langs)))
-        total = np.ones(len(langs))
-        for lang, own in part.groupby("lang"):
-            j = langs.index(lang)
-            n[own["token"].map(at).to_numpy(), j] = own["n"].to_numpy()
-            total[j] = own["total"].iloc[0]
-        rows.append(at)
-        logs.append(np.log(n + SMOOTHING) - np.log(total + SMOOTHING * max(1, len(tokens))))
+        part = model.filter(pc.equal(model["kind"], k))
+        coded = part["token"].combine_chunks().dictionary_encode()
+        n, total = np.zeros((len(coded.dictionary), len(langs))), np.ones(len(langs))
+        j = pc.index_in(part["lang"], pa.array(langs, pa.string())).to_numpy()
+        n[coded.indices.to_numpy(), j] = part["n"].to_numpy()
+        total[j] = part["total"].to_numpy()
+        rows.append({t: i for i, t in enumerate(coded.dictionary.to_pylist())})
+        logs.append(np.log(n + SMOOTHING) - np.log(total + SMOOTHING * max(1, len(n))))
     return langs, rows, logs
 
 
+#: The tables of the model that a worker process used last, by the model's name: built once per process, not per task.
+_BUILT: dict[str, tuple] = {}
+
+
+def _built(name: str, shared: Broadcast) -> tuple:
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = _tables(shared.value)
+    return _BUILT[name]
+
+
 class _Scorer:
     def __init__(self, tables):
         self.langs, self.rows, self.logs = tables
@@ -139,7 +151,7 @@ class _Scorer:
         return names, scores
 
 
-def identify(docs: DataFrame, model: pd.DataFrame, text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: pa.Table, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``lang_pred`` and ``score``, the posterior of the language named.
 
     ``und`` with score 0 for a null text, a text without a letter, and any text
@@ -147,9 +159,9 @@ def identify(docs: DataFrame, model: pd.DataFrame, text_col: str = "text") -> Da
     model is bounded by the sample it was learned from, so it is broadcast.  Repeated rows get equal results.
     Columns of ``docs`` with these names are replaced."""
     docs = keep_columns(docs, ["lang_pred", "score"])
-    shared = docs.sparkSession.sparkContext.broadcast(_tables(model))
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     return add_computed(docs, [text_col], [StructField("lang_pred", StringType()), StructField("score", DoubleType())],
-                        lambda: _Scorer(shared.value).predict)
+                        lambda: _Scorer(_built(name, shared)).predict)
 
 
 def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
