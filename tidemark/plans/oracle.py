@@ -94,9 +94,9 @@ SELECT * FROM lineitem QUALIFY row_number() OVER (
     "merge_union": _MERGE_CTES + "SELECT * FROM comb",
     "title_case": r"""
 SELECT o_orderkey, o_orderpriority,
-       array_to_string(list_transform(
-         regexp_extract_all(lower(o_orderpriority), '([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)'),
-         lambda x: upper(x[1]) || x[2:]), '') AS o_orderpriority_title
+       array_to_string(list_transform(range(1, length(o_orderpriority) + 1), lambda i:
+         CASE WHEN i > 1 AND regexp_matches(substr(o_orderpriority, i - 1, 1), '[\p{Lu}\p{Ll}\p{Lt}]')
+              THEN lower(substr(o_orderpriority, i, 1)) ELSE upper(substr(o_orderpriority, i, 1)) END), '') AS o_orderpriority_title
 FROM orders""",
     "version_increment": _ARCHIVE_CTE + """
 SELECT c.*, a.version, CAST(coalesce(a.version, 0) + 1 AS INTEGER) AS inc_version
