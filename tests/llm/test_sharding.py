@@ -1,0 +1,55 @@
+"""Slots of frequent keys, and columns named like helpers."""
+
+import zlib
+
+from pyspark.sql import functions as F
+
+from tidemark.llm import sharding
+
+DOCS = "doc_id long, text string, source string"
+
+
+def plain_order(rows):
+    """Rows of every shard in the stated order: block, bits, key, CRC, size."""
+    blocks = max(1, -(-len(rows) // (4 * 10)))
+    return sorted(rows, key=lambda r: (r.shard, r._bits % blocks, r._bits, r.doc_id is not None, str(r.doc_id), r.text_crc32, r.size)), blocks
+
+
+def test_frequent_keys(spark):
+    """A third of the rows under one id, another third without an id, a repeated row: the slots are those of one sort per shard."""
+    rows = [(7, f"text {i}", "a") for i in range(300)] + [(None, f"none {i}", "b") for i in range(300)] + [(8, "same", "c")] * 120
+    rows += [(100 + i, f"own {i}", "a") for i in range(280)] + [(9, None, None), (9, "", None)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    got = sharding.assign_shards(docs, shards=4, block_rows=10)
+    got = got.withColumn("_bits", sharding.key_bits(F.col("doc_id"))).collect()
+    ordered, _ = plain_order(got)
+    want, place = {}, {}
+    for r in ordered:
+        place[r.shard] = place.get(r.shard, -1) + 1
+        want.setdefault((r.shard, r.doc_id, r.text_crc32, r.size), []).append(place[r.shard])
+    have = {}
+    for r in got:
+        have.setdefault((r.shard, r.doc_id, r.text_crc32, r.size), []).append(r.slot)
+    assert {k: sorted(v) for k, v in have.items()} == want
+    assert all(r.text_crc32 == zlib.crc32((r.text or "").encode()) and r.law == "key" for r in got)
+    assert len({r.shard for r in got if r.doc_id == 7}) == 1 and len(got) == len(rows)
+
+
+def test_no_group_holds_a_frequent_key(spark):
+    """The numbered groups of a frequent key stay near the size of a block."""
+    docs = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"),
+                                    F.concat(F.lit("text "), F.col("id")).alias("text"))
+    plan = sharding.assign_shards(docs, shards=2, block_rows=50)
+    hot = plan.where("doc_id = 5")
+    assert hot.count() == 2001 and hot.agg(F.countDistinct("slot")).first()[0] == 2001
+    ranges = hot.groupBy(F.shiftright(F.col("text_crc32") * 40, 32).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    assert ranges.agg(F.max("n")).first()[0] < 120
+    assert plan.groupBy("shard").agg((F.max("slot") + 1 - F.count(F.lit(1))).alias("gap")).where("gap <> 0").isEmpty()
+
+
+def test_other_columns_stay(spark):
+    extra = ["_bits", "_n", "_blk", "_before", "_jump", "_k", "_b", "_s", "_p", "_split"]
+    docs = spark.createDataFrame([(1, "x", 5, *extra)], ["doc_id", "text", "SIZE", *extra])
+    r = sharding.assign_shards(docs).first().asDict()
+    assert all(r[c] == c for c in extra) and r["size"] == 17 and "SIZE" not in r and r["slot"] == 0
+    assert sharding.assign_shards(docs.limit(0)).count() == 0

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_if_small, keep_columns, materialize, table
+from tidemark.llm.common import broadcast_if_small, keep_columns, materialize, packed, table, unpacked
 
 #: Fixed value of the published algorithm: multiplier of its 64-bit generator.
 JUMP_MULTIPLIER = 2862933555777941757
@@ -17,6 +17,8 @@ JUMP_MULTIPLIER = 2862933555777941757
 SHARDS = 40
 #: Rows numbered together by one window group.
 BLOCK_ROWS = 1000
+#: A block of so many times its rows is split by key and CRC.
+HOT = 8
 
 
 def key_bits(key: Column) -> Column:
@@ -64,39 +66,57 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, key_col: str = "doc_id"
     ``slot`` numbers the rows of a shard from 0 without gaps.  A shard may hold
     any number of rows, so rows are numbered inside blocks of about
     ``block_rows`` (a hash of the key picks the block) and each block adds the
-    rows of the blocks before it.  Null keys share the shard of the empty key;
+    rows of the blocks before it.  A block that a frequent key makes ``HOT`` times as large
+    is split by key, and its frequent keys by equal ranges of the text's CRC.  Null keys share the shard of the empty key;
     null texts count no bytes (size 16, CRC 0).  Rows of one key share a shard; rows
-    that are equal in key and text are interchangeable.  Columns of ``docs``
-    that carry a produced name are replaced.
+    that are equal in key and text are interchangeable (and stay in one group).  Columns of ``docs``
+    that carry a produced name are replaced, all others stay.
     """
-    docs = keep_columns(docs, ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "_bits", "_n", "_blk",
-                               "_before", "_jump"])
-    text = F.col(text_col)
-    rows = (
-        docs.withColumn("size", (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long"))
-        .withColumn("text_crc32", F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long"))
-        .withColumn("_bits", key_bits(F.col(key_col)))
-        .withColumn("_jump", jump_pair(F.col("_bits"), shards))
-        .withColumn("law", F.lit("key"))
-        .withColumn("shard", F.col("_jump.shard"))
-        .withColumn("grown_shard", F.col("_jump.grown"))
-        .drop("_jump")
-    )
+    produced = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    docs = keep_columns(docs, produced)
+    key, text = F.col(key_col), F.col(text_col)
+    crc = F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long")
     blocks = max(1, -(-docs.count() // (shards * block_rows)))
-    block = F.pmod(F.col("_bits"), F.lit(blocks).cast("long"))
-    rows = rows.withColumn("_blk", block)
-    counts = (
-        docs.select(key_bits(F.col(key_col)).alias("_bits"))
-        .select(jump_pair(F.col("_bits"), shards)["shard"].alias("shard"), block.alias("_blk"))
-        .groupBy("shard", "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    before = Window.partitionBy("shard").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(counts.select("shard", "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")),
-                          "shard-offsets")
-    inside = Window.partitionBy("shard", "_blk").orderBy(F.col("_bits"), F.col(key_col).cast("string"), "text_crc32", "size")
-    numbered = rows.withColumn("slot", F.row_number().over(inside).cast("long") - 1)
-    out = numbered.join(broadcast_if_small(offsets), ["shard", "_blk"], "left")
-    return out.withColumn("slot", F.col("slot") + F.col("_before")).drop("_bits", "_blk", "_before")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """``rows`` with key bits, jumps and block; ``_k`` is the key as text, null first."""
+        rows = rows.withColumn("_bits", key_bits(key)).withColumn("_jump", jump_pair(F.col("_bits"), shards))
+        return rows.withColumns({"shard": F.col("_jump.shard"), "_blk": F.pmod(F.col("_bits"), F.lit(blocks).cast("long")),
+                                 "_k": F.coalesce(F.concat(F.lit("v"), key.cast("string")), F.lit("n"))})
+
+    keys = placed(docs.select(key_col))
+    counts = materialize(keys.groupBy("shard", "_blk").agg(F.count(F.lit(1)).alias("_n")), "shard-blocks")
+    hot = counts.where(F.col("_n") > HOT * block_rows).select("shard", "_blk")
+    parts = [F.lit(-1).cast("long").alias("_b"), F.lit("").alias("_s"), F.lit(0).cast("long").alias("_p")]
+    split = None
+    if not hot.isEmpty():  # the same slots, from smaller groups
+        hot = broadcast_if_small(hot)
+        frequent = keys.join(hot, ["shard", "_blk"], "left_semi").groupBy("shard", "_blk", "_k").agg(F.count(F.lit(1)).alias("_n"))
+        split = materialize(frequent.select("shard", "_blk", "_k", F.ceil(F.col("_n") / block_rows).cast("long").alias("_split")), "shard-keys")
+
+    def grouped(rows: DataFrame, crc: Column) -> DataFrame:
+        """``rows`` with their group: the block, or in a hot block the key and its range of the CRC."""
+        if split is None:
+            return rows.select("*", *parts)
+        rows = rows.join(broadcast_if_small(split), ["shard", "_blk", "_k"], "left")
+        inner = F.col("_split").isNotNull()
+        own = [F.col("_bits"), F.col("_k"), F.shiftright(crc * F.col("_split"), 32)]
+        return rows.select("*", *[F.when(inner, o).otherwise(p).alias(n) for o, p, n in zip(own, parts, ("_b", "_s", "_p"))])
+
+    group = ["shard", "_blk", "_b", "_s", "_p"]
+    if split is not None:
+        small = placed(docs.select(key_col, crc.alias("_crc"))).select("shard", "_blk", "_bits", "_k", "_crc")
+        counts = grouped(small, F.col("_crc")).groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        counts = counts.select("*", *parts)
+    before = Window.partitionBy("shard").orderBy(*group[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(counts.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "shard-offsets")
+    rows = placed(packed(docs, key_col, text_col)).withColumns({
+        "size": (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long"), "text_crc32": crc, "law": F.lit("key")})
+    inside = Window.partitionBy(*group).orderBy("_bits", "_k", "text_crc32", "size")
+    numbered = grouped(rows, F.col("text_crc32")).withColumn("slot", F.row_number().over(inside).cast("long") - 1)
+    out = numbered.join(broadcast_if_small(offsets), group, "left")
+    return unpacked(out, [*docs.columns, *produced], slot=F.col("slot") + F.col("_before"), grown_shard=F.col("_jump.grown"))
 
 
 def q_shard(spark, sf_dir):
