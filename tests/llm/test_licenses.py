@@ -1,0 +1,66 @@
+"""License names and SPDX lines, texts of very many notices, overlaps against a plain version."""
+
+import random
+import time
+
+import pytest
+
+from tidemark.llm import licenses
+
+
+def find(*texts):
+    index = licenses.Index(licenses.TEMPLATES, licenses.phrases())
+    return licenses._scan(index, list(texts))
+
+
+@pytest.mark.parametrize("text,name", [
+    ("This project is licensed under Apache 2.0.", "Apache-2.0-name"), ("Licensed under the Apache License 2.0", "Apache-2.0-name"),
+    ("See the GNU General Public License v3.0 for more", "GPL-3.0-name"), ("the GNU Lesser General Public License v3.0", "LGPL-3.0-name"),
+    ("Mozilla Public License 2.0", "MPL-2.0-name"), ("BSD 3-Clause License", "BSD-3-Clause-name"), ("BSD 2-Clause", "BSD-2-Clause-name"),
+    ("// SPDX-License-Identifier: Apache-2.0\n", "Apache-2.0-spdx"), ("SPDX-License-Identifier: MIT", "MIT-spdx"),
+    ("SPDX-License-Identifier: MIT-0", "MIT-0-spdx"), ("# spdx-license-identifier: GPL-3.0-or-later", "GPL-3.0-spdx"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause-spdx"), ("SPDX-License-Identifier: LGPL-2.1-only", "LGPL-2.1-spdx"),
+    ("Licensed under the Apache License, Version 2.0", "Apache-2.0"),
+])
+def test_names(text, name):
+    (n, names, coverage, _), = find("Some words before it. " + text + " and some after it.")
+    assert (n, names, coverage) == (1, name, 1.0)
+
+
+@pytest.mark.parametrize("text", ["We run Apache 2.0 servers", "Apache License 1.1", "GNU General Public License v4", "a BSD system with 3 clauses",
+                                  "SPDX-License-Identifier: Proprietary", "Mozilla 2.0 public", "under the sea", ""])
+def test_no_license(text):
+    assert find(text) == [(0, "", 0.0, "")]
+
+
+def test_many_notices():
+    """100,000 notices in one text take time in proportion."""
+    start = time.time()
+    (n, names, _, spans), = find("SPDX-License-Identifier: MIT\n" * 100_000)
+    assert n == 100_000 and names == "MIT-spdx" and spans.endswith(f":{29 * 99_999}:{29 * 99_999 + 28}:1.000")
+    assert time.time() - start < 60
+
+
+def test_overlaps_like_a_plain_version():
+    """Finds are disjoint, and every dropped one overlaps a kept one of as many words or more."""
+    rng = random.Random(5)
+    pieces = [p for _, p in licenses.phrases()] + list(licenses.TEMPLATES.values())[:6] + ["License", "2.0", "under the", "x"]
+    for _ in range(40):
+        text = " ".join(rng.choice(pieces) for _ in range(30))
+        (n, _, _, spans), = find(text)
+        got = [tuple(map(int, s.split(":")[1:3])) for s in spans.split(",")] if n else []
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:])) and n == len(got)
+        words = [(m[0].lower(), m.start(), m.end()) for m in licenses._WORD.finditer(text)]
+        sizes = {(a, b): sum(a <= s and e <= b for _, s, e in words) for a, b in got}
+        for _, phrase in licenses.phrases():
+            own = licenses._words(phrase)
+            for i in range(len(words) - len(own) + 1):
+                if [w[0] for w in words[i:i + len(own)]] == own:
+                    a, b = words[i][1], words[i + len(own) - 1][2]
+                    assert any(x < b and a < y and size >= len(own) for (x, y), size in sizes.items())
+
+
+def test_other_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "SPDX-License-Identifier: MIT", "mine", "c0", 2**60)], "doc_id long, text string, spans string, c0 string, big long")
+    r = licenses.scan_licenses(docs).first().asDict()
+    assert r["spans"] == "MIT-spdx:0:28:1.000" and r["c0"] == "c0" and r["big"] == 2**60

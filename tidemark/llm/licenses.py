@@ -10,6 +10,8 @@ variant and version as the template.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -77,6 +79,24 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain",
     "All-rights-reserved": "All rights reserved",
 }
+# SPDX identifiers and names with versions, of three words or more; such a phrase counts only word for word.
+SPDX = ("Apache-2.0 MIT MIT-0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 MPL-2.0 BSD-2-Clause BSD-3-Clause BSD-3-Clause-Clear ISC "
+        "CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 EPL-2.0 BSL-1.0 Unlicense Zlib").split()
+NAMES = {
+    "Apache-2.0": ["Apache License 2.0", "Apache License v2.0", "Apache License v2", "Apache 2.0 License", "under Apache 2.0", "under Apache-2.0"],
+    "MIT": ["under the MIT License", "under MIT License"],
+    "GPL-3.0": ["GNU General Public License v3.0", "GNU General Public License v3", "GNU General Public License 3.0", "GNU GPL v3", "under GNU GPLv3", "the GNU GPLv3"],
+    "GPL-2.0": ["GNU General Public License v2.0", "GNU General Public License v2", "GNU General Public License 2.0", "GNU GPL v2"],
+    "LGPL-3.0": ["GNU Lesser General Public License v3.0", "GNU Lesser General Public License v3", "GNU LGPL v3"],
+    "LGPL-2.1": ["GNU Lesser General Public License v2.1", "GNU LGPL v2.1"],
+    "AGPL-3.0": ["GNU Affero General Public License v3.0", "GNU Affero General Public License v3", "GNU AGPL v3"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License v2.0", "Mozilla Public License Version 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause", "2-clause BSD"],
+    "BSD-3-Clause": ["BSD 3-Clause", "3-clause BSD"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0"],
+    "BSL-1.0": ["Boost Software License 1.0", "Boost Software License Version 1.0"],
+    "CC0-1.0": ["CC0 1.0 Universal"],
+}
 _WORD = re.compile(r"[A-Za-z0-9]+")
 # Words that tell a license from its relatives, and the version that follows them.
 _VARIANT = re.compile(r"\b(affero|lesser|library general|non ?commercial|share ?alike|no ?deriv|nc|sa|nd|apache|mit|mozilla|gnu|bsd|eclipse|boost)")
@@ -97,11 +117,12 @@ def _identity(words: list[str]) -> tuple[frozenset[str], frozenset[str]]:
 
 
 class Index:
-    """Inverted index of the templates' winnowed fingerprints."""
+    """Inverted index of the winnowed fingerprints of templates and of phrases that count only word for word."""
 
-    def __init__(self, templates: dict[str, str]):
-        self.names = sorted(templates)
-        self.words = [_words(templates[n]) for n in self.names]
+    def __init__(self, templates: dict[str, str], phrases: Sequence[tuple[str, str]] = ()):
+        self.names = sorted(templates) + [name for name, _ in phrases]
+        self.words = [_words(templates[n]) for n in sorted(templates)] + [_words(phrase) for _, phrase in phrases]
+        self.exact = len(templates)  # from this template on
         self.identities = [_identity(ws) for ws in self.words]
         self.vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for ws in self.words for w in ws}))}
         self.base = len(self.vocabulary) + 1
@@ -164,6 +185,11 @@ class Index:
         finds = []
         for t, starts in seeds.items():
             last = None
+            if t >= self.exact:
+                own = [self.vocabulary[w] for w in self.words[t]]
+                finds += [(len(own), 1.0, -s, self.names[t], s + len(own) - 1) for s in set(starts)
+                          if s >= 0 and ids[s:s + len(own)] == own]
+                continue
             for s in sorted(set(starts)):
                 if last is not None and s - last <= BAND // 2:
                     continue  # the band of the last start covers this one
@@ -173,29 +199,38 @@ class Index:
                     continue
                 if _identity([m[0].lower() for m in found[first:end + 1]]) == self.identities[t]:
                     finds.append((n, n / len(self.words[t]), -first, self.names[t], end))
-        out, used = [], []
+        out, begins, ends = [], [], []  # the spans taken so far, disjoint and in order
         for n, coverage, first, name, end in sorted(finds, key=lambda f: (-f[0], -f[1], -f[2], f[3])):
             first = -first
-            if all(end < a or first > b for a, b in used):
-                used.append((first, end))
+            at = bisect_left(ends, first)
+            if at == len(begins) or begins[at] > end:
+                begins.insert(at, first)
+                ends.insert(at, end)
                 out.append((name, found[first].start(), found[end].end(), coverage, n))
         return sorted(out, key=lambda f: (f[1], f[2], f[0]))
 
 
+def phrases() -> list[tuple[str, str]]:
+    """SPDX lines and names with versions, as ``(name, phrase)``."""
+    return [(f"{i}-spdx", f"SPDX-License-Identifier: {i}") for i in SPDX] + [(f"{i}-name", p) for i, ps in NAMES.items() for p in ps]
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``n_licenses``, ``licenses`` (names, comma-joined), ``best_coverage``, ``spans``
     (``name:start:end:coverage``, comma-joined, in text order).
 
-    Null and empty texts have none (0, '', 0.0, '').  The index is as large
-    as the given templates, which are a fixed list; each document is scanned
-    by itself, whole.  Columns of ``docs`` with these names are replaced."""
+    Without ``templates`` the library's notices, names and SPDX lines are sought.
+    Null and empty texts have none (0, '', 0.0, '').  Of overlapping finds the one of more
+    words stays, then the one of more coverage, the later one, the lesser name.  The index is as large
+    as the given templates, which are a fixed list; each document, a repeated row too, is scanned
+    by itself, whole.  Columns of ``docs`` with these names are replaced, all others stay."""
     docs = keep_columns(docs, ["n_licenses", "licenses", "best_coverage", "spans"])
     chosen = TEMPLATES if templates is None else templates
     fields = [StructField("n_licenses", LongType()), StructField("licenses", StringType()),
               StructField("best_coverage", DoubleType()), StructField("spans", StringType())]
 
     def make():
-        index = Index(chosen)
+        index = Index(chosen, phrases() if templates is None else ())
         return lambda texts: list(zip(*_scan(index, texts)))
 
     return add_computed(docs, [text_col], fields, make)
