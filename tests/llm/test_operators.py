@@ -1,6 +1,7 @@
 """Training-data operators: edge cases, planted cases, and plain versions of what SQL cannot say."""
 
 import hashlib
+import itertools
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, htmltext, jaccard, langid, licenses, mixing, pii, quality, registry, sharding, toxicity
+from tidemark.llm import common, decontam, htmltext, jaccard, langid, licenses, mixing, pii, quality, registry, sharding, toxicity
 from tidemark.llm.graph import connected_components
 
 SF001 = "/root/testdata/sf0.001"
@@ -224,6 +225,46 @@ def test_components(spark):
     assert got == {i: 1 for i in range(1, 41)} | {90: 90, 95: 90, 100: 90}
 
 
+def test_components_of_hubs(spark, monkeypatch):
+    """Frequent nodes and keys take the broadcast way; results are those of the shuffled one."""
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    edges = spark.createDataFrame([(1, i) for i in range(2, 40)] + [(i, 500) for i in range(100, 140)] + [(39, 100), (700, 701)], "a int, b int")
+    got = {r.node: r.label for r in connected_components(edges).collect()}
+    assert got == {i: 1 for i in [*range(1, 40), *range(100, 140), 500]} | {700: 700, 701: 700}
+
+
+def test_join_by_count(spark, monkeypatch):
+    left = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1), ("b", 2), ("c", 3), (None, 4)], "k string, v int")
+    right = spark.createDataFrame([("a", "x", 50), ("b", "y", 2), ("d", "z", 0)], "k string, w string, n long")
+    for how in ("inner", "left"):
+        want = sorted(map(repr, left.join(right, "k", how).collect()))
+        monkeypatch.setattr(common, "HOT_ROWS", 10)
+        assert sorted(map(repr, common.join_by_count(left, right, "k", "n", how).collect())) == want
+        monkeypatch.undo()
+        assert sorted(map(repr, common.join_by_count(left, right, "k", "n", how).collect())) == want
+    assert common.join_by_count(left, right.limit(0), "k", "n").count() == 0
+
+
+def test_chain_of_loosely_similar_texts_compares_candidates_only(spark):
+    """Each text shares half of its grams with the next: one component of shared bands, but few pairs are compared."""
+    n = 400
+    texts = [(i, " ".join(f"w{j}" for j in range(i * 20, i * 20 + 60))) for i in range(n)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    signed = jaccard._sign(docs, "doc_id", "text", *jaccard.band_shape(0.8, 0.999)).select("copy", "bands")
+    members, pairs = jaccard.candidate_blocks(signed, 8)
+    block = {bytes(r.copy): r.block for r in members.collect()}
+    size = Counter(block.values())
+    met = {(r.x, r.y) for r in pairs.collect()}
+    assert all(x <= y for x, y in met) and len(met) == pairs.count()
+    compared = sum(size[x] * (size[x] - 1) // 2 if x == y else size[x] * size[y] for x, y in met)
+    assert 0 < compared < 5 * n
+    bands = {bytes(r.copy): set(r.bands) for r in signed.collect()}
+    for a, b in itertools.combinations(sorted(bands), 2):
+        if bands[a] & bands[b]:
+            assert tuple(sorted((block[a], block[b]))) in met
+    assert all(r.n_links == 0 for r in jaccard.similarity_classes(docs).collect())
+
+
 def test_shards(spark):
     r = sharding.assign_shards(edge(spark), block_rows=1).collect()
     assert all(x.grown_shard in (x.shard, 40) and x.law == "key" for x in r)

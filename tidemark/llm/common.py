@@ -18,6 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A table is broadcast only if its measured rows stay below this (narrow rows, tens of MB at most).
 BROADCAST_ROWS = 200_000
 
+#: A key is frequent from this many rows on, and from a share of all rows that at most ``HOT_KEYS`` keys can have.
+HOT_ROWS, HOT_KEYS = 1000, 50_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -45,6 +48,21 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def join_by_count(left: DataFrame, right: DataFrame, key: str, rows: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on ``key``, which no frequent key can pile up in one task.
+
+    ``right`` is a materialized table of one row per key; its column ``rows``
+    counts the key's rows of ``left``.  Frequent keys (at most ``HOT_KEYS``) are
+    broadcast and their rows stay where they are; all others are shuffled."""
+    total, most = right.agg(F.sum(rows), F.max(rows)).first()
+    limit = max(HOT_ROWS, (total or 0) // HOT_KEYS)
+    if (most or 0) <= limit:
+        return left.join(right, key, how)
+    frequent = F.broadcast(right.where(F.col(rows) > limit))
+    others = left.join(frequent.select(key), key, "left_anti").join(right.where(F.col(rows) <= limit), key, how)
+    return left.join(frequent, key).unionByName(others)
+
+
 def row_key(*columns: str) -> Column:
     """MD5 over the named columns as text; null differs from every text.
 

@@ -2,11 +2,11 @@
 
 1. Every text gets a MinHash signature over its word 5-grams, cut into bands.
    Texts with the same word sequence are copies: one class, joined once.
-2. Texts sharing a band hash are candidates.  Each bucket links its members to
-   its least one; the components of these links hold every candidate pair.
-3. Inside a component all pairs are compared on their full n-gram sets, in
-   square blocks of bounded size: no pair is written out, only each text's
-   number of links and a spanning forest of them.
+2. Texts sharing a band hash are candidates.  A text lives in its largest
+   bucket, large buckets are cut into blocks, and two blocks are compared
+   exactly if some band hash has a text in each of them.
+3. Blocks are compared on full n-gram sets: no pair of texts is written out,
+   only each text's number of links and a spanning forest of them.
 4. Components of the verified links are the classes.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from tidemark.llm.common import add_computed, broadcast_if_small, materialize, packed, row_key, table, unpacked
+from tidemark.llm.common import BROADCAST_ROWS, add_computed, discard, join_by_count, materialize, packed, row_key, table, unpacked
 from tidemark.llm.graph import connected_components
 
 GRAM = 5
@@ -171,12 +171,13 @@ def _verify(part: pd.DataFrame, threshold: float) -> pd.DataFrame:
             break
         label = new
     copies = part["copy"].tolist()
-    return pd.DataFrame({"copy": copies, "docs": docs, "texts": texts, "to": [copies[i] for i in label]})
+    found = np.flatnonzero(texts)
+    return pd.DataFrame({"copy": [copies[i] for i in found], "docs": docs[found], "texts": texts[found],
+                         "to": [copies[label[i]] for i in found]})
 
 
 def _verified(rows: DataFrame, threshold: float) -> DataFrame:
-    """All block pairs ``(comp, x, y)`` of ``rows``, which come sorted by them; one pair is held at a time."""
-    key = ["comp", "x", "y"]
+    """All block pairs ``(x, y)`` of ``rows``, which come sorted by them; one pair is held at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -184,9 +185,8 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
             if not len(pdf):
                 continue
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            place = pdf[key].apply(lambda c: c.map(bytes) if c.name == "comp" else c)
-            edge = (place != place.shift()).any(axis=1).to_numpy()
-            starts = np.flatnonzero(edge)
+            place = pdf[["x", "y"]].to_numpy()
+            starts = np.concatenate([[0], 1 + np.flatnonzero((place[1:] != place[:-1]).any(axis=1))])
             done = [_verify(pdf.iloc[a:b], threshold) for a, b in zip(starts[:-1], starts[1:])]
             if done:
                 yield pd.concat(done, ignore_index=True)
@@ -197,6 +197,31 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInPandas(run, "copy binary, docs long, texts long, to binary")
 
 
+def candidate_blocks(texts: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """``(copy, block)`` of the texts that share a band hash, and the pairs ``(x, y)`` of blocks to compare, x <= y.
+
+    ``texts`` is a materialized table ``copy, bands``.  A text's home is its
+    largest bucket (ties: the greatest hash); homes of more than ``block`` texts
+    are cut by the hash of the text.  Blocks are compared if a band hash has a
+    text in each, so every pair of texts that share a band meets, once.
+    """
+    spread = texts.select("copy", F.explode("bands").alias("band"))
+    buckets = materialize(spread.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-buckets")
+    shared = materialize(join_by_count(spread, buckets, "band", "n"), "minhash-shared")
+    homes = materialize(shared.groupBy("copy").agg(F.max(F.struct("n", "band")).alias("h"))
+                        .select("copy", F.col("h.band").alias("home")), "minhash-homes")
+    large = materialize(homes.groupBy("home").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "minhash-large")
+    cut = F.pmod(F.xxhash64("copy"), F.coalesce(F.ceil(F.col("n") / block), F.lit(1)).cast("long"))
+    members = materialize(join_by_count(homes, large, "home", "n", "left").select("copy", F.xxhash64("home", cut).alias("block")),
+                          "minhash-members")
+    places = materialize(shared.select("copy", "band").join(members, "copy").select("band", "block").distinct(), "minhash-places")
+    meet = places.select("band", F.col("block").alias("x")).join(places.select("band", F.col("block").alias("y")), "band")
+    alone = members.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("block").alias("x"), F.col("block").alias("y"))
+    pairs = materialize(meet.where("x < y").select("x", "y").distinct().union(alone), "minhash-pairs")
+    discard(buckets, shared, homes, large, places)
+    return members, pairs
+
+
 def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, block: int = BLOCK,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``_key, id, class_id, class_key, n_links, n_text_links, copies, copy``.
@@ -215,37 +240,33 @@ def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD, target_rec
     texts = materialize(full.groupBy("copy").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min("id").alias("least"), F.min("_key").alias("at"),
         F.first("bands").alias("bands")), "minhash-texts")
-    spread = texts.select("copy", F.explode("bands").alias("band"))
-    buckets = spread.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("copy").alias("first")).where("n > 1")
-    edges = spread.join(buckets.select("band", "first"), "band").where("copy <> first") \
-        .select(F.col("first").alias("a"), F.col("copy").alias("b")).distinct()
-    loose = materialize(connected_components(edges).select(F.col("node").alias("copy"), F.col("label").alias("comp")), "loose")
-    sizes = materialize(loose.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-                        .where("blocks > 1"), "loose-sizes")
-    members = loose.join(broadcast_if_small(sizes), "comp", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
-        .join(texts.select("copy", "n_docs", "at"), "copy") \
-        .withColumn("block", F.pmod(F.xxhash64("copy"), F.col("blocks").cast("long")).cast("int"))
-    members = materialize(members, "loose-members")
+    placed, pairs = candidate_blocks(texts.select("copy", "bands"), block)
+    members = materialize(placed.join(texts.select("copy", "n_docs", "at"), "copy"), "jaccard-members")
+    sides = pairs.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("block"), "x", "y")
     bodies = docs.select(row_key(id_col, text_col).alias("at"), F.col(text_col).alias("text"))
-    bodies = bodies.join(broadcast_if_small(members), "at").groupBy("at").agg(  # a repeated row gives its text once
-        *[F.first(c).alias(c) for c in ("comp", "blocks", "block", "copy", "n_docs", "text")])
-    pairs = bodies.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("comp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "copy", "n_docs", "text")
+    if members.count() <= BROADCAST_ROWS:
+        bodies = bodies.join(F.broadcast(members.select("at")), "at", "left_semi")
+    bodies = bodies.groupBy("at").agg(F.first("text").alias("text"))  # a repeated row gives its text once
+    rows = members.join(sides, "block").join(bodies, "at").select("x", "y", "block", "copy", "n_docs", "text")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.repartition(partitions, "comp", "x", "y").sortWithinPartitions("comp", "x", "y", "copy")
-    checked = materialize(_verified(pairs, threshold), "jaccard-checked")
+    rows = rows.repartition(partitions, "x", "y").sortWithinPartitions("x", "y", "copy")
+    checked = materialize(_verified(rows, threshold), "jaccard-checked")
     links = checked.groupBy("copy").agg(F.sum("docs").alias("docs"), F.sum("texts").alias("texts"))
     classes = connected_components(checked.where("copy <> to").select(F.col("copy").alias("a"), F.col("to").alias("b")).distinct())
-    member_of = texts.join(classes.withColumnRenamed("node", "copy"), "copy", "left") \
-        .select("copy", "n_docs", "least", F.coalesce("label", "copy").alias("label"))
-    least = member_of.groupBy("label").agg(F.min("least").alias("class_id"))
-    by_text = member_of.join(least, "label").join(links, "copy", "left").select(
+    member_of = materialize(texts.select("copy", "n_docs", "least").join(classes.withColumnRenamed("node", "copy"), "copy", "left")
+                            .join(links, "copy", "left").withColumn("label", F.coalesce("label", "copy")), "jaccard-labels")
+    least = materialize(member_of.groupBy("label").agg(F.min("least").alias("class_id"), F.count(F.lit(1)).alias("n")), "jaccard-least")
+    by_text = materialize(join_by_count(member_of, least, "label", "n").select(
         "copy", "class_id", F.lower(F.hex("label")).alias("class_key"), (F.coalesce("docs", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"),
-        F.coalesce("texts", F.lit(0)).alias("n_text_links"), F.col("n_docs").alias("copies"))
-    out = signed.select("_key", "id", F.when(F.col("bands").isNotNull(), F.col("copy")).alias("copy")).join(by_text, "copy", "left")
-    return out.select("_key", "id", F.when(F.col("copies").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-                      "class_key", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
-                      F.coalesce("copies", F.lit(1)).alias("copies"), "copy")
+        F.coalesce("texts", F.lit(0)).alias("n_text_links"), F.col("n_docs").alias("copies")), "jaccard-by-text")
+    discard(texts, placed, pairs, members, checked, classes, member_of, least)
+    worded = join_by_count(signed.where("bands IS NOT NULL").select("_key", "id", "copy"), by_text, "copy", "copies")
+    columns = ["_key", "id", "class_id", "class_key", "n_links", "n_text_links", "copies", "copy"]
+    zero = F.lit(0).cast("long")
+    alone = signed.where("bands IS NULL").select(
+        "_key", "id", F.col("id").alias("class_id"), F.lit(None).cast("string").alias("class_key"), zero.alias("n_links"),
+        zero.alias("n_text_links"), F.lit(1).cast("long").alias("copies"), F.lit(None).cast("binary").alias("copy"))
+    return worded.select(columns).union(alone)
 
 
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
@@ -258,8 +279,12 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     kept = worded.groupBy("class_key").agg(F.min(first).alias("f")).select(F.col("f.k").alias("_key"))
     keep = kept.withColumn("_worded", F.lit(True)).union(found.where("copy IS NULL").select("_key", F.lit(False)).distinct())
     rows = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
-    keep = materialize(keep.join(rows, "_key").select("_key", (F.col("_worded") & (F.col("_rows") > 1)).alias("_repeated")), "jaccard-keep")
-    out = packed(docs, "doc_id", "text").withColumn("_key", row_key("doc_id", "text")).join(broadcast_if_small(keep), "_key")
+    keep = materialize(keep.join(rows, "_key").withColumn("_repeated", F.col("_worded") & (F.col("_rows") > 1)), "jaccard-keep")
+    out = packed(docs, "doc_id", "text").withColumn("_key", row_key("doc_id", "text"))
+    if keep.count() <= BROADCAST_ROWS:
+        out = out.join(F.broadcast(keep.select("_key", "_repeated")), "_key")
+    else:
+        out = join_by_count(out, keep, "_key", "_rows")
     if not keep.where("_repeated").isEmpty():  # whole rows repeat: one of them stays
         out = out.where("NOT _repeated").union(out.where("_repeated").dropDuplicates(["_key"]))
     return unpacked(out, docs.columns)
