@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -265,6 +266,58 @@ def test_chain_of_loosely_similar_texts_compares_candidates_only(spark):
     assert all(r.n_links == 0 for r in jaccard.similarity_classes(docs).collect())
 
 
+def near_copies(n, words=300, heavy=4, seed=3):
+    """Texts with one or two words changed, some with ``heavy`` to eight, and copies of some of them."""
+    rng = random.Random(seed)
+    base = [f"t{j}" for j in range(words)]
+    texts = [" ".join(base)]
+    for i in range(n):
+        new = base[:]
+        for k in rng.sample(range(words), rng.randint(heavy, 8) if heavy and i % 10 == 0 else rng.randint(1, 2)):
+            new[k] = f"n{i}x{k}"
+        texts.append(" ".join(new))
+    return [(i, t) for i, t in enumerate(texts + texts[1:n // 4])]
+
+
+def test_group_of_near_copies_against_all_pairs(spark):
+    """Links that levels decide, links that blocks decide, and copies: each is counted once."""
+    for rows in (near_copies(120), near_copies(60, 70, 2), near_copies(90, heavy=0)):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = jaccard.similarity_classes(docs, block=8)
+        assert sorted((r.id, r.class_id, r.n_links) for r in got.collect()) == sorted(plain_classes(rows))
+
+
+def test_near_copies_are_shipped_with_their_number(spark, monkeypatch):
+    """Four times the near copies: the rows that meet in blocks do not grow with the square."""
+    shipped, find = [], jaccard.candidate_blocks
+
+    def watched(*args, **kwargs):
+        members, pairs = find(*args, **kwargs)
+        size = Counter(r.block for r in members.collect())
+        shipped.append(sum(size[r.x] + (size[r.y] if r.x != r.y else 0) for r in pairs.collect()))
+        return members, pairs
+
+    monkeypatch.setattr(jaccard, "candidate_blocks", watched)
+    for n in (150, 600):
+        rows = near_copies(n, heavy=0)
+        found = jaccard.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"), block=8).collect()
+        assert all(r.class_id == 0 and r.n_links == len(rows) - 1 for r in found)
+    assert shipped[0] < 4 * 150 and shipped[1] < 4 * 600
+
+
+def test_small_homes_move_to_a_large_one(spark):
+    """Texts far from a large group's center, but like its texts, are no blocks of their own against all of its blocks."""
+    signed = [(bytes([0, i]), [1, 100 + i]) for i in range(40)]  # one bucket of 40
+    signed += [(bytes([1, i]), [100 + i]) for i in range(10)]  # each shares a bucket with one of the 40 only
+    texts = spark.createDataFrame(signed, "copy binary, bands array<long>")
+    members, pairs = jaccard.candidate_blocks(texts, 8)
+    block = {bytes(r.copy): r.block for r in members.collect()}
+    met = {(r.x, r.y) for r in pairs.collect()}
+    assert len(block) == 50 and len(set(block.values())) <= 7
+    for (a, x), (b, y) in itertools.combinations(signed, 2):
+        assert not set(x) & set(y) or tuple(sorted((block[a], block[b]))) in met
+
+
 def test_shards(spark):
     r = sharding.assign_shards(edge(spark), block_rows=1).collect()
     assert all(x.grown_shard in (x.shard, 40) and x.law == "key" for x in r)

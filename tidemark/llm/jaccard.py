@@ -2,23 +2,27 @@
 
 1. Every text gets a MinHash signature over its word 5-grams, cut into bands.
    Texts with the same word sequence are copies: one class, joined once.
-2. Texts sharing a band hash are candidates.  A text lives in its largest
-   bucket, large buckets are cut into blocks, and two blocks are compared
-   exactly if some band hash has a text in each of them.
-3. Blocks are compared on full n-gram sets: no pair of texts is written out,
+2. Texts sharing a band hash are candidates.  A text lives with its center, the
+   text of most candidates that it shares a band hash with; large homes are cut
+   into blocks, and two blocks are compared exactly if some band hash has a text
+   in each of them.
+3. Jaccard distance is a metric: two texts of a home whose distances to the center
+   sum up to no more than the threshold's are linked, and are counted without a
+   comparison.  Blocks that hold only such pairs are not compared.
+4. The others are compared on full n-gram sets: no pair of texts is written out,
    only each text's number of links and a spanning forest of them.
-4. Components of the verified links are the classes.
+5. Components of the verified links are the classes.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
@@ -31,6 +35,8 @@ TARGET_RECALL = 0.999
 MAX_HASHES = 128
 #: Texts per side of a block of comparisons.
 BLOCK = 128
+#: Distances to a center are rounded up to this many steps.
+LEVELS = 1000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -142,8 +148,15 @@ def jaccard_counts(grams: list[np.ndarray], others: list[np.ndarray] | None = No
     return common >= threshold * union - 1e-6
 
 
+def radius(threshold: float) -> int:
+    """Two texts of a home are linked for sure if their levels sum up to no more than this."""
+    return math.floor((1 - threshold) * LEVELS + 1e-6)
+
+
 def _verify(part: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """One block pair: per text its links (in documents and in texts) and the least text it is connected with."""
+    """One block pair: per text its links (in documents and in texts) and the least text it is connected with.
+
+    Pairs whose levels make them links for sure are left to :func:`sure_links`."""
     hashes, starts, _ = gram_hashes(part["text"].tolist())
     grams = [np.unique(hashes[starts[i]:starts[i + 1]]) for i in range(len(part))]
     same = part["x"].iloc[0] == part["y"].iloc[0]
@@ -152,6 +165,9 @@ def _verify(part: pd.DataFrame, threshold: float) -> pd.DataFrame:
     linked = jaccard_counts([grams[i] for i in left], None if same else [grams[i] for i in right], threshold)
     if same:
         np.fill_diagonal(linked, False)
+    home, _ = pd.factorize(part["home"])
+    level = part["level"].to_numpy(np.float64, na_value=np.inf)
+    linked &= (home[left][:, None] != home[right]) | (level[left][:, None] + level[right] > radius(threshold))
     n_docs = part["n_docs"].to_numpy()
     docs, texts = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
     docs[left] += linked @ n_docs[right]
@@ -197,31 +213,116 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInPandas(run, "copy binary, docs long, texts long, to binary")
 
 
-def candidate_blocks(texts: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """``(copy, block)`` of the texts that share a band hash, and the pairs ``(x, y)`` of blocks to compare, x <= y.
+def candidate_blocks(texts: DataFrame, block: int = BLOCK, threshold: float = THRESHOLD,
+                     levels: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(copy, home, level, block)`` of the texts that share a band hash, and the pairs ``(x, y)`` of blocks to compare, x <= y.
 
-    ``texts`` is a materialized table ``copy, bands``.  A text's home is its
-    largest bucket (ties: the greatest hash); homes of more than ``block`` texts
-    are cut by the hash of the text.  Blocks are compared if a band hash has a
-    text in each, so every pair of texts that share a band meets, once.
+    ``texts`` is a materialized table ``copy, bands``.  A text's score is the
+    number of texts in its buckets; its home is the text of the highest score in
+    any of its buckets (ties: the greatest hash).  Homes of up to ``block`` texts
+    move to the home where theirs lives if that is larger; homes of more than
+    ``block`` texts are cut by the distance to the home and by the hash of the text:
+    ``levels`` adds ``level``, that distance, to a materialized table ``copy, home``
+    (without it, and in smaller homes, it is null).  Blocks are compared if a band
+    hash has a text in each and their levels leave any pair undecided, so every
+    pair of texts that share a band meets, once, or is decided by its levels.
     """
+    reach, one = radius(threshold), F.count(F.lit(1)).alias("n")
     spread = texts.select("copy", F.explode("bands").alias("band"))
-    buckets = materialize(spread.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-buckets")
-    shared = materialize(join_by_count(spread, buckets, "band", "n"), "minhash-shared")
-    homes = materialize(shared.groupBy("copy").agg(F.max(F.struct("n", "band")).alias("h"))
-                        .select("copy", F.col("h.band").alias("home")), "minhash-homes")
-    large = materialize(homes.groupBy("home").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "minhash-large")
-    cut = F.pmod(F.xxhash64("copy"), F.coalesce(F.ceil(F.col("n") / block), F.lit(1)).cast("long"))
-    members = materialize(join_by_count(homes, large, "home", "n", "left").select("copy", F.xxhash64("home", cut).alias("block")),
-                          "minhash-members")
-    places = materialize(shared.select("copy", "band").join(members, "copy").select("band", "block").distinct(), "minhash-places")
-    meet = places.select("band", F.col("block").alias("x")).join(places.select("band", F.col("block").alias("y")), "band")
-    alone = members.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("block").alias("x"), F.col("block").alias("y"))
-    pairs = materialize(meet.where("x < y").select("x", "y").distinct().union(alone), "minhash-pairs")
-    discard(buckets, shared, homes, large, places)
+    buckets = materialize(spread.groupBy("band").agg(one).where("n > 1"), "minhash-buckets")
+    shared = join_by_count(spread, buckets, "band", "n").groupBy("copy").agg(F.sum("n").alias("score"), F.collect_list("band").alias("bands"))
+    shared = materialize(shared, "minhash-shared")
+    scored = shared.select("copy", "score", F.explode("bands").alias("band"))
+    leaders = materialize(scored.groupBy("band").agg(F.max(F.struct("score", "copy")).alias("lead"), one), "minhash-leaders")
+    homes = materialize(join_by_count(scored.select("copy", "band"), leaders, "band", "n").groupBy("copy")
+                        .agg(F.max("lead").alias("lead")).select("copy", F.col("lead.copy").alias("home")), "minhash-homes")
+    sizes = materialize(homes.groupBy("home").agg(one), "minhash-sizes")
+    lives = homes.select(F.col("copy").alias("home"), F.col("home").alias("next"))
+    to = sizes.where(F.col("n") > block).select(F.col("home").alias("next"))
+    moves = sizes.join(sizes.where(F.col("n") <= block).select("home").join(lives, "home").join(to, "next"), "home", "left")
+    moves = materialize(moves.select("home", "n", F.coalesce("next", "home").alias("next")), "minhash-moves")
+    moved = materialize(join_by_count(homes, moves, "home", "n").select("copy", F.col("next").alias("home")), "minhash-moved")
+    ends = materialize(moved.groupBy("home").agg(one), "minhash-ends")
+    sized = materialize(join_by_count(moved, ends, "home", "n"), "minhash-sized")
+    large = sized.where(F.col("n") > block).select("copy", "home")
+    large = levels(large) if levels else large.withColumn("level", F.lit(None).cast("long"))
+    large = materialize(large.withColumn("step", F.concat_ws(":", F.hex("home"), "level")), "minhash-large")
+    steps = large.groupBy("home", "level", "step").agg(one)
+    before = F.sum("n").over(Window.partitionBy("home").orderBy("level")) - F.col("n")
+    steps = materialize(steps.select("step", "n", F.floor(before / block).alias("run"), F.ceil(F.col("n") / block).alias("pieces")), "minhash-steps")
+    piece = F.pmod(F.xxhash64("copy"), F.col("pieces").cast("long"))
+    sure = F.coalesce(2 * F.col("level") <= reach, F.lit(False))
+    members = join_by_count(large, steps, "step", "n").select("copy", "home", "level", F.xxhash64("home", sure, "run", piece).alias("block"))
+    members = materialize(members.union(sized.where(F.col("n") <= block).select(
+        "copy", "home", F.lit(None).cast("long").alias("level"), F.xxhash64("home").alias("block"))), "minhash-members")
+    blocks = members.groupBy("block").agg(F.first("home").alias("home"), F.min("level").alias("lo"), F.max("level").alias("hi"), one) \
+        .withColumn("sure", F.coalesce(2 * F.col("hi") <= reach, F.lit(False)))
+    blocks = materialize(blocks, "minhash-blocks")
+    places = shared.select("copy", F.explode("bands").alias("band")).join(members.select("copy", "block"), "copy").select("band", "block").distinct()
+    places = materialize(places.join(blocks.drop("n"), "block"), "minhash-places")
+    side = {e: places.select("band", *[F.col(c).alias(f"{e}_{c}") for c in ("block", "home", "lo", "hi", "sure")]) for e in "xy"}
+    decided = F.expr(f"x_home = y_home AND coalesce(x_hi + y_hi <= {reach} OR x_lo - y_hi > {reach + 1} OR y_lo - x_hi > {reach + 1}, false)")
+    some = side["x"].where("NOT x_sure").join(side["y"], "band").where("x_block < y_block OR x_block > y_block AND y_sure").where(~decided)
+    # blocks of sure links meet those of other homes only: homes meet first, so blocks of one home make no pairs
+    sure = places.where("sure").select("band", "home").distinct()
+    apart = sure.withColumnRenamed("home", "x_home").join(sure.withColumnRenamed("home", "y_home"), "band").where("x_home < y_home")
+    apart = apart.join(side["x"].where("x_sure"), ["band", "x_home"]).join(side["y"].where("y_sure"), ["band", "y_home"])
+    meet = some.select("x_block", "y_block").union(apart.select("x_block", "y_block"))
+    meet = meet.select(F.least("x_block", "y_block").alias("x"), F.greatest("x_block", "y_block").alias("y")).distinct()
+    alone = blocks.where("n > 1 AND NOT sure").select(F.col("block").alias("x"), F.col("block").alias("y"))
+    pairs = materialize(meet.union(alone), "minhash-pairs")
+    discard(buckets, shared, leaders, homes, sizes, moves, moved, ends, sized, large, steps, blocks, places)
     return members, pairs
 
 
+def _bodies(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``wanted`` (a materialized table with the row key ``at``) with the text of each key."""
+    bodies = docs.select(row_key(id_col, text_col).alias("at"), F.col(text_col).alias("text"))
+    if wanted.count() <= BROADCAST_ROWS:
+        bodies = bodies.join(F.broadcast(wanted.select("at")), "at", "left_semi")
+    return wanted.join(bodies.groupBy("at").agg(F.first("text").alias("text")), "at")  # a repeated row gives its text once
+
+
+def _levels(near: DataFrame, docs: DataFrame, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``copy, home`` with ``level``: the Jaccard distance of text and home in steps of 1 / ``LEVELS``, rounded up."""
+    if near.isEmpty():
+        return near.withColumn("level", F.lit(None).cast("long"))
+    wanted = near.select("copy").union(near.select("home")).distinct().join(texts.select("copy", "at"), "copy")
+    found = materialize(_bodies(docs, materialize(wanted, "jaccard-wanted"), id_col, text_col).select("copy", "text"), "jaccard-near")
+    centers = near.groupBy("home").agg(F.count(F.lit(1)).alias("n")).join(found.toDF("home", "center"), "home")
+    centers = materialize(centers, "jaccard-centers")
+    rows = near.join(found, "copy")
+
+    def measure(found: list[str], centers: list[str]) -> list[list]:
+        at = {t: i for i, t in enumerate(dict.fromkeys(centers))}
+        grams, starts, _ = gram_hashes([*at, *found])
+        sets = [np.unique(grams[a:b]) for a, b in zip(starts[:-1], starts[1:])]
+        out = []
+        for text, center in zip(sets[len(at):], centers):
+            other = sets[at[center]]
+            common = len(np.intersect1d(text, other, assume_unique=True))
+            out.append(math.ceil((1 - common / (len(text) + len(other) - common)) * LEVELS))
+        return [out]
+
+    rows = join_by_count(rows, centers, "home", "n").drop("n")
+    return add_computed(rows, ["text", "center"], [StructField("level", LongType())], lambda: measure, drop=["text", "center"])
+
+
+def sure_links(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``copy, docs, texts, to``: the links that levels decide, counted from sums per level, and the home, which is a link too."""
+    reach = radius(threshold)
+    near = members.where(F.col("level") <= reach).withColumn("step", F.concat_ws(":", F.hex("home"), "level"))
+    steps = near.groupBy("home", "level", "step").agg(F.sum("n_docs").alias("docs"), F.count(F.lit(1)).alias("texts"))
+    zero, asked = F.lit(0).cast("long"), F.lit(reach) - F.col("level")
+    sums = steps.select("home", F.col("level").alias("place"), "docs", "texts", F.lit(None).cast("string").alias("step"), zero.alias("n")) \
+        .union(steps.select("home", asked, zero, zero, "step", "texts"))
+    upto = Window.partitionBy("home").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
+    sums = sums.select("step", "n", F.sum("docs").over(upto).alias("docs"), F.sum("texts").over(upto).alias("texts")).where("step IS NOT NULL")
+    itself = (2 * F.col("level") <= reach).cast("long")
+    return join_by_count(near, materialize(sums, "jaccard-sums"), "step", "n").select(
+        "copy", (F.col("docs") - itself * F.col("n_docs")).alias("docs"), (F.col("texts") - itself).alias("texts"), F.col("home").alias("to"))
+
+
 def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, block: int = BLOCK,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``_key, id, class_id, class_key, n_links, n_text_links, copies, copy``.
@@ -240,17 +341,15 @@ def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD, target_rec
     texts = materialize(full.groupBy("copy").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min("id").alias("least"), F.min("_key").alias("at"),
         F.first("bands").alias("bands")), "minhash-texts")
-    placed, pairs = candidate_blocks(texts.select("copy", "bands"), block)
+    placed, pairs = candidate_blocks(texts.select("copy", "bands"), block, threshold,
+                                     lambda near: _levels(near, docs, texts, id_col, text_col))
     members = materialize(placed.join(texts.select("copy", "n_docs", "at"), "copy"), "jaccard-members")
     sides = pairs.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("block"), "x", "y")
-    bodies = docs.select(row_key(id_col, text_col).alias("at"), F.col(text_col).alias("text"))
-    if members.count() <= BROADCAST_ROWS:
-        bodies = bodies.join(F.broadcast(members.select("at")), "at", "left_semi")
-    bodies = bodies.groupBy("at").agg(F.first("text").alias("text"))  # a repeated row gives its text once
-    rows = members.join(sides, "block").join(bodies, "at").select("x", "y", "block", "copy", "n_docs", "text")
+    rows = _bodies(docs, members, id_col, text_col).join(sides, "block")
+    rows = rows.select("x", "y", "block", "copy", "home", "level", "n_docs", "text")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(partitions, "x", "y").sortWithinPartitions("x", "y", "copy")
-    checked = materialize(_verified(rows, threshold), "jaccard-checked")
+    checked = materialize(_verified(rows, threshold).union(sure_links(members, threshold)), "jaccard-checked")
     links = checked.groupBy("copy").agg(F.sum("docs").alias("docs"), F.sum("texts").alias("texts"))
     classes = connected_components(checked.where("copy <> to").select(F.col("copy").alias("a"), F.col("to").alias("b")).distinct())
     member_of = materialize(texts.select("copy", "n_docs", "least").join(classes.withColumnRenamed("node", "copy"), "copy", "left")
